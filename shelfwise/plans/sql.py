@@ -6,7 +6,7 @@ NORM = r"trim(regexp_replace(text, '\s+', ' ', 'g'))"
 
 
 def tokens(expr: str) -> str:
-    return rf"list_filter(string_split_regex(lower({expr}), '[^\p{{L}}\p{{N}}]+'), x -> x <> '')"
+    return rf"[x FOR x IN string_split_regex(lower({expr}), '[^\p{{L}}\p{{N}}]+') IF x <> '']"
 
 
 def hash_int(*parts: str, seed: str = "42") -> str:
@@ -18,8 +18,8 @@ def chunk_ctes(size: int = 500, overlap: int = 50, name: str = "chunks", p: str
     """Greedy word packing of every document as a hop chain over word offsets."""
     return rf"""
 {p}norm AS (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS t FROM documents),
-{p}word AS (SELECT doc_id, i, string_split(t, ' ')[i] AS w
-  FROM {p}norm, unnest(range(1, len(string_split(t, ' ')) + 1)) AS u(i) WHERE t <> ''),
+{p}word AS (SELECT doc_id, unnest(string_split(t, ' ')) AS w, generate_subscripts(string_split(t, ' '), 1) AS i
+  FROM {p}norm WHERE t <> ''),
 {p}pos AS (SELECT doc_id, i, CAST(sum(length(w) + 1) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) - length(w) - 1 AS s,
     CAST(sum(length(w) + 1) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) - 1 AS e FROM {p}word),
 {p}reach AS (SELECT a.doc_id, a.i, a.s, b.i AS j, b.e AS e_end

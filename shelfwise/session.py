@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Rows a side may have before it is no longer broadcast (a row here is a few hundred bytes at most).
 BROADCAST_ROWS = 500_000
+# A key with more rows than this is spread over several tasks.
+HOT_ROWS = 1_000_000
 
 
 def build_session(cpus: int | str = "*", app: str = "shelfwise", **conf: str) -> SparkSession:
@@ -66,6 +68,20 @@ def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
 
 
+def spread_out(scan: DataFrame) -> DataFrame:
+    """Give a scan of fewer files than cores one partition per core, ahead of Python work.
+
+    A scan with enough splits is returned as it is, so large inputs are never shuffled here.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
+def hot_keys(df: DataFrame, on: list[str], rows: int = HOT_ROWS) -> DataFrame:
+    """Keys holding more than `rows` rows: at most one key per `rows` input rows."""
+    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows).select(*on)
+
+
 def spread_join(
     big: DataFrame,
     small: DataFrame,
@@ -73,17 +89,24 @@ def spread_join(
     spread_by: list[str],
     how: str = "inner",
     small_fits: bool = False,
-    salts: int = 32,
+    salts: int = 64,
 ) -> DataFrame:
     """Equi-join that survives hot keys.
 
-    A small side that passed a size check is broadcast. Otherwise each hot key of `big` is spread
-    over `salts` tasks by the hash of `spread_by`, and `small` is repeated once per salt.
+    A small side that passed a size check is broadcast. Otherwise the rows of each hot key of `big`
+    are spread over `salts` tasks by the hash of `spread_by`, and only the hot rows of `small` are
+    repeated, once per salt.
     """
     if small_fits:
         return big.join(F.broadcast(small), on, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
-    repeated = small.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))
+    hot = hot_keys(big, on).withColumn("_hot", F.lit(True))
+    if not fits(hot):
+        hot = hot.hint("merge")
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts))
+    salted = big.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
+    every = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
+    only = F.array(F.lit(0)).cast("array<bigint>")
+    repeated = small.join(hot, on, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(only))
     )
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return salted.drop("_hot").join(repeated.drop("_hot"), [*on, "_salt"], how).drop("_salt")
