@@ -337,9 +337,11 @@ def sql_bm25(source: str, key: str, k: int, prefix: str = "", ties: str | None =
     p = prefix
     return rf"""
 {p}q AS (SELECT item_id AS question_id, unnest(list_distinct({tokens("text")})) AS term FROM benchmark),
-{p}t AS (SELECT {key}, len({tokens("text")}) AS dl, unnest({tokens("text")}) AS term FROM {source}),
-{p}st AS (SELECT count(*) AS n, avg(len({tokens("text")})) AS avgdl FROM {source}),
-{p}tf AS (SELECT {key}, dl, term, count(*) AS tf FROM {p}t GROUP BY ALL),
+{p}tk AS MATERIALIZED (SELECT {key}, {tokens("text")} AS toks FROM {source}),
+{p}dl AS MATERIALIZED (SELECT {key}, len(toks) AS dl FROM {p}tk),
+{p}t AS (SELECT {key}, unnest(toks) AS term FROM {p}tk),
+{p}st AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM {p}dl),
+{p}tf AS (SELECT {key}, dl, term, tf FROM (SELECT {key}, term, count(*) AS tf FROM {p}t GROUP BY ALL) JOIN {p}dl USING ({key})),
 {p}df AS (SELECT term, count(*) AS df FROM {p}tf GROUP BY 1),
 {p}sc AS (SELECT question_id, {key}, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2
     / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) AS score

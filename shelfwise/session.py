@@ -23,6 +23,7 @@ def build_session(cpus: int | str = "*", app: str = "shelfwise", **conf: str) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.driver.memory": "16g",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **conf,
     }

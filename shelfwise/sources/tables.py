@@ -25,7 +25,7 @@ def silver_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inference_log(conversations: DataFrame) -> DataFrame:
     """Each user turn with the assistant turn right after it, as one logged request.
 
-    Odd conversations log the short `{"response": ...}` payload, even ones the messages payload.
+    Requests spread over the hours of January 2024. Odd conversations log the short `{"response": ...}` payload, even ones the messages payload.
     """
     asked = conversations.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("q"))
     replied = conversations.filter("role = 'assistant'").select(
@@ -42,5 +42,5 @@ def inference_log(conversations: DataFrame) -> DataFrame:
         F.when(F.col("conv_id") % 2 == 0, messages("assistant", "a"))
         .otherwise(F.to_json(F.struct(F.col("a").alias("response"))))
         .alias("response_payload"),
-        F.timestamp_add("HOUR", F.col("conv_id"), F.lit("2024-01-01").cast("timestamp")).alias("timestamp"),
+        F.timestamp_add("HOUR", F.col("conv_id") * 7 % 720, F.lit("2024-01-01").cast("timestamp")).alias("timestamp"),
     )
