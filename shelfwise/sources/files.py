@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.session import fits, scratch_dir
+from shelfwise.session import fits, materialize, scratch_dir
 
 BINARY_FILE = T.StructType(
     [
@@ -49,6 +49,7 @@ def rewrite_partitions(spark: SparkSession, path: str, partition: str, touched:
     `partition` holds numbers, dates or plain names. New content is written aside first, so the
     overwrite never reads what it replaces; running it again gives the same table.
     """
+    touched = materialize(touched.distinct(), "touched")  # may come from the table itself
     table = spark.read.parquet(path)
     values = F.broadcast(touched) if fits(touched) else touched
     current = table.join(values, partition, "left_semi").select(*table.columns)
