@@ -14,10 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfwise import config
 from shelfwise.functions.text import TOKEN_SEPARATOR
-
-# Scores computed in one matrix product: 128 MB of doubles.
-SCORES_AT_ONCE = 16 * 1024 * 1024
-
+from shelfwise.functions.topk import SCORES_AT_ONCE, BestK
 
 @lru_cache(maxsize=1_000_000)
 def _slot(token: str, dim: int) -> tuple[int, int]:
@@ -57,21 +54,12 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return rows / np.sqrt(np.square(rows).sum(axis=1, keepdims=True))
 
 
-def best_k(questions: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best rows of every question; ties go to the smaller id."""
-    order = np.lexsort((ids, -scores, questions))
-    sorted_q = questions[order]
-    first = np.searchsorted(sorted_q, sorted_q, side="left")
-    return order[np.arange(len(order)) - first < k]
-
-
-class TopK:
-    """Running top-k of one task: at most k rows per question whatever the task reads."""
+class NearestK(BestK):
+    """Best cosines of one task; a question only meets rows of its group."""
 
     def __init__(self, question_vectors: np.ndarray, question_ids: np.ndarray, groups: dict, k: int, skip_same: bool):
-        self.vectors, self.question_ids, self.groups = question_vectors, question_ids, groups
-        self.k, self.skip_same = k, skip_same
-        self.held: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+        super().__init__(question_ids, k)
+        self.vectors, self.groups, self.skip_same = question_vectors, groups, skip_same
 
     def add(self, ids: np.ndarray, vectors: np.ndarray, group) -> None:
         asked = self.groups.get(group)
@@ -79,27 +67,8 @@ class TopK:
             return
         step = max(1, SCORES_AT_ONCE // len(ids))
         for begin in range(0, len(asked), step):
-            self._add_block(ids, vectors, asked[begin : begin + step])
-
-    def _add_block(self, ids: np.ndarray, vectors: np.ndarray, asked: np.ndarray) -> None:
-        scores = np.round(vectors @ self.vectors[asked].T, 6)
-        if self.skip_same:
-            scores[ids[:, None] == self.question_ids[asked][None, :]] = -np.inf
-        floor = np.partition(scores, -self.k, axis=0)[-self.k] if len(ids) > self.k else -np.inf
-        row, column = np.nonzero((scores >= floor) & np.isfinite(scores))
-        found = (asked[column], ids[row], scores[row, column])
-        if self.held is not None:
-            found = tuple(np.concatenate(pair) for pair in zip(self.held, found))
-        keep = best_k(*found, self.k)
-        self.held = tuple(part[keep] for part in found)
-
-    def batch(self, id_type: pa.DataType, question_type: pa.DataType) -> pa.RecordBatch:
-        questions, ids, scores = self.held if self.held is not None else (np.array([], int), [], [])
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(self.question_ids[questions].tolist(), question_type),
-                pa.array(list(ids), id_type),
-                pa.array(list(scores), pa.float64()),
-            ],
-            names=["question_id", "id", "score"],
-        )
+            part = asked[begin : begin + step]
+            scores = np.round(vectors @ self.vectors[part].T, 6)
+            if self.skip_same:
+                scores[ids[:, None] == self.question_ids[part][None, :]] = -np.inf
+            self.offer(ids, scores, part)

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from shelfwise import config
 from shelfwise.functions import text as ft
-from shelfwise.functions.vectors import TopK, matrix
-from shelfwise.session import fits, spread_join
+from shelfwise.functions.keywords import KeywordK, QuestionTerms, term_counts
+from shelfwise.functions.topk import id_array
+from shelfwise.functions.vectors import NearestK, matrix
+from shelfwise.session import BROADCAST_ROWS, fits, spread_join
 
 # Question matrices up to this size are sent to every task; larger sets take the block join.
 QUESTION_BYTES = 64 * 1024 * 1024
@@ -59,13 +61,12 @@ def knn(
     id_type, question_type = _arrow_type(corpus, "id"), _arrow_type(questions, "id")
     schema = f"question_id {questions.schema['id'].dataType.simpleString()}, id {corpus.schema['id'].dataType.simpleString()}, score double"
 
-    def holder(table: pa.Table) -> TopK:
-        ids, scopes = np.asarray(table["id"].to_pylist()), np.asarray(table["scope"].to_pylist())
-        return TopK(matrix(table["vector"]), ids, _grouped(scopes), k, skip_same)
+    def holder(table: pa.Table) -> NearestK:
+        return NearestK(matrix(table["vector"]), id_array(table["id"]), _grouped(id_array(table["scope"])), k, skip_same)
 
-    def feed(best: TopK, rows: pa.RecordBatch | pa.Table) -> None:
-        ids, vectors = np.asarray(rows["id"].to_pylist()), matrix(rows["vector"])
-        for scope, at in _grouped(np.asarray(rows["scope"].to_pylist())).items():
+    def feed(best: NearestK, rows: pa.RecordBatch | pa.Table) -> None:
+        ids, vectors = id_array(rows["id"]), matrix(rows["vector"])
+        for scope, at in _grouped(id_array(rows["scope"])).items():
             best.add(ids[at], vectors[at], scope)
 
     if fits(questions, question_bytes // (8 * dim)):
@@ -211,31 +212,73 @@ def bm25(
     k: int = config.TOP_K,
     k1: float = config.BM25_K1,
     b: float = config.BM25_B,
+    question_terms: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """BM25 top-k: (question_id, rank, id, score) for tables with `id` and `text`.
 
-    Only tokens some question asks for leave the scan, and they travel once, keyed by document;
-    term counts, scores and the per-task top k then need no further shuffle of postings. Question
-    terms are broadcast after a size check, so a frequent term is no hot group. A question table
-    too large for that is joined by term with its hot terms spread.
+    Question terms up to `question_terms` rows go to every task, which scores its documents and
+    emits k rows per question; the corpus is scanned twice (statistics, scores) and never shuffled,
+    so a frequent term is no hot group. A larger question table is joined by term instead.
     """
     asked = questions.select(F.col("id").alias("question_id"), F.explode(F.array_distinct(ft.tokens(F.col("text")))).alias("term"))
-    vocabulary = asked.select("term").distinct()
-    small = fits(asked)
+    if fits(asked, question_terms):
+        return _bm25_scan(asked, corpus, k, k1, b)
+    return _bm25_join(asked, corpus, k, k1, b)
+
+
+def _bm25_scan(asked: DataFrame, corpus: DataFrame, k: int, k1: float, b: float) -> DataFrame:
+    listed = corpus.select("id", F.coalesce(ft.tokens(F.col("text")), F.array().cast("array<string>")).alias("tokens"))
+    known = asked.toArrow()
+    vocabulary = pa.array(sorted(set(known["term"].to_pylist())), pa.string())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequency, documents, words = np.zeros(len(vocabulary), np.int64), 0, 0
+        for batch in batches:
+            _, code, _, sizes = term_counts(batch["tokens"], vocabulary)
+            frequency += np.bincount(code, minlength=len(vocabulary))
+            documents, words = documents + len(sizes), words + int(sizes.sum())
+        code = np.append(np.flatnonzero(frequency), [-1, -2])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(code, pa.int32()), pa.array(np.append(frequency[code[:-2]], [documents, words]), pa.int64())],
+            names=["code", "n"],
+        )
+
+    # One row per asked term at most comes back: the size check bounds it.
+    totals = dict(
+        map(tuple, listed.select("tokens").mapInArrow(count, "code int, n bigint").groupBy("code").agg(F.sum("n")).collect())
+    )
+    frequency = np.array([totals.get(i, 0) for i in range(len(vocabulary))], dtype=np.float64)
+    documents = totals.get(-1, 0)
+    terms = QuestionTerms.build(known, vocabulary, frequency, documents, totals.get(-2, 0) / max(documents, 1), k1, b)
+    shared = asked.sparkSession.sparkContext.broadcast(terms)
+    id_type, question_type = _arrow_type(corpus, "id"), _arrow_type(asked, "question_id")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = KeywordK(shared.value, k)
+        for batch in batches:
+            best.add(batch)
+        yield best.batch(id_type, question_type)
+
+    names = (asked.schema["question_id"].dataType.simpleString(), corpus.schema["id"].dataType.simpleString())
+    return rank_top(listed.mapInArrow(score, f"question_id {names[0]}, id {names[1]}, score double"), k)
+
+
+def _bm25_join(asked: DataFrame, corpus: DataFrame, k: int, k1: float, b: float) -> DataFrame:
+    """The same ranking as joins: asked tokens travel once, keyed by document; hot terms are spread."""
     sizes = corpus.agg(
         F.struct(F.count(F.lit(1)).alias("n"), F.avg(ft.token_count(F.col("text"))).alias("avg_len"))
     ).scalar()
     words = corpus.withColumn("_tokens", ft.tokens(F.col("text"))).select(
         "id", F.size("_tokens").alias("len"), F.explode("_tokens").alias("term")
     )
-    wanted = spread_join(words, vocabulary, ["term"], ["id"], "inner", small_fits=small)
-    postings = wanted.repartition("id").groupBy("id", "len", "term").agg(F.count(F.lit(1)).alias("tf"))
+    wanted = spread_join(words, asked.select("term").distinct(), ["term"], ["id"])
+    postings = wanted.groupBy("id", "len", "term").agg(F.count(F.lit(1)).alias("tf"))
     frequency = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weighted = asked.join(frequency, "term").select(
         "question_id", "term", F.log1p((sizes["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")
     )
     norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("len") / sizes["avg_len"])
-    parts = spread_join(postings, weighted, ["term"], ["id"], "inner", small_fits=small).select(
+    parts = spread_join(postings, weighted, ["term"], ["id"]).select(
         "question_id", "id", (F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)).alias("part")
     )
     scored = parts.groupBy("question_id", "id").agg(F.round(F.sum("part"), 6).alias("score"))

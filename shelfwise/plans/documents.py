@@ -9,6 +9,7 @@ from shelfwise import config
 from shelfwise.functions import text as ft
 from shelfwise.operators import chunk, text
 from shelfwise.plans.sql import CHUNKS_CTE, NORM, chunk_ctes
+from shelfwise.session import spread_out
 from shelfwise.sources.tables import silver_documents, table
 
 QUERIES = {}
@@ -211,13 +212,13 @@ FROM (SELECT conv_id,
 
 
 def document_chunks(spark: SparkSession, sf: str, size: int = config.CHUNK_SIZE) -> DataFrame:
-    silver = silver_documents(spark, sf)
+    silver = spread_out(silver_documents(spark, sf))
     return chunk.chunk_documents(silver, "doc_id", "path", "source_system", "region", size=size)
 
 
 @query
 def chunk_recursive(spark: SparkSession, sf: str) -> DataFrame:
-    docs = silver_documents(spark, sf).withColumn("t", ft.normalize_whitespace(F.col("extracted_text")))
+    docs = spread_out(silver_documents(spark, sf)).withColumn("t", ft.normalize_whitespace(F.col("extracted_text")))
     return docs.select("doc_id", F.explode(chunk.chunk_array(F.col("t"))).alias("c")).select("doc_id", "c.*")
 
 
@@ -227,7 +228,7 @@ ORACLE["chunk_recursive"] = f"WITH RECURSIVE {CHUNKS_CTE} SELECT doc_id, ordinal
 @query
 def chunk_recursive_raw(spark: SparkSession, sf: str) -> DataFrame:
     """Chunks of the raw text, where line breaks outrank spaces (checked against brute force in tests)."""
-    docs = table(spark, sf, "documents")
+    docs = spread_out(table(spark, sf, "documents"))
     return docs.select("doc_id", F.explode(chunk.chunk_array(F.col("text"))).alias("c")).select("doc_id", "c.*")
 
 

@@ -27,7 +27,9 @@ def query(fn):
 def answered(spark: SparkSession, sf: str) -> DataFrame:
     """Every benchmark item as golden row: truth is the item, prediction the extractive answer."""
     asked = questions(spark, sf)
-    hits, contexts = rag.answer_context(asked, chunk_corpus(spark, sf))
+    hits, _ = rag.answer_context(asked, chunk_corpus(spark, sf))
+    hits = materialize(hits, "hits")
+    contexts = search.format_context(hits)
     rows = (
         asked.select(F.col("id").alias("question_id"), F.col("text").alias("truth"))
         .join(rag.extractive_answers(asked, hits).select("question_id", F.col("answer").alias("prediction")), "question_id")

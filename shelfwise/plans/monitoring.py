@@ -150,7 +150,7 @@ def nightly_judge(spark: SparkSession, sf: str) -> DataFrame:
     means = evaluate.metric_means(verdicts).withColumn("day", F.date_format(F.date_sub(F.lit(AS_OF), 1), "yyyy-MM-dd"))
     path = scratch_dir(spark, "metrics")
     files.append(means, path, "day")
-    stored = spark.read.parquet(path)
+    stored = spark.read.schema(means.schema).parquet(path)
     return stored.select("metric", F.col("n").alias("records_sampled"), "mean", F.col("day").cast("string").alias("day"))
 
 
