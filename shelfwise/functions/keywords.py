@@ -10,8 +10,10 @@ import pyarrow.compute as pc
 
 from shelfwise.functions.topk import BestK, id_array
 
-# Documents times questions scored at once: 32 MB of doubles.
-CELLS_AT_ONCE = 4 * 1024 * 1024
+# Up to so many documents times questions are scored as a dense table, beyond as matching pairs.
+DENSE_CELLS = 4 * 1024 * 1024
+# Matching (document, question, term) triples held at once.
+MATCHES_AT_ONCE = 32 * 1024 * 1024
 
 
 def term_counts(tokens: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -56,25 +58,26 @@ class KeywordK(BestK):
         self.terms = terms
 
     def add(self, batch: pa.RecordBatch) -> None:
-        step = max(1, CELLS_AT_ONCE // max(1, len(self.question_ids)))
-        for begin in range(0, batch.num_rows, step):
-            self._score(batch.slice(begin, step))
-
-    def _score(self, batch: pa.RecordBatch) -> None:
         t = self.terms
         row, code, count, sizes = term_counts(batch["tokens"], t.vocabulary)
-        if not len(row):
+        fan = t.starts[code + 1] - t.starts[code]
+        total = int(fan.sum())
+        if total > MATCHES_AT_ONCE and batch.num_rows > 1:
+            half = batch.num_rows // 2
+            self.add(batch.slice(0, half))
+            self.add(batch.slice(half))
+            return
+        if not total:
             return
         norm = t.k1 * (1 - t.b + t.b * sizes[row] / t.mean_size)
-        part = t.idf[code] * count * (t.k1 + 1) / (count + norm)
-        fan = t.starts[code + 1] - t.starts[code]
-        within = np.arange(fan.sum()) - np.repeat(np.cumsum(fan) - fan, fan)
+        part = np.repeat(t.idf[code] * count * (t.k1 + 1) / (count + norm), fan)
+        within = np.arange(total) - np.repeat(np.cumsum(fan) - fan, fan)
         question = t.asking[np.repeat(t.starts[code], fan) + within]
-        n, q = len(sizes), len(self.question_ids)
-        scores = np.bincount(np.repeat(row, fan) * q + question, weights=np.repeat(part, fan), minlength=n * q).reshape(n, q)
-        hit = scores > 0
-        scores = np.round(scores, 6)
-        scores[~hit] = -np.inf
-        some = hit.any(axis=1)
-        if some.any():
-            self.offer(id_array(batch["id"])[some], scores[some], np.arange(q))
+        row = np.repeat(row, fan)
+        ids, n, q = id_array(batch["id"]), len(sizes), len(self.question_ids)
+        if n * q <= DENSE_CELLS:
+            scores = np.bincount(row * q + question, weights=part, minlength=n * q).reshape(n, q)
+            self.offer(ids, np.where(scores > 0, np.round(scores, 6), -np.inf), np.arange(q))
+        else:
+            cells, at = np.unique(row * q + question, return_inverse=True)
+            self.offer_rows(cells % q, ids[cells // q], np.round(np.bincount(at, weights=part), 6))

@@ -33,7 +33,11 @@ class BestK:
         """Take a block of scores, one row per id and one column per asked question; -inf is no match."""
         floor = np.partition(scores, -self.k, axis=0)[-self.k] if len(ids) > self.k else -np.inf
         row, column = np.nonzero((scores >= floor) & np.isfinite(scores))
-        found = (asked[column], ids[row], scores[row, column])
+        self.offer_rows(asked[column], ids[row], scores[row, column])
+
+    def offer_rows(self, questions: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """Take scores as matching (question, id) rows."""
+        found = (questions, ids, scores)
         if self.held is not None:
             found = tuple(np.concatenate(pair) for pair in zip(self.held, found))
         keep = best_k(*found, self.k)

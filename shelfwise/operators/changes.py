@@ -2,33 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.session import fits, materialize
+
+
+def fingerprint(df: DataFrame, columns: list[str]) -> Column:
+    """Two hashes of a row's values; which values are NULL counts too."""
+    nulls = [F.col(c).isNull() for c in columns]
+    return F.struct(F.xxhash64(*columns, *nulls), F.hash(*columns, *nulls))
+
 
 def change_feed(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """Changes as rows: `change_type` is insert, delete, update_pre or update_post.
 
-    One full outer join on the key; rows are compared by hash, unchanged rows leave no trace.
+    The outer join compares fingerprints, so only keys and hashes of unchanged rows travel; the
+    images are fetched for the changed keys, which are broadcast when they are few.
     """
     columns = [c for c in before.columns if c != key]
-
-    def side(df: DataFrame, name: str) -> DataFrame:
-        image = F.struct(*columns)
-        return df.select(key, image.alias(name), F.xxhash64(*columns).alias(f"{name}_hash"))
-
-    both = side(before, "pre").join(side(after, "post"), key, "full_outer")
-    change = F.when(F.col("pre").isNull(), F.array(F.struct(F.lit("insert").alias("change_type"), F.col("post").alias("row"))))
-    change = change.when(
-        F.col("post").isNull(), F.array(F.struct(F.lit("delete").alias("change_type"), F.col("pre").alias("row")))
-    ).when(
-        (F.col("pre_hash") != F.col("post_hash")) | ~F.col("pre").eqNullSafe(F.col("post")),
-        F.array(
-            F.struct(F.lit("update_pre").alias("change_type"), F.col("pre").alias("row")),
-            F.struct(F.lit("update_post").alias("change_type"), F.col("post").alias("row")),
-        ),
+    pre = before.select(key, fingerprint(before, columns).alias("pre"))
+    post = after.select(key, fingerprint(after, columns).alias("post"))
+    kind = (
+        F.when(F.col("pre").isNull(), "insert")
+        .when(F.col("post").isNull(), "delete")
+        .when(F.col("pre") != F.col("post"), "update")
     )
-    return both.select(key, F.explode(change).alias("c")).select(key, "c.change_type", "c.row.*")
+    changed = materialize(
+        pre.join(post, key, "full_outer").select(key, kind.alias("kind")).filter("kind IS NOT NULL"), "changed"
+    )
+    few = F.broadcast(changed) if fits(changed) else changed
+
+    def images(df: DataFrame, gone: str, suffix: str) -> DataFrame:
+        name = F.when(F.col("kind") == "update", f"update_{suffix}").otherwise(F.col("kind"))
+        return df.join(few, key).filter(F.col("kind") != gone).select(key, name.alias("change_type"), *columns)
+
+    return images(before, "insert", "pre").unionByName(images(after, "delete", "post"))
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:

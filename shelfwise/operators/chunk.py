@@ -95,9 +95,13 @@ def chunk_array(text: Column, size: int = config.CHUNK_SIZE, overlap: int = conf
 
 
 def explode_chunks(df: DataFrame, chunks: str, *keep: str) -> DataFrame:
-    """One row per non-empty chunk; documents without chunks vanish."""
+    """One row per non-empty chunk; documents without chunks vanish.
+
+    The outer form plus the filter gives the rows of a plain explode, without the size filter Spark
+    infers for that one: pushed below a shuffle, it would run the chunker a second time.
+    """
     return (
-        df.select(*keep, F.explode(chunks).alias("c"))
+        df.select(*keep, F.explode_outer(chunks).alias("c"))
         .select(*keep, F.col("c.ordinal"), F.col("c.start"), F.col("c.text").alias("chunk_content"))
         .filter("chunk_content != ''")
     )
@@ -150,6 +154,28 @@ def chunk_headings(df: DataFrame, text: str, key: str) -> DataFrame:
     )
 
 
+def parent_child(
+    df: DataFrame, key: str, text: str, parent_size: int, size: int = config.CHUNK_SIZE, overlap: int = config.CHUNK_OVERLAP
+) -> DataFrame:
+    """Small chunks (id, text) with the large chunk that starts at or before each (parent_id).
+
+    Both sizes come from the same row, so nothing is joined or shuffled.
+    """
+    normal = df.select(key, ft.normalize_whitespace(F.col(text)).alias("_text"))
+    cut = normal.select(
+        key,
+        F.transform(chunk_array(F.col("_text"), parent_size, 0), lambda p: p["start"]).alias("starts"),
+        chunk_array(F.col("_text"), size, overlap).alias("children"),
+    )
+    rows = cut.select(key, "starts", F.explode_outer("children").alias("c")).filter("c IS NOT NULL")
+    parent = F.size(F.filter("starts", lambda s: s <= F.col("c.start"))) - 1
+    return rows.select(
+        F.concat_ws("#", key, F.col("c.ordinal").cast("string")).alias("id"),
+        F.col("c.text").alias("text"),
+        F.concat_ws("#", key, parent.cast("string")).alias("parent_id"),
+    )
+
+
 def chunk_stats(chunks: DataFrame, *by: str, limit: int = config.CHUNK_SIZE) -> DataFrame:
     size = F.length("chunk_content")
     return chunks.groupBy(*by).agg(

@@ -1,7 +1,7 @@
 """Chat memory: stored messages, histories, windows and summaries.
 
-A history is one session's messages; a session may be long, so the ordering work is done by
-window and sort operators and only what a prompt needs is collected.
+One session may hold a large share of all messages, so no window ever spans a whole session: turns
+are cut into blocks, numbered inside a block, and shifted by the size of the blocks before it.
 """
 
 from __future__ import annotations
@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 from shelfwise import config
 from shelfwise.functions import text as ft
+from shelfwise.session import spread_join
 
+# Turns numbered by one window.
+BLOCK_TURNS = 10_000
 MESSAGE = "struct<role:string,content:string>"
 
 
@@ -33,9 +36,19 @@ def decoded(log: DataFrame) -> DataFrame:
     return log.withColumn("m", F.from_json("message_json", MESSAGE)).select("session_id", "turn", "timestamp", "m.role", "m.content")
 
 
-def numbered(log: DataFrame) -> DataFrame:
-    """Every message with its position in its session."""
-    return decoded(log).withColumn("position", F.row_number().over(W.partitionBy("session_id").orderBy("timestamp", "turn")))
+def numbered(turns: DataFrame, session: str, order: str, block: int = BLOCK_TURNS) -> DataFrame:
+    """Every message with its position in its session; `order` is the turn number, unique there."""
+    blocked = turns.withColumn("_block", F.floor(F.col(order) / block))
+    earlier = W.partitionBy(session).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    sizes = blocked.groupBy(session, "_block").agg(F.count(F.lit(1)).alias("_size"))
+    offsets = sizes.select(session, "_block", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(W.partitionBy(session, "_block").orderBy(order))
+    return (
+        blocked.withColumn("_inside", inside)
+        .join(offsets, [session, "_block"])
+        .withColumn("position", F.col("_before") + F.col("_inside"))
+        .drop("_block", "_inside", "_before")
+    )
 
 
 def clear_session(log: DataFrame, session_id: object) -> DataFrame:
@@ -43,11 +56,23 @@ def clear_session(log: DataFrame, session_id: object) -> DataFrame:
 
 
 def last_interactions(turns: DataFrame, session: str, order: str, k: int = config.MEMORY_WINDOW) -> DataFrame:
-    """Messages of the last k interactions; an interaction starts with each user message."""
-    latest = W.partitionBy(session).orderBy(F.desc(order))
-    asked_since = F.sum((F.col("role") == "user").cast("int")).over(latest)
-    after_start = F.when(F.col("role") == "user", asked_since).otherwise(asked_since + 1)
-    return turns.withColumn("interaction", after_start).filter(F.col("interaction") <= k)
+    """Messages of the last k interactions, the newest numbered 1; a user message starts one.
+
+    The k newest user messages are found by a pruned top-k and give each session its cut-off;
+    only the messages after it reach the numbering window.
+    """
+    newest = W.partitionBy(session).orderBy(F.desc(order))
+    asked = turns.filter("role = 'user'").select(session, order).withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") <= k)
+    cutoff = asked.groupBy(session).agg(F.min(order).alias("_from"), F.max("_r").alias("_asked"))
+    # A session with fewer than k interactions keeps what came before its first one as well.
+    start = F.when(F.col("_asked") < k, F.lit(None)).otherwise(F.col("_from"))
+    recent = spread_join(turns, cutoff.withColumn("_from", start), [session], [order], "left").filter(
+        F.col("_from").isNull() | (F.col(order) >= F.col("_from"))
+    )
+    asked_since = F.sum((F.col("role") == "user").cast("int")).over(newest)
+    return recent.withColumn(
+        "interaction", F.when(F.col("role") == "user", asked_since).otherwise(asked_since + 1)
+    ).filter(F.col("interaction") <= k).drop("_from", "_asked")
 
 
 def leading_sentence(content: Column) -> Column:
@@ -71,14 +96,24 @@ def rollup(
     )
 
 
-def history_prompts(turns: DataFrame, session: str, order: str, system: str, k: int = config.MEMORY_WINDOW) -> DataFrame:
-    """Prompt of every user message: system line, the last k messages before it, the message."""
+def history_prompts(
+    turns: DataFrame, session: str, order: str, system: str, k: int = config.MEMORY_WINDOW, block: int = BLOCK_TURNS
+) -> DataFrame:
+    """Prompt of every user message: system line, the last k messages before it, the message.
+
+    Windows span one block of positions; the last k messages of a block are repeated ahead of the
+    next one, so no history is cut at a block border.
+    """
+    at = F.col("position") - 1
+    own = F.floor(at / block)
+    blocks = F.when(at % block >= block - k, F.array(own, own + 1)).otherwise(F.array(own))
+    placed = numbered(turns, session, order).withColumn("_own", own).withColumn("_block", F.explode(blocks))
     speaker = F.when(F.col("role") == "user", "User: ").when(F.col("role") == "assistant", "AI: ").otherwise("System: ")
-    before = W.partitionBy(session).orderBy(order).rowsBetween(-k, -1)
+    before = W.partitionBy(session, "_block").orderBy("position").rowsBetween(-k, -1)
     history = F.array_join(F.collect_list(F.concat(speaker, F.col("text"))).over(before), "\n")
     return (
-        turns.withColumn("history", history)
-        .filter("role = 'user'")
+        placed.withColumn("history", history)
+        .filter((F.col("role") == "user") & (F.col("_own") == F.col("_block")))
         .select(
             session, order,
             F.concat(F.lit(f"System: {system}\nHistory: \n"), F.col("history"), F.lit("\nCurrent: "), F.col("text")).alias("prompt"),

@@ -25,7 +25,7 @@ def query(fn):
 def pages_bronze(spark: SparkSession, sf: str) -> DataFrame:
     """Pages as binary files: every tenth page empty of text, as a scanned file would be."""
     blank = F.lit("<html><body><img src='scan.png'></body></html>")
-    return table(spark, sf, "pages").select(
+    return spread_out(table(spark, sf, "pages")).select(
         "page_id", F.when(F.length("html") < 1500, blank).otherwise(F.col("html")).cast("binary").alias("content")
     )
 
@@ -57,7 +57,7 @@ ORACLE["extract_text"] = f"WITH {SQL_PAGE_TEXT} SELECT page_id, extracted_text F
 @query
 def extract_text_with_decoder(spark: SparkSession, sf: str) -> DataFrame:
     """The same extraction through a registered decoder; bytes that are not ASCII fail per row."""
-    docs = table(spark, sf, "documents").select("doc_id", F.col("text").cast("binary").alias("content"))
+    docs = spread_out(table(spark, sf, "documents").select("doc_id", F.col("text").cast("binary").alias("content")))
     return text.extract_with(_strict_ascii, docs).select(
         "doc_id",
         F.when(F.col("extracted_text").startswith(config.ERROR_PREFIX), "failed").otherwise("ok").alias("outcome"),
@@ -139,7 +139,7 @@ ORACLE["flag_needs_ocr"] = "SELECT doc_id, length(text) < 50 AS needs_ocr FROM d
 
 @query
 def strip_boilerplate_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return text.strip_boilerplate_lines(table(spark, sf, "documents"), "doc_id", "text", BOILERPLATE_MIN_DOCS)
+    return text.strip_boilerplate_lines(spread_out(table(spark, sf, "documents")), "doc_id", "text", BOILERPLATE_MIN_DOCS)
 
 
 ORACLE["strip_boilerplate_lines"] = rf"""

@@ -11,7 +11,7 @@ from shelfwise.plans.answers import SQL_ANSWER, SQL_TOP3, chunk_corpus
 from shelfwise.plans.documents import sql_text
 from shelfwise.plans.retrieval import questions, sql_knn, vectors
 from shelfwise.plans.sql import hash_int, tokens
-from shelfwise.session import materialize
+from shelfwise.session import materialize, spread_out
 from shelfwise.sources.tables import table
 
 QUERIES = {}
@@ -109,7 +109,7 @@ SELECT question_id, 1 AS n, {SQL_PRF} FROM o UNION ALL SELECT question_id, 2, {S
 
 @query
 def eval_readability(spark: SparkSession, sf: str) -> DataFrame:
-    english = table(spark, sf, "documents").filter("lang = 'en'")
+    english = spread_out(table(spark, sf, "documents").filter("lang = 'en'").select("doc_id", "text"))
     return english.select("doc_id", evaluate.readability(F.col("text")).alias("grade"))
 
 

@@ -10,7 +10,7 @@ from shelfwise.functions import text as ft
 from shelfwise.operators import guard, memory, rag, warehouse
 from shelfwise.plans.documents import document_chunks, sql_text
 from shelfwise.plans.sql import CHUNKS_CTE
-from shelfwise.session import scratch_dir
+from shelfwise.session import scratch_dir, spread_out
 from shelfwise.sources import files
 from shelfwise.sources.tables import table
 
@@ -235,11 +235,12 @@ ORACLE["memory_append"] = "SELECT conv_id AS session_id, turn, role, md5(text) A
 @query
 def memory_load(spark: SparkSession, sf: str) -> DataFrame:
     """Every session's messages decoded, in order and numbered."""
-    return memory.numbered(chat_log(spark, sf)).select("session_id", "position", "role", "content")
+    messages = memory.decoded(chat_log(spark, sf))
+    return memory.numbered(messages, "session_id", "turn").select("session_id", "position", "role", "content")
 
 
 ORACLE["memory_load"] = """
-SELECT conv_id AS session_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS INTEGER) AS position, role,
+SELECT conv_id AS session_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS position, role,
   text AS content FROM conversations"""
 
 
@@ -367,7 +368,7 @@ SELECT conv_id, count(*) FILTER (reply = 'unsafe') AS blocked, count(*) FILTER (
 
 @query
 def redact_pii(spark: SparkSession, sf: str) -> DataFrame:
-    return guard.redact(table(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
+    return guard.redact(spread_out(table(spark, sf, "documents").select("doc_id", "text")), "text").drop("text")
 
 
 def sql_redact() -> str:

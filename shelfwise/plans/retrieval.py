@@ -404,19 +404,7 @@ PARENT_SIZE = 2000
 
 
 def family(spark: SparkSession, sf: str) -> DataFrame:
-    """Small chunks with the large chunk that starts at or before them, as child and parent."""
-    silver = spread_out(silver_documents(spark, sf))
-    parents = chunk.chunk_documents(silver, "doc_id", size=PARENT_SIZE, overlap=0).select(
-        "doc_id", F.struct("start", "ordinal").alias("p")
-    )
-    spans = parents.groupBy("doc_id").agg(F.array_sort(F.collect_list("p")).alias("spans"))
-    children = chunk.chunk_documents(silver, "doc_id").join(spans, "doc_id")
-    parent = F.element_at(F.filter("spans", lambda s: s["start"] <= F.col("start")), -1)["ordinal"]
-    return children.select(
-        F.concat_ws("#", "doc_id", "ordinal").alias("id"),
-        F.col("chunk_content").alias("text"),
-        F.concat_ws("#", "doc_id", parent).alias("parent_id"),
-    )
+    return chunk.parent_child(spread_out(silver_documents(spark, sf)), "doc_id", "extracted_text", PARENT_SIZE)
 
 
 @query

@@ -91,18 +91,21 @@ def spread_join(
     how: str = "inner",
     small_fits: bool = False,
     salts: int = 64,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equi-join that survives hot keys.
 
     A small side that passed a size check is broadcast. Otherwise the rows of each hot key of `big`
     are spread over `salts` tasks by the hash of `spread_by`, and only the hot rows of `small` are
-    repeated, once per salt.
+    repeated, once per salt. Without hot keys it is a plain join.
     """
     if small_fits:
         return big.join(F.broadcast(small), on, how)
-    hot = hot_keys(big, on).withColumn("_hot", F.lit(True))
-    if not fits(hot):
-        hot = hot.hint("merge")
+    hot = materialize(hot_keys(big, on, hot_rows).withColumn("_hot", F.lit(True)), "hot-keys")
+    if hot.isEmpty():
+        return big.join(small, on, how)
+    if fits(hot):
+        hot = F.broadcast(hot)
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts))
     salted = big.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
     every = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")

@@ -33,14 +33,19 @@ def file_lines(bronze: DataFrame, schema: str) -> DataFrame:
     return bronze.select("path", lines).filter("line != ''").select("path", F.from_json("line", schema).alias("r")).select("path", "r.*")
 
 
-def overwrite(df: DataFrame, path: str, *partition_by: str) -> None:
-    writer = df.write.mode("overwrite")
+def _write(df: DataFrame, path: str, mode: str, partition_by: tuple[str, ...], **options: str) -> None:
+    """Partitioned tables are rebalanced by partition first: few files each, hot partitions split."""
+    placed = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = placed.write.mode(mode).options(**options)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def overwrite(df: DataFrame, path: str, *partition_by: str) -> None:
+    _write(df, path, "overwrite", partition_by)
+
+
 def append(df: DataFrame, path: str, *partition_by: str) -> None:
-    writer = df.write.mode("append")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    _write(df, path, "append", partition_by)
 
 
 def rewrite_partitions(spark: SparkSession, path: str, partition: str, touched: DataFrame, rebuild) -> None:
@@ -56,7 +61,7 @@ def rewrite_partitions(spark: SparkSession, path: str, partition: str, touched:
     aside = scratch_dir(spark, "rewrite")
     rebuild(current).select(*table.columns).write.parquet(aside)
     staged = spark.read.schema(table.schema).parquet(aside)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    _write(staged, path, "overwrite", (partition,), partitionOverwriteMode="dynamic")
     # Dynamic overwrite leaves a partition that lost its last row; its folder is removed by name.
     emptied = touched.join(staged.select(partition).distinct(), partition, "left_anti")
     for row in emptied.toLocalIterator():
