@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from functools import cache
+from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +38,24 @@ def build_session(cpus: int | str = "*", app: str = "shelfwise", **conf: str) ->
     return spark
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings every query relies on, and the package on every Python worker."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    _ship_package(spark.sparkContext.applicationId)
+    return spark
+
+
+@cache
+def _ship_package(application_id: str) -> None:
+    """Hand the package to Spark, which serves it to the executors; once per application."""
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="run-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for module in sorted(package.rglob("*.py")):
+            target.write(module, module.relative_to(package.parent))
+    SparkContext.getOrCreate().addPyFile(str(archive))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder named by the cluster; a fresh /tmp folder only on a local master."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
