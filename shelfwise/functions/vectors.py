@@ -7,8 +7,8 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +18,9 @@ from shelfwise.functions.topk import SCORES_AT_ONCE, BestK
 
 @lru_cache(maxsize=1_000_000)
 def _slot(token: str, dim: int) -> tuple[int, int]:
+    """Bucket and sign of a token; the empty string around separators counts nothing."""
+    if not token:
+        return 0, 0
     digest = hashlib.md5(token.encode()).hexdigest()
     return int(digest[:8], 16) % dim, 1 - 2 * (int(digest[8], 16) % 2)
 
@@ -28,19 +31,22 @@ def hashed_embedding(text: Column, dim: int = config.EMBEDDING_DIM) -> Column:
     Lexical, not semantic. Text without tokens, or whose counts cancel out, gives NULL.
     """
 
-    def embed(spaced: str | None) -> np.ndarray | None:
-        slots = [_slot(t, dim) for t in spaced.split(" ") if t] if spaced else []
-        if not slots:
-            return None
-        at, sign = np.array(slots).T
-        vector = np.bincount(at, weights=sign, minlength=dim)
-        norm = np.sqrt(np.square(vector).sum())
-        return (vector / norm).astype(np.float32) if norm else None
-
-    @F.pandas_udf("array<float>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def embed(spaced: pa.Array) -> pa.Array:
+        words = pc.split_pattern(pc.fill_null(spaced, ""), " ")
+        rows = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
+        coded = words.flatten().dictionary_encode()
+        slots = np.array([_slot(word, dim) for word in coded.dictionary.to_pylist()], np.int64).reshape(-1, 2)
+        slot, sign = slots[coded.indices.to_numpy(zero_copy_only=False)].T
+        sums = np.bincount(rows * dim + slot, weights=sign, minlength=len(words) * dim).reshape(len(words), dim)
+        norm = np.sqrt(np.square(sums).sum(axis=1, keepdims=True))
+        unit = np.divide(sums, norm, out=np.zeros_like(sums), where=norm > 0).astype(np.float32)
+        offsets = pa.array(np.arange(len(words) + 1) * dim, pa.int32())
+        return pa.ListArray.from_arrays(offsets, pa.array(unit.ravel()), mask=pa.array(norm.ravel() == 0))
+
+    @F.arrow_udf("array<float>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield batch.map(embed, na_action=None).astype(object)
+            yield embed(batch)
 
     return run(F.regexp_replace(F.lower(text), TOKEN_SEPARATOR, " "))
 
