@@ -18,7 +18,8 @@ from shelfwise.functions import text as ft
 from shelfwise.functions.keywords import KeywordK, QuestionTerms, term_counts
 from shelfwise.functions.topk import id_array
 from shelfwise.functions.vectors import NearestK, matrix
-from shelfwise.session import BROADCAST_ROWS, fits, spread_join
+from shelfwise.session import BROADCAST_ROWS, fits, scratch_dir, spread_join
+from shelfwise.sources.files import overwrite
 
 # Question matrices up to this size are sent to every task; larger sets take the block join.
 QUESTION_BYTES = 64 * 1024 * 1024
@@ -171,10 +172,32 @@ def nearest_cells(questions: DataFrame, centres: np.ndarray, probes: int) -> Dat
     return questions.withColumn("scope", F.explode(closest("vector")))
 
 
-def knn_ivf(questions: DataFrame, corpus: DataFrame, cells: int = 16, probes: int = 6, **options) -> DataFrame:
-    """Search the `probes` nearest cells of each question, scored exactly."""
+def build_ivf(corpus: DataFrame, path: str, cells: int = 16) -> np.ndarray:
+    """Write the corpus partitioned by cell, hot cells split over files; the cell centres come back."""
     celled, centres = assign_cells(corpus, cells)
-    return knn(nearest_cells(questions, centres, probes), celled.withColumnRenamed("cell", "scope"), **options)
+    overwrite(celled.select("id", "vector", F.col("cell").alias("scope")), path, "scope")
+    return centres
+
+
+def search_ivf(questions: DataFrame, path: str, centres: np.ndarray, probes: int, **options) -> DataFrame:
+    """Search the `probes` nearest cells of each question, scored exactly; other cells are not read."""
+    asked = nearest_cells(questions.select("id", "vector"), centres, probes)
+    probed = F.broadcast(asked.select("scope").distinct())  # at most one row per cell
+    stored = questions.sparkSession.read.parquet(path)
+    return knn(asked, stored.join(probed, "scope", "left_semi"), **options)
+
+
+def knn_ivf(questions: DataFrame, corpus: DataFrame, cells: int = 16, probes: int = 6, **options) -> DataFrame:
+    path = scratch_dir(corpus.sparkSession, "cells")
+    return search_ivf(questions, path, build_ivf(corpus, path, cells), probes, **options)
+
+
+def recall(exact: DataFrame, found: DataFrame) -> DataFrame:
+    """Share of the exact hits an approximate search found, per question."""
+    both = exact.select("question_id", "id").join(
+        found.select("question_id", "id", F.lit(1).alias("hit")), ["question_id", "id"], "left"
+    )
+    return both.groupBy("question_id").agg(F.round(F.count("hit") / F.count(F.lit(1)), 6).alias("recall"))
 
 
 def hyperplane_buckets(vector: Column, dim: int, tables: int, bits: int, seed: int = 42) -> Column:

@@ -10,7 +10,8 @@ from shelfwise.functions.vectors import hashed_embedding
 from shelfwise.operators import chunk, infer, search
 from shelfwise.plans.documents import document_chunks
 from shelfwise.plans.sql import CHUNKS_CTE, chunk_ctes, tokens
-from shelfwise.session import materialize, spread_out
+from shelfwise.session import materialize, scratch_dir, spread_out
+from shelfwise.sources.files import append
 from shelfwise.sources.tables import silver_documents, table
 
 QUERIES = {}
@@ -69,8 +70,9 @@ def embedding_versions(spark: SparkSession, sf: str) -> DataFrame:
     """A second model version (the first half of each vector) beside the first."""
     rows = table(spark, sf, "embeddings")
     half = rows.select("vec_id", F.slice("embedding", 1, DIM // 2).alias("embedding"))
-    long = infer.embedding_versions({"v1": rows, "v2": half}, "vec_id", "embedding")
-    wide = infer.versions_view(long, "vec_id", ["v1", "v2"])
+    store = scratch_dir(spark, "embeddings")
+    append(infer.embedding_versions({"v1": rows, "v2": half}, "vec_id", "embedding"), store, "model_version")
+    wide = infer.versions_view(spark.read.parquet(store), "vec_id", ["v1", "v2"])
     return wide.select(
         "vec_id",
         F.size("v1").alias("dim_v1"),
@@ -277,6 +279,18 @@ def ann_ivf(spark: SparkSession, sf: str) -> DataFrame:
     return search.knn_ivf(rows, rows, k=config.TOP_K, skip_same=True)
 
 
+@query
+def ann_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """How much of the exact result the two approximate searches find, over all questions."""
+    rows = vectors(spark, sf).select("id", "vector")
+    exact = search.knn(rows, rows, config.TOP_K, skip_same=True)
+    out = None
+    for name, found in (("ivf", ann_ivf(spark, sf)), ("lsh", ann_lsh(spark, sf))):
+        mean = search.recall(exact, found).agg(F.lit(name).alias("method"), F.round(F.avg("recall"), 6).alias("recall"))
+        out = mean if out is None else out.unionByName(mean)
+    return out
+
+
 @query
 def ann_lsh(spark: SparkSession, sf: str) -> DataFrame:
     rows = vectors(spark, sf).select("id", "vector")
@@ -371,7 +385,8 @@ ORACLE["bm25_join"] = ORACLE["bm25_search"]
 
 def text_vectors(df: DataFrame) -> DataFrame:
     embedded = infer.embed(spread_out(df), "text", "id")
-    return embedded.filter("embedding_vector IS NOT NULL").select("id", F.col("embedding_vector").alias("vector"))
+    gold = embedded.filter("embedding_vector IS NOT NULL").select("id", F.col("embedding_vector").alias("vector"))
+    return materialize(gold, "vectors")
 
 
 @query

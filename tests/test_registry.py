@@ -11,7 +11,7 @@ import check
 
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
-ROWS_ONLY = {"chunk_recursive_raw", "ann_ivf", "ann_lsh"}
+ROWS_ONLY = {"chunk_recursive_raw", "ann_ivf", "ann_lsh", "ann_recall"}
 # A sample by module; SHELFWISE_ALL=1 runs every key.
 QUICK = (
     "ingest_files_stream change_feed index_sync seed_tables extract_text strip_boilerplate_lines chunk_recursive "
