@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.session import fits, materialize
+from shelfwise.session import fits, materialize, spread_join
 
 
 def fingerprint(df: DataFrame, columns: list[str]) -> Column:
@@ -53,8 +53,13 @@ def touched_partitions(changes: DataFrame, partition: str) -> DataFrame:
 
 
 def erase(layers: dict[str, DataFrame], erased: DataFrame, key: str) -> dict[str, DataFrame]:
-    """Every layer without the rows that descend from an erased document."""
-    return {name: df.join(erased.select(key).distinct(), key, "left_anti") for name, df in layers.items()}
+    """Every layer without the rows that descend from an erased document.
+
+    A short list of erasures is broadcast; with a long one the rows of a large document are spread.
+    """
+    gone = erased.select(key).distinct()
+    few = fits(gone)
+    return {name: spread_join(df, gone, [key], df.columns, "left_anti", small_fits=few) for name, df in layers.items()}
 
 
 def residue(layers: dict[str, DataFrame], erased: DataFrame, key: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise import config
 from shelfwise.functions.vectors import hashed_embedding
-from shelfwise.session import spread_join
+from shelfwise.session import fits, spread_join
 
 
 def batch_infer(
@@ -62,9 +62,10 @@ def requeue(results: DataFrame, key: str) -> DataFrame:
     return results.filter("status = 'ERROR'").select(key)
 
 
-def pending(source: DataFrame, target: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of source that target does not have yet."""
-    return source.join(target.select(*on), on, "left_anti")
+def pending(source: DataFrame, target: DataFrame, on: list[str], spread_by: list[str]) -> DataFrame:
+    """Rows of source that target does not have yet; a value copied very often is spread."""
+    done = target.select(*on).distinct()
+    return spread_join(source, done, on, spread_by, "left_anti", small_fits=fits(done))
 
 
 def vector_problem(vector: Column, dim: int) -> Column:

@@ -137,12 +137,10 @@ def quality_trend(events: DataFrame, series: str, timestamp: str, value: str, dr
 def golden_candidates(failed: DataFrame, golden: DataFrame, question: str, golden_text: str) -> DataFrame:
     """Questions of failed requests that are not golden yet, one row per distinct text."""
     known = golden.select(F.md5(golden_text).alias("content_hash"))
-    return (
-        failed.withColumn("content_hash", F.md5(question))
-        .join(known, "content_hash", "left_anti")
-        .groupBy("content_hash")
-        .agg(F.min("request_id").alias("request_id"), F.count(F.lit(1)).alias("times"))
+    asked = failed.groupBy(F.md5(question).alias("content_hash")).agg(
+        F.min("request_id").alias("request_id"), F.count(F.lit(1)).alias("times")
     )
+    return asked.join(known, "content_hash", "left_anti")
 
 
 def question_drift(questions: DataFrame, corpus_text: DataFrame, day: str, text: str, corpus_col: str) -> DataFrame:

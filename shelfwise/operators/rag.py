@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise import config
 from shelfwise.functions import text as ft
 from shelfwise.operators import search
+from shelfwise.session import fits, spread_join
 
 # Patterns that send a question to each tool.
 ROUTES = (
@@ -76,8 +77,11 @@ def stock_reply(stock: Column) -> Column:
 
 
 def check_inventory(requests: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Reply per requested `sku`; the inventory is broadcast by Spark when it is small enough."""
-    return requests.join(inventory.select("sku", "stock"), "sku", "left").withColumn("reply", stock_reply(F.col("stock")))
+    """Reply per requested `sku`: a size-checked broadcast lookup, else a join with hot SKUs spread."""
+    stock = inventory.select("sku", "stock")
+    spread_by = [c for c in requests.columns if c != "sku"] or ["sku"]
+    found = spread_join(requests, stock, ["sku"], spread_by, "left", small_fits=fits(stock))
+    return found.withColumn("reply", stock_reply(F.col("stock")))
 
 
 class ViewRegistry:

@@ -10,7 +10,7 @@ from shelfwise.functions import text as ft
 from shelfwise.operators import guard, memory, rag, warehouse
 from shelfwise.plans.documents import document_chunks, sql_text
 from shelfwise.plans.sql import CHUNKS_CTE
-from shelfwise.session import scratch_dir, spread_out
+from shelfwise.session import scratch_dir, spread_join, spread_out
 from shelfwise.sources import files
 from shelfwise.sources.tables import table
 
@@ -182,10 +182,9 @@ UNION ALL SELECT 'total', NULL, month, CAST(sum(total_revenue) AS DOUBLE) FROM m
 def stock_decision(spark: SparkSession, sf: str) -> DataFrame:
     """Sell, wait or substitute for every requested SKU, by stock and mean days from order to shipment."""
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate")
     lead = (
-        table(spark, sf, "lineitem")
-        .select("l_orderkey", "l_partkey", "l_shipdate")
-        .join(orders, "l_orderkey")
+        spread_join(lines, orders, ["l_orderkey"], ["l_partkey", "l_shipdate"])
         .groupBy(F.col("l_partkey").alias("sku"))
         .agg((F.sum(F.date_diff("l_shipdate", "o_orderdate")) / F.count(F.lit(1))).alias("lead_days"))
     )

@@ -115,7 +115,7 @@ def resume_anti_join(spark: SparkSession, sf: str) -> DataFrame:
     """Documents of sources still to be embedded, after a run that stopped past the English ones."""
     docs = table(spark, sf, "documents").select("doc_id", "lang", F.md5("text").alias("content_hash"))
     done = docs.filter("lang = 'en'").select("content_hash").distinct()
-    return infer.pending(docs, done, ["content_hash"]).select("doc_id", "content_hash")
+    return infer.pending(docs, done, ["content_hash"], ["doc_id"]).select("doc_id", "content_hash")
 
 
 ORACLE["resume_anti_join"] = """
