@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise import config
+from shelfwise.config import TableNames
 from shelfwise.operators import changes, chunk, ingest, text
+from shelfwise.plans.build import DocumentBuild
 from shelfwise.plans.documents import SQL_PAGE_TEXT, document_chunks
 from shelfwise.plans.sql import CHUNKS_CTE
 from shelfwise.session import materialize, scratch_dir
@@ -356,6 +358,44 @@ UNION ALL SELECT 'documents', 'language', count(*), count(*) FILTER (lang NOT IN
 UNION ALL SELECT 'documents', 'long', count(*), count(*) FILTER (n_chars < 100) FROM documents"""
 
 
+DOCUMENT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def silver_step(bronze: DataFrame) -> DataFrame:
+    """Documents packed in landed files, extracted; a document's path is its own."""
+    rows = files.file_lines(bronze.select("path", "content"), DOCUMENT).withColumnRenamed("path", "file")
+    cleaned = rows.withColumn("extracted_text", text.extracted_or_marker(F.col("text")))
+    return text.drop_extraction_errors(cleaned).select(
+        "doc_id", F.concat(F.lit("doc/"), F.col("doc_id")).alias("path"), F.col("source").alias("source_system"),
+        F.col("lang").alias("region"), "extracted_text",
+    )
+
+
+@query
+def document_build(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole build over catalog tables, run after each of two drops of documents."""
+    root = scratch_dir(spark, "build")
+    build = DocumentBuild(spark, TableNames(schema=f"build_{root[-32:]}"), root).create()
+    docs = table(spark, sf, "documents")
+    for drop in (docs.filter("lang = 'en'"), docs.filter("lang != 'en'")):
+        files.land_json(drop, f"{root}/landing")
+        build.ingest(f"{root}/landing")
+        build.parse(silver_step)
+        build.chunk()
+        build.embed()
+    gold = spark.read.table(build.names.vectors)
+    return gold.groupBy("path", "source_system", "region").agg(
+        F.count(F.lit(1)).alias("chunks"), F.count_distinct("chunk_key").alias("keys"), F.count("embedding_vector").alias("vectors")
+    )
+
+
+ORACLE["document_build"] = f"""
+WITH RECURSIVE {CHUNKS_CTE}
+SELECT concat('doc/', doc_id) AS path, source AS source_system, lang AS region, count(*) AS chunks, count(*) AS keys,
+  count(*) FILTER (regexp_matches(c.text, '[\\p{{L}}\\p{{N}}]')) AS vectors
+FROM chunks c JOIN documents d USING (doc_id) GROUP BY 1, 2, 3"""
+
+
 # ---------------------------------------------------------------- live monitoring streams
 
 
