@@ -21,6 +21,9 @@ PII_PATTERNS = (
     ("secret", r"\b[A-Fa-f0-9]{32,}\b", "[SECRET]"),
 )
 
+# Every match of a pattern above holds a digit, an at sign or a long run of hex letters.
+PII_HINT = r"[0-9@]|[A-Fa-f]{32}"
+
 # HTML entities decoded after tags are removed; the ampersand comes last.
 HTML_ENTITIES = (
     ("&nbsp;", " "),
@@ -77,10 +80,6 @@ def html_to_text(html: Column) -> Column:
     return reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), HTML_ENTITIES, text)
 
 
-def redact(col: Column) -> Column:
-    return reduce(lambda c, p: F.regexp_replace(c, p[1], p[2]), PII_PATTERNS, col)
-
-
 def preview(*candidates: Column, width: int = 80) -> Column:
     """First non-null candidate cut to `width` characters, followed by an ellipsis."""
     return F.concat(F.substring(F.coalesce(*candidates, F.lit("N/A")), 1, width), F.lit("..."))
