@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwise import config
@@ -50,10 +51,11 @@ def test_html(spark):
     assert [r[0] for r in text.extract_html(df).collect()] == ["a&lt;b c d", None]
 
 
-def test_boilerplate(spark):
+@pytest.mark.parametrize("listed", [100, 0])
+def test_boilerplate(spark, listed):
     rows = [(1, "menu\none\nfoot\x00er"), (2, "menu\ntwo\nfooter"), (3, "menu\nthree"), (4, "menu")]
     df = spark.createDataFrame(rows, "id long, t string")
-    out = {r.id: (r.clean_text, r.lines_removed) for r in text.strip_boilerplate_lines(df, "id", "t", 3).collect()}
+    out = {r.id: (r.clean_text, r.lines_removed) for r in text.strip_boilerplate_lines(df, "id", "t", 3, listed).collect()}
     assert out == {1: ("one\nfooter", 1), 2: ("two\nfooter", 1), 3: ("three", 1), 4: ("", 1)}
 
 
