@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from shelfwise.llm import decontaminate
+from shelfwise.llm import decontaminate, mixing, sharding
 
-MODULES = (decontaminate,)
+MODULES = (decontaminate, mixing, sharding)
 
 
 def queries() -> dict:
