@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from shelfwise.llm import decontaminate, mixing, sharding
+from shelfwise.llm import decontaminate, mixing, scoring, sharding
 
-MODULES = (decontaminate, mixing, sharding)
+MODULES = (decontaminate, mixing, scoring, sharding)
 
 
 def queries() -> dict:
