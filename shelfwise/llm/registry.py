@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from shelfwise.llm import decontaminate, mixing, scoring, sharding
+from shelfwise.llm import chat, decontaminate, mixing, scoring, sharding, topk
 
-MODULES = (decontaminate, mixing, scoring, sharding)
+MODULES = (chat, decontaminate, mixing, scoring, sharding, topk)
 
 
 def queries() -> dict:
