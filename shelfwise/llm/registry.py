@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from shelfwise.llm import chat, decontaminate, mixing, scoring, sharding, topk
+from shelfwise.llm import chat, decontaminate, mixing, scoring, secret_scan, sharding, topk
 
-MODULES = (chat, decontaminate, mixing, scoring, sharding, topk)
+MODULES = (chat, decontaminate, mixing, scoring, secret_scan, sharding, topk)
 
 
 def queries() -> dict:
