@@ -267,8 +267,11 @@ def listed(spans: str):
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_documents(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("bigint").alias(f"n_{kind}") for kind in KINDS]
-    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"), "layers", "cut")
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, KINDS), F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"), "layers", "cut")
 
 
 QUERIES = {"op9_secret_scan": op9_secret_scan}
