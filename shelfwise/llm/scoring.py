@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import textbytes
+from shelfwise.llm.folds import fold
 from shelfwise.session import materialize, spread_out
 from shelfwise.sources.tables import table
 
@@ -35,11 +36,6 @@ EDGE = 0xFF
 NODES = 1 << 24
 
 
-def fold(id_col: str, n: int = 5) -> Column:
-    """crc32 of the id as text, modulo n."""
-    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % n
-
-
 def trigram_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes of (two bytes of context, symbol) for every symbol of every text, its end included; texts start at `first`."""
     lengths = np.diff(offsets)
