@@ -8,9 +8,9 @@ never holds. Each task counts its three-byte nodes, Spark adds the counts up; 2^
 the trie is at most that large whatever the corpus, and the table of code lengths built from it is 64 MB
 always. This bound is why the depth is a constant: deeper tries grow with the corpus and fit no task.
 
-The base score needs the corpus count of every word. Texts are taken in blocks of a few megabytes; a block
-sends each of its distinct words once, the counts are joined back by word (a join Spark can split on hot
-words, never a broadcast vocabulary), and return to their block, where the documents are summed up.
+The base score needs the corpus count of every word. Texts are taken in blocks of 16 MB; a block sends each of
+its distinct words once, counts are summed by word (a word has one row per block at most, however common) and
+return to their block, where the documents are summed up. No vocabulary is broadcast or collected.
 
 Defined results: a null or empty text has the end token only; equal rows and equal ids are scored one by one; an
 empty table gives no rows; without any training row every count is 0 and the trie is uniform; a null id counts
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm import textbytes
@@ -32,6 +32,8 @@ from shelfwise.llm.folds import fold
 from shelfwise.session import materialize, spread_out
 from shelfwise.sources.tables import table
 
+# Text bytes that share one word list.
+DICTIONARY_BYTES = 16 << 20
 EDGE = 0xFF
 NODES = 1 << 24
 
@@ -139,59 +141,115 @@ def _one(values, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _block_maker(shared, kind: pa.DataType):
-    """One row per block of texts: its documents, their words as numbers into the block's own word list, and that list."""
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers below 2^28 as bytes of seven bits, the highest bit set on all but a number's last byte."""
+    sizes = 1 + sum((values >= 1 << 7 * k).astype(np.int64) for k in (1, 2, 3))
+    ends = np.cumsum(sizes)
+    out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
+    for k in range(4):
+        own = np.flatnonzero(sizes > k)
+        out[ends[own] - sizes[own] + k] = (values[own] >> 7 * k & 127) | np.where(sizes[own] > k + 1, 128, 0)
+    return out.tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    """The numbers `pack` was given."""
+    raw = np.frombuffer(data, np.uint8)
+    last = np.flatnonzero(raw < 128)
+    first = np.concatenate([[0], last[:-1] + 1]).astype(np.int64) if len(last) else last
+    place = np.arange(len(raw)) - np.repeat(first, last - first + 1)
+    return np.add.reduceat((raw & 127).astype(np.int64) << 7 * place, first) if len(first) else np.empty(0, np.int64)
+
+
+class _Block:
+    """Documents of up to DICTIONARY_BYTES of text: their words as numbers into the block's own word list, and that list."""
+
+    def __init__(self):
+        self.ids, self.held, self.scores, self.owners, self.words, self.hashes, self.entries = [], [], [], [], [], [], []
+        self.bytes = self.docs = self.known = 0
+
+    def add(self, ids: pa.Array, held: np.ndarray, scores: np.ndarray, found: textbytes.Words) -> None:
+        distinct, at, word = np.unique(textbytes.word_hashes(found), return_index=True, return_inverse=True)
+        self.ids.append(ids)
+        self.held.append(held)
+        self.scores.append(scores)
+        self.owners.append(np.repeat(np.arange(len(ids)), np.diff(found.first)) + self.docs)
+        self.words.append(_binary(found.data, found.starts[at], found.ends[at]))
+        self.hashes.append(distinct)
+        self.entries.append(word + self.known)
+        self.docs += len(ids)
+        self.known += len(distinct)
+        self.bytes += len(found.data)
+
+    def row(self) -> pa.RecordBatch:
+        _, at, merged = np.unique(np.concatenate(self.hashes), return_index=True, return_inverse=True)
+        n = max(len(at), 1)
+        pairs, times = np.unique(np.concatenate(self.owners) * n + merged[np.concatenate(self.entries)], return_counts=True)
+        owner, entry = pairs // n, pairs % n
+        held = np.concatenate(self.held)
+        sizes = np.bincount(owner, minlength=self.docs)
+        gaps = np.diff(entry, prepend=0)
+        begins = np.flatnonzero(np.diff(owner, prepend=-1))
+        gaps[begins] = entry[begins]
+        columns = {
+            "ids": _one(pa.concat_arrays(self.ids), None),
+            "held": _one(held, pa.bool_()),
+            "scores": _one(np.concatenate(self.scores), pa.float64()),
+            "bag": pa.array([pack(sizes)], pa.binary()),
+            "gaps": pa.array([pack(gaps)], pa.binary()),
+            "times": pa.array([pack(times)], pa.binary()),
+            "words": _one(pa.concat_arrays(self.words).take(pa.array(at)), pa.binary()),
+            "learned": _one(np.bincount(entry, np.where(held[owner], 0, times), len(at)).astype(np.int64), pa.int64()),
+        }
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def _block_maker(shared):
+    """One row per block of documents, with the documents' PPM scores."""
     mapped = textbytes.nonspace_table()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = _Block()
         for batch in batches:
             held = np.asarray(batch["held_out"].to_numpy(zero_copy_only=False), bool)
             for low, high, data, offsets in textbytes.blocks(batch["text"]):
-                found = textbytes.words(data, offsets, mapped)
-                distinct, at, word = np.unique(textbytes.word_hashes(found), return_index=True, return_inverse=True)
-                doc = np.repeat(np.arange(high - low), np.diff(found.first))
-                pairs, times = np.unique(doc * max(len(distinct), 1) + word, return_counts=True)
-                owner, entry = pairs // max(len(distinct), 1), pairs % max(len(distinct), 1)
-                learned = np.bincount(entry, np.where(held[low:high][owner], 0, times), len(distinct)).astype(np.int64)
                 codes, first = trigram_codes(data, offsets)
                 scores = np.add.reduceat(shared.value[codes].astype(np.float64), first[:-1])
-                del codes
-                columns = {
-                    "ids": _one(batch["id"].slice(low, high - low), kind),
-                    "held": _one(held[low:high], pa.bool_()),
-                    "scores": _one(scores, pa.float64()),
-                    "sizes": _one(np.bincount(owner, minlength=high - low).astype(np.int32), pa.int32()),
-                    "entries": _one(entry.astype(np.int32), pa.int32()),
-                    "times": _one(times.astype(np.int32), pa.int32()),
-                    "words": _one(_binary(found.data, found.starts[at], found.ends[at]), pa.binary()),
-                    "learned": _one(learned, pa.int64()),
-                }
-                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+                block.add(batch["id"].slice(low, high - low), held[low:high], scores, textbytes.words(data, offsets, mapped))
+                if block.bytes >= DICTIONARY_BYTES:
+                    yield block.row()
+                    block = _Block()
+        if block.docs:
+            yield block.row()
 
     return run
 
 
-def _scorer(n: int, distinct: int, end_count: int, kind: pa.DataType):
+def _scorer(n: int, distinct: int, end_count: int):
     """Rows of documents from blocks whose word counts have come back."""
     below = n + 0.5 * (distinct + 1)
-    end = math.log10((end_count + 0.5) / below) if below else 0.0
+    end = math.log10((end_count + 0.5) / below)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                value = {name: batch[name][row].values for name in batch.schema.names if batch.schema.field(name).type != pa.int64()}
-                sizes, times = value["sizes"].to_numpy(), value["times"].to_numpy().astype(np.int64)
-                counts = np.zeros(int(batch["n_words"][row].as_py()), np.int64)
-                if value["places"] is not None and len(value["places"]):
-                    counts[value["places"].to_numpy()] = value["counts"].to_numpy()
-                each = counts[value["entries"].to_numpy()]
+                sizes, times = unpack(batch["bag"][row].as_py()), unpack(batch["times"][row].as_py())
+                entries = np.cumsum(unpack(batch["gaps"][row].as_py()))
                 doc = np.repeat(np.arange(len(sizes)), sizes)
-                base = np.bincount(doc, times * np.log10((each + 0.5) / below), len(sizes)) + end
+                before = np.cumsum(sizes) - sizes  # gaps start anew in every document
+                filled = sizes > 0
+                base = np.zeros(len(sizes), np.int64)
+                base[filled] = np.where(before[filled] > 0, entries[before[filled] - 1], 0)
+                entries = entries - base[doc]
+                counts = np.zeros(int(batch["n_words"][row].as_py()), np.int64)
+                counts[batch["places"][row].values.to_numpy()] = batch["counts"][row].values.to_numpy()
+                each = counts[entries]
+                score = np.bincount(doc, times * np.log10((each + 0.5) / below), len(sizes)) + end
                 known = np.bincount(doc, np.where(each > 0, times, 0), len(sizes)).astype(np.int64) + int(end_count > 0)
                 tokens = np.bincount(doc, times, len(sizes)).astype(np.int64) + 1
                 yield pa.RecordBatch.from_arrays(
-                    [value["ids"], value["held"], pa.array(tokens), pa.array(known), pa.array(np.full(len(sizes), n, np.int64)),
-                     pa.array(base, pa.float64()), value["scores"]],
+                    [batch["ids"][row].values, batch["held"][row].values, pa.array(tokens), pa.array(known),
+                     pa.array(np.full(len(sizes), n, np.int64)), pa.array(score, pa.float64()), batch["scores"][row].values],
                     names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
@@ -203,37 +261,40 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     spark = docs.sparkSession
     narrow = spread_out(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held_out.alias("held_out")))
     lengths = code_lengths(*train_trie(narrow.filter(~F.col("held_out")).select("text")))
-    kind = pa.Schema.from_pandas(docs.select(id_col).limit(0).toPandas(), preserve_index=False).field(0).type
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = (
-        f"ids array<{id_type}>, held array<boolean>, scores array<double>, sizes array<int>, entries array<int>, times array<int>, "
+        f"ids array<{id_type}>, held array<boolean>, scores array<double>, bag binary, gaps binary, times binary, "
         "words array<binary>, learned array<bigint>"
     )
-    blocks = narrow.mapInArrow(_block_maker(spark.sparkContext.broadcast(lengths), kind), schema)
+    blocks = narrow.mapInArrow(_block_maker(spark.sparkContext.broadcast(lengths)), schema)
     blocks = materialize(blocks.withColumn("block", F.monotonically_increasing_id()), "blocks")
-    listed = blocks.select("block", F.posexplode(F.arrays_zip("words", "learned")).alias("place", "entry")).select(
-        "block", "place", F.col("entry.words").alias("word"), F.col("entry.learned").alias("learned")
-    )
-    totals = materialize(listed.filter("learned > 0").groupBy("word").agg(F.sum("learned").alias("n")), "words")
-    sums = totals.agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("n")).first()
-    ends = blocks.agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
-    returned = (
-        listed.select("block", "place", "word")
-        .join(totals, "word")
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("place", "n")).alias("known"))
+    listed = blocks.select("block", F.posexplode(F.arrays_zip("words", "learned")).alias("place", "entry"))
+    # A word has one row per block at most, so one shuffle by word both adds up and hands back.
+    word = Window.partitionBy(F.col("entry.words"))
+    counted = listed.select(
+        "block", "place", F.sum("entry.learned").over(word).alias("n"), (F.min("block").over(word) == F.col("block")).alias("first")
+    ).filter("n > 0")
+    returned = counted.groupBy("block").agg(
+        F.collect_list(F.struct("place", "n")).alias("known"),
+        F.count(F.when(F.col("first"), 1)).alias("v"),
     )
-    joined = blocks.drop("learned").withColumn("n_words", F.size("words").cast("bigint")).drop("words")
-    joined = joined.join(returned, "block", "left").select(
-        "ids", "held", "scores", "sizes", "entries", "times", "n_words",
-        F.coalesce(F.col("known.place"), F.array().cast("array<int>")).alias("places"),
-        F.coalesce(F.col("known.n"), F.array().cast("array<bigint>")).alias("counts"),
+    returned = materialize(returned.select("block", "v", "known.place", "known.n"), "counts")
+    v = returned.agg(F.sum("v")).first()[0] or 0
+    learned = blocks.agg(
+        F.sum(F.aggregate("learned", F.lit(0).cast("bigint"), lambda a, b: a + b)), F.sum(F.size(F.filter("held", lambda h: ~h)))
+    ).first()
+    ends = learned[1] or 0
+    n = (learned[0] or 0) + ends
+    joined = blocks.drop("learned").withColumn("n_words", F.size("words").cast("bigint")).drop("words").join(returned, "block", "left")
+    joined = joined.select(
+        "ids", "held", "scores", "bag", "gaps", "times", "n_words",
+        F.coalesce("place", F.array().cast("array<int>")).alias("places"),
+        F.coalesce("n", F.array().cast("array<bigint>")).alias("counts"),
     )
     out = (
         f"id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     )
-    v, n = sums.v + (ends > 0), (sums.n or 0) + ends
-    return joined.mapInArrow(_scorer(n, v, ends, kind), out).withColumnRenamed("id", id_col)
+    return joined.mapInArrow(_scorer(n, v + (ends > 0), ends), out).withColumnRenamed("id", id_col)
 
 
 def op7_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Text bytes handled at a time; the arrays of one block take some 40 times as much. A longer document is a block alone.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 _SEED = np.random.default_rng(0x5EED)
 _BYTE_KEYS = _SEED.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -108,7 +108,7 @@ def _powers(name: str, base: np.uint64, n: int) -> np.ndarray:
         table[0] = 1
         with np.errstate(over="ignore"):
             table = np.multiply.accumulate(table)
-        if size > 2 * BLOCK_BYTES:  # one huge document: not worth keeping
+        if size > 4 * BLOCK_BYTES:  # one huge document: not worth keeping
             return table
         _POWERS[name] = have = table
     return have
