@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from shelfwise.llm import chat, decontaminate, mixing, quality, scoring, secret_scan, sharding, topk
+from shelfwise.llm import chat, decontaminate, mixing, neardup, quality, scoring, secret_scan, sharding, topk
 
-MODULES = (chat, decontaminate, mixing, quality, scoring, secret_scan, sharding, topk)
+MODULES = (chat, decontaminate, mixing, neardup, quality, scoring, secret_scan, sharding, topk)
 
 
 def queries() -> dict:
