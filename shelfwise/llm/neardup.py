@@ -17,7 +17,8 @@ counted: those take one product per pair of blocks.
 Defined results: words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z; a text of fewer than five
 words has one shingle, all its words; texts without words are copies if they are equal; a null text is
 alone in its class; repeated rows are copies; the class id is the smallest id of the class that is not null; an
-empty table gives no rows; other columns are ignored by `jaccard_classes` and kept by `drop_near_duplicates`.
+empty table gives no rows; other columns are ignored by `jaccard_classes` and kept by `drop_near_duplicates`
+(whose documents may not have columns that start with `_dup_`).
 """
 
 from __future__ import annotations
@@ -325,19 +326,19 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Only rows that go, or that repeat the one that stays, are looked up; the rest pass where they are read.
     """
     classes = jaccard_classes(docs, id_col, text_col, **settings)
-    marks = classes.groupBy(F.col("id").alias("_id"), F.col("key").alias("_key")).agg(
-        F.max("stays").alias("_stays"), F.count(F.lit(1)).alias("_n"), F.max("n_copies").alias("_copies")
+    marks = classes.groupBy(F.col("id").alias("_dup_id"), F.col("key").alias("_dup_key")).agg(
+        F.max("stays").alias("_dup_stays"), F.count(F.lit(1)).alias("_dup_n"), F.max("n_copies").alias("_dup_copies")
     )
     # Null texts have no copies, so each of their rows stays.
-    marks = materialize(marks.filter("NOT _stays OR (_n > 1 AND _copies > 1)").select("_id", "_key", "_stays"), "marks")
+    marks = materialize(marks.filter("NOT _dup_stays OR (_dup_n > 1 AND _dup_copies > 1)").select("_dup_id", "_dup_key", "_dup_stays"), "marks")
     lookup = F.broadcast(marks) if fits(marks) else marks
-    matched = docs[id_col].eqNullSafe(F.col("_id")) & (text_key(text_col) == F.col("_key"))
+    matched = docs[id_col].eqNullSafe(F.col("_dup_id")) & (text_key(text_col) == F.col("_dup_key"))
     joined = docs.join(lookup, matched, "left")
-    kept = joined.filter("_stays IS NULL").select(*[docs[c] for c in docs.columns])
-    if marks.filter("_stays").isEmpty():
+    kept = joined.filter("_dup_stays IS NULL").select(*[docs[c] for c in docs.columns])
+    if marks.filter("_dup_stays").isEmpty():
         return kept
-    one = Window.partitionBy("_id", "_key").orderBy(F.xxhash64(*[docs[c] for c in docs.columns]))
-    repeated = joined.filter("_stays").withColumn("_place", F.row_number().over(one)).filter("_place = 1")
+    one = Window.partitionBy("_dup_id", "_dup_key").orderBy(F.xxhash64(*[docs[c] for c in docs.columns]))
+    repeated = joined.filter("_dup_stays").withColumn("_dup_place", F.row_number().over(one)).filter("_dup_place = 1")
     return kept.unionByName(repeated.select(*[docs[c] for c in docs.columns]))
 
 

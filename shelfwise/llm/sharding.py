@@ -141,7 +141,7 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cuts = placed.filter(F.col("rank").isin(wanted)).orderBy("rank").collect() if wanted else []
     cells = materialize(levels.select(*names, "curve").distinct(), "cells")  # by value, not by row
     cells = F.broadcast(cells) if fits(cells) else cells
-    keyed = described(docs.select(F.struct(*docs.columns).alias("row"), *docs.columns), id_col, text_col, list(dimensions), ["row"])
+    keyed = described(docs.select(F.struct(*docs.columns).alias("_shard_row"), *docs.columns), id_col, text_col, list(dimensions), ["_shard_row"])
     matched = [keyed[n].eqNullSafe(F.col(f"_{n}")) for n in names]
     keyed = keyed.join(cells.select(*[F.col(n).alias(f"_{n}") for n in names], "curve"), matched)
     own = F.struct(*[F.col(c) for c in SORT])
@@ -154,7 +154,7 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt = keyed.withColumn("shard", shard).repartitionByRange(F.col("shard"), *[F.col(c).asc_nulls_first() for c in SORT])
     dealt = dealt.sortWithinPartitions("shard", *[F.col(c).asc_nulls_first() for c in SORT])
     extra = [c for c in ("shard", "curve") if c not in docs.columns]
-    return dealt.select(*[F.col("row")[c].alias(c) for c in docs.columns], *extra)
+    return dealt.select(*[F.col("_shard_row")[c].alias(c) for c in docs.columns], *extra)
 
 
 def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
