@@ -5,10 +5,10 @@ the whole training part of the corpus. A symbol not seen in a context costs an e
 plus distinct, method C) to the next shorter context, where the symbols of the longer ones are excluded; the
 last resort is uniform over what is left. Texts start after two bytes 0xFF and end with one, which UTF-8
 never holds. Each task counts its three-byte nodes, Spark adds the counts up; 2^24 nodes are possible, so
-the trie is at most that large whatever the corpus, and the table of code lengths built from it is 64 MB
-always. This bound is why the depth is a constant: deeper tries grow with the corpus and fit no task.
+the trie is at most that large whatever the corpus, and the table of code lengths built from it is 67 MB
+at most. This bound is why the depth is a constant: deeper tries grow with the corpus and fit no task.
 
-The base score needs the corpus count of every word. Texts are taken in blocks of 16 MB; a block sends each of
+The base score needs the corpus count of every word. Texts are taken in blocks of 8 MB; a block sends each of
 its distinct words once, counts are summed by word (a word has one row per block at most, however common) and
 return to their block, where the documents are summed up. No vocabulary is broadcast or collected.
 
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +34,8 @@ from shelfwise.session import materialize, spread_out
 from shelfwise.sources.tables import table
 
 # Text bytes that share one word list.
-DICTIONARY_BYTES = 16 << 20
+DICTIONARY_BYTES = 8 << 20
 EDGE = 0xFF
-NODES = 1 << 24
 
 
 def trigram_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,18 +80,38 @@ def train_trie(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return nodes["code"].to_numpy(), nodes["n"].to_numpy()
 
 
-def code_lengths(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """log10 probability of every (context, symbol): float32 of 2^24 entries."""
-    full = np.zeros(NODES, np.int64)
-    full[codes] = counts
-    full = full.reshape(256, 256, 256)  # first byte, second byte, symbol
-    one, none = full.sum(axis=0), full.sum(axis=(0, 1))
-    out = np.empty((256, 256, 256), np.float32)
-    for second in range(256):
-        chance = np.zeros((256, 256))
-        reach = np.ones((256, 1))  # probability of having escaped so far
-        excluded = np.zeros((256, 256), bool)
-        for level in (full[:, second, :], one[second][None, :], none[None, :]):
+class CodeLengths(NamedTuple):
+    """log10 probabilities: row `rows[context]` of `table` has those of the 256 symbols after the two bytes of a context.
+
+    Contexts that were never seen share the row of their second byte, so the table has a row per seen context and
+    256 more: at most 65,792 rows or 67 MB.
+    """
+
+    rows: np.ndarray
+    table: np.ndarray
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        return self.table[self.rows[codes >> 8], codes & 255]
+
+
+def code_lengths(codes: np.ndarray, counts: np.ndarray) -> CodeLengths:
+    """Code lengths of a trie."""
+    seen, context = np.unique(codes >> 8, return_inverse=True)
+    rows = np.arange(1 << 16, dtype=np.int32) % 256 + len(seen)
+    rows[seen] = np.arange(len(seen))
+    second = np.concatenate([seen & 255, np.arange(256)])
+    one = np.zeros((256, 256), np.int64)
+    np.add.at(one, (codes >> 8 & 255, codes & 255), counts)
+    none = one.sum(axis=0)
+    table_ = np.empty((len(second), 256), np.float32)
+    for low in range(0, len(second), 1024):
+        own = slice(low, low + 1024)
+        two = np.zeros((len(second[own]), 256), np.int64)
+        at = (context >= low) & (context < low + 1024)
+        two[context[at] - low, codes[at] & 255] = counts[at]
+        chance, excluded = np.zeros(two.shape), np.zeros(two.shape, bool)
+        reach = np.ones((len(two), 1))  # probability of having escaped so far
+        for level in (two, one[second[own]], none[None, :]):
             left = np.where(excluded, 0, level)
             kinds, total = (left > 0).sum(axis=1, keepdims=True), left.sum(axis=1, keepdims=True)
             size = np.maximum(total + kinds, 1)
@@ -100,21 +120,25 @@ def code_lengths(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
             excluded = excluded | (left > 0)
         rest = (~excluded).sum(axis=1, keepdims=True)
         chance += np.where(excluded, 0.0, reach / np.maximum(rest, 1))
-        out[:, second, :] = np.log10(chance)
-    return out.reshape(-1)
+        table_[own] = np.log10(chance)
+    return CodeLengths(rows, table_)
 
 
-def ppm_scores(texts: pa.Array, table_: np.ndarray) -> np.ndarray:
+def ppm_scores(texts: pa.Array, lengths: CodeLengths) -> np.ndarray:
     """log10 probability of each text under the trie."""
     out = [np.empty(0)]
     for _, _, data, offsets in textbytes.blocks(texts):
-        codes, first = trigram_codes(data, offsets)
-        out.append(np.add.reduceat(table_[codes].astype(np.float64), first[:-1]))
+        out.append(_block_scores(data, offsets, lengths))
     return np.concatenate(out)
 
 
-def score_texts(docs: DataFrame, lengths: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) with a table of code lengths from `code_lengths`, which is 64 MB for any corpus."""
+def _block_scores(data: np.ndarray, offsets: np.ndarray, lengths: CodeLengths) -> np.ndarray:
+    codes, first = trigram_codes(data, offsets)
+    return np.add.reduceat(lengths.of(codes), first[:-1], dtype=np.float64)
+
+
+def score_texts(docs: DataFrame, lengths: CodeLengths, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, score) with code lengths from `code_lengths`, which are 67 MB at most for any corpus."""
     shared = docs.sparkSession.sparkContext.broadcast(lengths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,10 +197,10 @@ class _Block:
         self.ids.append(ids)
         self.held.append(held)
         self.scores.append(scores)
-        self.owners.append(np.repeat(np.arange(len(ids)), np.diff(found.first)) + self.docs)
+        self.owners.append(np.repeat(np.arange(self.docs, self.docs + len(ids), dtype=np.int32), np.diff(found.first)))
         self.words.append(_binary(found.data, found.starts[at], found.ends[at]))
         self.hashes.append(distinct)
-        self.entries.append(word + self.known)
+        self.entries.append((word + self.known).astype(np.int32))
         self.docs += len(ids)
         self.known += len(distinct)
         self.bytes += len(found.data)
@@ -184,8 +208,10 @@ class _Block:
     def row(self) -> pa.RecordBatch:
         _, at, merged = np.unique(np.concatenate(self.hashes), return_index=True, return_inverse=True)
         n = max(len(at), 1)
-        pairs, times = np.unique(np.concatenate(self.owners) * n + merged[np.concatenate(self.entries)], return_counts=True)
-        owner, entry = pairs // n, pairs % n
+        pairs = np.concatenate(self.owners).astype(np.int64) * n
+        pairs += merged[np.concatenate(self.entries)]
+        pairs, times = np.unique(pairs, return_counts=True)
+        owner, entry = np.divmod(pairs, n)
         held = np.concatenate(self.held)
         sizes = np.bincount(owner, minlength=self.docs)
         gaps = np.diff(entry, prepend=0)
@@ -213,8 +239,7 @@ def _block_maker(shared):
         for batch in batches:
             held = np.asarray(batch["held_out"].to_numpy(zero_copy_only=False), bool)
             for low, high, data, offsets in textbytes.blocks(batch["text"]):
-                codes, first = trigram_codes(data, offsets)
-                scores = np.add.reduceat(shared.value[codes].astype(np.float64), first[:-1])
+                scores = _block_scores(data, offsets, shared.value)
                 block.add(batch["id"].slice(low, high - low), held[low:high], scores, textbytes.words(data, offsets, mapped))
                 if block.bytes >= DICTIONARY_BYTES:
                     yield block.row()
