@@ -53,8 +53,8 @@ class QuestionTerms:
 class KeywordK(BestK):
     """Best BM25 scores of one task."""
 
-    def __init__(self, terms: QuestionTerms, k: int):
-        super().__init__(terms.question_ids, k)
+    def __init__(self, terms: QuestionTerms, k: int, best_per_id: bool = False):
+        super().__init__(terms.question_ids, k, best_per_id)
         self.terms = terms
 
     def add(self, batch: pa.RecordBatch) -> None:

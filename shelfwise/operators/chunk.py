@@ -7,7 +7,6 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfwise import config
@@ -70,13 +69,13 @@ def split_spans(
 
 
 def chunk_array(text: Column, size: int = config.CHUNK_SIZE, overlap: int = config.CHUNK_OVERLAP) -> Column:
-    """Array of (ordinal, start, text); NULL, blank or failing text gives an empty array."""
+    """Array of (ordinal, start, text); NULL or blank text gives an empty array, failing text NULL."""
 
-    def chunks(text: str | None) -> list[dict]:
+    def chunks(text: str | None) -> list[dict] | None:
         try:
             spans = split_spans(text, size, overlap) if text else []
-        except Exception:  # noqa: BLE001 - one bad document never fails the job
-            return []
+        except Exception:  # noqa: BLE001 - one bad document never fails the job; see failed_documents
+            return None
         out = []
         for begin, end in spans:
             piece = text[begin:end]
@@ -94,6 +93,11 @@ def chunk_array(text: Column, size: int = config.CHUNK_SIZE, overlap: int = conf
     return run(text)
 
 
+def failed_documents(df: DataFrame, chunks: str) -> DataFrame:
+    """Documents that could not be split, for quarantine; explode_chunks has no rows of them."""
+    return df.filter(F.col(chunks).isNull()).drop(chunks).withColumn("reject_reason", F.lit("split_failed"))
+
+
 def explode_chunks(df: DataFrame, chunks: str, *keep: str) -> DataFrame:
     """One row per non-empty chunk; documents without chunks vanish.
 
@@ -136,21 +140,24 @@ def chunk_paragraphs(df: DataFrame, text: str, *keep: str, separator: str = "\n"
 
 
 def chunk_headings(df: DataFrame, text: str, key: str) -> DataFrame:
-    """Sections bounded by markdown headings; every section keeps its heading as context."""
-    lines = df.select(key, F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    heading = F.regexp_extract("line", r"^\s*#{1,6}\s+(.*)$", 1)
-    is_heading = F.col("line").rlike(r"^\s*#{1,6}\s")
-    order = W.partitionBy(key).orderBy("pos")
-    marked = (
-        lines.withColumn("section", F.sum(is_heading.cast("int")).over(order))
-        .withColumn("heading", F.last(F.when(is_heading, F.trim(heading)), ignorenulls=True).over(order))
-        .filter(~is_heading & (F.trim("line") != ""))
-    )
-    return marked.groupBy(key, "section", "heading").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("pos", F.trim("line").alias("line")))), lambda r: r["line"]),
-            "\n",
-        ).alias("chunk_content")
+    """Sections bounded by markdown headings, cut inside the row: (key, section, heading, chunk_content).
+
+    Every section keeps its heading as context; a heading without a body is a section with empty
+    content. Text before the first heading is section 0, without a heading, if it says anything.
+    """
+    pattern = r"^\s*#{1,6}\s"
+    pieces = F.split(F.concat(F.lit("\n"), F.col(text)), r"\n(?=[^\S\n]*#{1,6}[^\S\n])")
+    rows = df.select(key, F.posexplode(pieces).alias("section", "piece"))
+    lines = F.split("piece", "\n")
+    cut = rows.select(key, F.col("section").cast("bigint").alias("section"), lines.alias("lines"))
+    first = F.col("lines")[0]
+    headed = (F.col("section") > 0) & first.rlike(pattern)
+    body = F.when(headed, F.slice("lines", 2, F.size("lines"))).otherwise(F.col("lines"))
+    trimmed = F.filter(F.transform(body, lambda line: F.trim(line)), lambda line: line != "")
+    content = F.array_join(trimmed, "\n")
+    heading = F.when(headed, F.trim(F.regexp_extract(first, r"^\s*#{1,6}\s+(.*)$", 1)))
+    return cut.select(key, "section", heading.alias("heading"), content.alias("chunk_content")).filter(
+        "heading IS NOT NULL OR chunk_content != ''"
     )
 
 

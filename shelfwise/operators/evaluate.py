@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,27 +14,48 @@ from shelfwise import config
 from shelfwise.functions import text as ft
 
 
+OVERLAP = ("n_left", "n_right", "shared", "dot", "sq_left", "sq_right")
+
+
+def _overlaps(left: pa.Array, right: pa.Array) -> list[np.ndarray]:
+    """The `OVERLAP` columns of a batch of two lists of grams per row."""
+    rows = len(left)
+    grams = pa.concat_arrays([left.flatten(), right.flatten()]).dictionary_encode()
+    code, width = grams.indices.to_numpy(zero_copy_only=False).astype(np.int64), max(len(grams.dictionary), 1)
+    sizes = [pc.fill_null(pc.list_value_length(side), 0).to_numpy(zero_copy_only=False).astype(np.int64) for side in (left, right)]
+    split = int(sizes[0].sum())
+    row = [np.repeat(np.arange(rows), n) for n in sizes]
+    (l_key, l_n), (r_key, r_n) = (
+        np.unique(own * width + part, return_counts=True) for own, part in zip(row, (code[:split], code[split:]))
+    )
+    _, at_left, at_right = np.intersect1d(l_key, r_key, assume_unique=True, return_indices=True)
+    both, l_both, r_both = l_key[at_left] // width, l_n[at_left], r_n[at_right]
+
+    def total(key: np.ndarray, value: np.ndarray) -> np.ndarray:
+        return np.bincount(key, value, rows).astype(np.int64)
+
+    return [
+        *sizes, total(both, np.minimum(l_both, r_both)), total(both, l_both * r_both),
+        total(l_key // width, l_n * l_n), total(r_key // width, r_n * r_n),
+    ]
+
+
 def overlap(pairs: DataFrame, key: str, left: str, right: str, n: int = 1) -> DataFrame:
-    """Multiset n-gram overlap of two texts per row: one exchange on (row, gram), then per row.
+    """Multiset n-gram overlap of two texts per row, computed where the row is: no shuffle.
 
-    Columns: n_left, n_right, shared (sum of the smaller counts), dot, sq_left, sq_right. Rows of
-    two empty texts come back with zeros.
+    Columns: n_left, n_right, shared (sum of the smaller counts), dot, sq_left, sq_right. A NULL
+    text is empty; rows of two empty texts come back with zeros.
     """
 
-    def grams(column: str, flag: int) -> DataFrame:
-        phrase = F.explode(ft.ngrams(ft.tokens(F.col(column)), n))
-        return pairs.select(key, phrase.alias("gram"), F.lit(flag).alias("l"), F.lit(1 - flag).alias("r"))
-
-    counts = grams(left, 1).unionByName(grams(right, 0)).groupBy(key, "gram").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-    per_row = counts.groupBy(key).agg(
-        F.sum("l").alias("n_left"),
-        F.sum("r").alias("n_right"),
-        F.sum(F.least("l", "r")).alias("shared"),
-        F.sum(F.col("l") * F.col("r")).alias("dot"),
-        F.sum(F.col("l") * F.col("l")).alias("sq_left"),
-        F.sum(F.col("r") * F.col("r")).alias("sq_right"),
-    )
-    return pairs.select(key).join(per_row, key, "left").na.fill(0)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [pa.array(column) for column in _overlaps(batch["l"], batch["r"])]
+            yield pa.RecordBatch.from_arrays([batch["key"], *found], names=[key, *OVERLAP])
+
+    grams = [ft.ngrams(ft.tokens(F.col(side)), n).alias(name) for side, name in ((left, "l"), (right, "r"))]
+    kind = pairs.schema[key].dataType.simpleString()
+    schema = ", ".join([f"`{key}` {kind}", *(f"{name} bigint" for name in OVERLAP)])
+    return pairs.select(F.col(key).alias("key"), *grams).mapInArrow(run, schema)
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -153,7 +179,7 @@ def blame(df: DataFrame, retrieval_ok: str, answer_ok: str) -> DataFrame:
 
 
 def agreement(df: DataFrame, judge_col: str, human_col: str) -> DataFrame:
-    """Correlation, agreement and Cohen's kappa of two 0/1 columns, from one aggregate."""
+    """Correlation, agreement and Cohen's kappa of two 0/1 columns, from one aggregate; all NULL without rows."""
     j, h = F.col(judge_col), F.col(human_col)
     cells = df.agg(
         F.count(F.lit(1)).alias("n"),
@@ -164,8 +190,8 @@ def agreement(df: DataFrame, judge_col: str, human_col: str) -> DataFrame:
         F.round(F.corr(j.cast("double"), h.cast("double")), 6).alias("correlation"),
     )
     n = F.col("n")
-    observed = (F.col("both_yes") + F.col("both_no")) / n
-    expected = (F.col("judge_yes") * F.col("human_yes") + (n - F.col("judge_yes")) * (n - F.col("human_yes"))) / (n * n)
+    observed = F.try_divide(F.col("both_yes") + F.col("both_no"), n)
+    expected = F.try_divide(F.col("judge_yes") * F.col("human_yes") + (n - F.col("judge_yes")) * (n - F.col("human_yes")), n * n)
     return cells.withColumn("agreement", F.round(observed, 6)).withColumn(
         "kappa", F.when(expected < 1, F.round((observed - expected) / (1 - expected), 6))
     )

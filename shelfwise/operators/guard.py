@@ -92,7 +92,7 @@ def license_audit(documents: DataFrame, derived: DataFrame, key: str, text: str)
 
 
 def confusion(df: DataFrame, predicted: str, actual: str) -> DataFrame:
-    """Counts and rates of a boolean prediction against a boolean truth, in one aggregate."""
+    """Counts and rates of a boolean prediction against a boolean truth, in one aggregate; rates of nothing are NULL."""
     p, a = F.col(predicted), F.col(actual)
     counts = df.agg(
         F.count_if(p & a).alias("true_positive"),
@@ -112,8 +112,10 @@ def confusion(df: DataFrame, predicted: str, actual: str) -> DataFrame:
             "false_positive_rate": rate("false_positive", "true_negative"),
             "false_negative_rate": rate("false_negative", "true_positive"),
             "block_rate": F.round(
-                (F.col("true_positive") + F.col("false_positive"))
-                / (F.col("true_positive") + F.col("false_positive") + F.col("false_negative") + F.col("true_negative")),
+                F.try_divide(
+                    F.col("true_positive") + F.col("false_positive"),
+                    F.col("true_positive") + F.col("false_positive") + F.col("false_negative") + F.col("true_negative"),
+                ),
                 6,
             ),
         }

@@ -74,7 +74,7 @@ def vector_problem(vector: Column, dim: int) -> Column:
     return (
         F.when(vector.isNull(), "missing")
         .when(F.size(vector) != dim, "dimension")
-        .when(F.exists(vector, lambda x: x.isNull() | F.isnan(x)), "not_a_number")
+        .when(F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf"))), "not_a_number")
         .when(norm == 0, "zero_norm")
     )
 

@@ -84,16 +84,24 @@ def rollup(
     turns: DataFrame, session: str, order: str, content: str, every: int = config.SUMMARY_EVERY,
     summarise: Callable[[Column], Column] = leading_sentence,
 ) -> DataFrame:
-    """One summary row per full bucket of `every` turns; later turns stay as they are."""
-    bucket = F.floor(F.col(order) / every)
+    """One summary row per full bucket of `every` turns; the other turns stay as they are, a row each.
+
+    A window spans one bucket, so never more than `every` turns.
+    """
+    bucket = W.partitionBy(session, "bucket")
+    counted = turns.withColumn("bucket", F.floor(F.col(order) / every)).withColumn("_n", F.count(F.lit(1)).over(bucket))
     line = F.struct(F.col(order).alias("o"), summarise(F.col(content)).alias("s"))
-    grouped = turns.groupBy(session, bucket.alias("bucket")).agg(
+    full = counted.filter(F.col("_n") == every).groupBy(session, "bucket").agg(
         F.count(F.lit(1)).alias("turns"), F.array_sort(F.collect_list(line)).alias("lines")
     )
-    return grouped.select(
-        session, "bucket", "turns", (F.col("turns") == every).alias("summarised"),
-        F.array_join(F.transform("lines", lambda x: x["s"]), " ").alias("summary"),
+    summaries = full.select(
+        session, "bucket", "turns", F.lit(True).alias("summarised"),
+        F.array_join(F.transform("lines", lambda x: x["s"]), " ").alias("content"),
+    )
+    raw = counted.filter(F.col("_n") < every).select(
+        session, "bucket", F.lit(1).cast("bigint").alias("turns"), F.lit(False).alias("summarised"), F.col(content).alias("content")
     )
+    return summaries.unionByName(raw)
 
 
 def history_prompts(
@@ -132,3 +140,13 @@ def chat_analytics(turns: DataFrame, session: str, content: str) -> DataFrame:
         F.sum(size.cast("bigint")).alias("chars"),
         F.sum(ft.token_estimate(F.col(content))).alias("tokens"),
     )
+
+
+def lengths_by_day(log: DataFrame) -> DataFrame:
+    """Messages, sessions and mean message length per day of the chat log."""
+    messages = decoded(log)
+    return messages.groupBy(F.date_format("timestamp", "yyyy-MM-dd").alias("day")).agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.count_distinct("session_id").alias("sessions"),
+        F.round(F.avg(F.length("content")), 6).alias("mean_chars"),
+    )

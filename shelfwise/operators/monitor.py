@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise import config
 from shelfwise.functions import text as ft
-from shelfwise.session import fits, spread_join
+from shelfwise.session import fits
 
 MESSAGES = "struct<messages:array<struct<role:string,content:string>>,response:string>"
 
@@ -37,7 +37,7 @@ def spans(events: DataFrame, trace: Column, name: str, latency: str, failed: Col
 
 def trace_rollup(span_rows: DataFrame) -> DataFrame:
     """Latency, errors, token cost and slowest child per trace; all partial aggregates."""
-    tokens = F.col("attributes")["tokens"].cast("bigint")
+    tokens = F.col("attributes")["tokens"].try_cast("bigint")
     slowest = F.max_by("name", F.struct(F.col("latency"), -F.col("event_id")))
     return span_rows.groupBy("trace_id").agg(
         F.count(F.lit(1)).alias("spans"),
@@ -68,8 +68,8 @@ def day_range(column: str, day: date) -> Column:
     return (F.col(column) >= start) & (F.col(column) < F.lit((day + timedelta(days=1)).isoformat()).cast("timestamp"))
 
 
-def logs_yesterday(log: DataFrame, as_of: date, cap: int | None = config.LOG_ROW_CAP) -> DataFrame:
-    """Requests of the day before `as_of`, oldest first, capped for the report."""
+def logs_yesterday(log: DataFrame, as_of: date, cap: int | None = None) -> DataFrame:
+    """Requests of the day before `as_of`; with a cap, the oldest of them in order, for a report."""
     rows = log.filter(day_range("timestamp", as_of - timedelta(days=1))).select(
         F.col("request_metadata.client_request_id").alias("request_id"), "request_payload", "response_payload", "timestamp"
     )
@@ -108,7 +108,7 @@ def feedback_join(requests: DataFrame, feedback: DataFrame) -> DataFrame:
 def topics(questions: DataFrame, day: str, text: str, k: int = 10) -> DataFrame:
     """Most common words per day; words are counted before they are ranked."""
     words = questions.select(day, F.explode(ft.tokens(F.col(text))).alias("topic")).filter(
-        ~F.col("topic").isin(*STOP_WORDS) & (F.length("topic") > 2)
+        ~F.col("topic").isin(*STOP_WORDS)
     )
     counted = words.groupBy(day, "topic").agg(F.count(F.lit(1)).alias("n"))
     order = W.partitionBy(day).orderBy(F.desc("n"), "topic")
@@ -128,7 +128,7 @@ def quality_trend(events: DataFrame, series: str, timestamp: str, value: str, dr
         daily.withColumn("mean", mean)
         .withColumn("change", F.round(F.col("mean") - F.lag("mean").over(order), 6))
         .withColumn("rolling", F.round(rolling, 6))
-        .withColumn("drifted", F.abs(F.col("mean") - rolling) > drift * rolling)
+        .withColumn("drifted", F.abs(F.col("mean") - rolling) > drift * F.abs(rolling))
         .withColumn("mean", F.round("mean", 6))
         .drop("total")
     )
@@ -153,7 +153,11 @@ def question_drift(questions: DataFrame, corpus_text: DataFrame, day: str, text:
     )
     vocabulary = asked.select("term").distinct()
     words = corpus_text.select(F.explode(F.array_distinct(ft.tokens(F.col(corpus_col)))).alias("term"))
-    known = spread_join(words, vocabulary, ["term"], ["term"], "inner", small_fits=fits(vocabulary)).distinct()
+    # One row per word and task, or per word, reaches the join: no word is a hot key.
+    if fits(vocabulary):
+        known = words.join(F.broadcast(vocabulary), "term", "left_semi").distinct()
+    else:
+        known = words.distinct().join(vocabulary, "term", "left_semi")
     marked = asked.join(known.withColumn("known", F.lit(1)), "term", "left")
     new = F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0))
     return marked.groupBy(day).agg(

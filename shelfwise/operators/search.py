@@ -38,7 +38,11 @@ def _arrow_type(df: DataFrame, column: str) -> pa.DataType:
 
 
 def _grouped(values: np.ndarray) -> dict:
-    return {value: np.flatnonzero(values == value) for value in set(values.tolist())}
+    """Positions of each value, from one sort."""
+    distinct, place = np.unique(values, return_inverse=True)
+    order = np.argsort(place, kind="stable")
+    starts = np.searchsorted(place[order], np.arange(len(distinct) + 1))
+    return {value: order[low:high] for value, low, high in zip(distinct.tolist(), starts[:-1], starts[1:])}
 
 
 def knn(
@@ -82,19 +86,20 @@ def knn(
 
         return rank_top(corpus.mapInArrow(scan, schema), k)
 
-    def blocks(df: DataFrame, rows: int) -> int:
-        return max(1, math.ceil(df.count() / rows))
+    # Blocks are cut per scope, so no row meets a block of a foreign scope.
+    sizes = questions.groupBy("scope").agg(F.count(F.lit(1)).alias("q")).join(
+        corpus.groupBy("scope").agg(F.count(F.lit(1)).alias("c")), "scope"
+    ).select("scope", F.ceil(F.col("q") / QUESTION_BLOCK).alias("qn"), F.ceil(F.col("c") / CORPUS_BLOCK).alias("cn"))
+    sizes = F.broadcast(sizes) if fits(sizes) else sizes
 
-    q_blocks, c_blocks = blocks(questions, QUESTION_BLOCK), blocks(corpus, CORPUS_BLOCK)
+    def cut(df: DataFrame, own: str, own_count: str, other: str, other_count: str) -> DataFrame:
+        return df.join(sizes, "scope").select(
+            *[F.col(c).alias(c) for c in ("id", "vector", "scope")],  # new names on each side: both may be one table
+            F.pmod(F.xxhash64("id"), F.col(own_count)).alias(own),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other_count) - 1)).alias(other),
+        )
 
-    def block(n: int, size: int, other: str, count: int) -> tuple[Column, Column]:
-        return (
-            F.pmod(F.xxhash64("id", "scope"), F.lit(n)).alias(size),
-            F.explode(F.sequence(F.lit(0), F.lit(count - 1)).cast("array<bigint>")).alias(other),
-        )
-
-    asked = questions.select("*", *block(q_blocks, "qb", "cb", c_blocks))
-    held = corpus.select("*", *block(c_blocks, "cb", "qb", q_blocks))
+    asked, held = cut(questions, "qb", "qn", "cb", "cn"), cut(corpus, "cb", "cn", "qb", "qn")
 
     def pair(asked_rows: pa.Table, held_rows: pa.Table) -> pa.Table:
         best = holder(asked_rows)
@@ -102,7 +107,8 @@ def knn(
             feed(best, held_rows)
         return pa.Table.from_batches([best.batch(id_type, question_type)])
 
-    scored = asked.groupBy("qb", "cb").cogroup(held.groupBy("qb", "cb")).applyInArrow(pair, schema)
+    keys = ["scope", "qb", "cb"]
+    scored = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(pair, schema)
     return rank_top(scored, k)
 
 
@@ -137,13 +143,18 @@ def rows_for_user(rows: DataFrame, memberships: DataFrame, user: str, region: st
 
 
 def policy_violations(hits: DataFrame, rows: DataFrame, memberships: DataFrame, key: str) -> DataFrame:
-    """Hits (user, key) whose user may not see the row."""
-    shown = hits.join(rows.select(key, "region"), key)
+    """Hits (user, key) whose user may not see the row; a hit on a row that does not exist is one.
+
+    Hits of one user or on one row may be many: both sides they meet are broadcast after a size check, else spread.
+    """
+    listed = rows.select(key, "region")
+    shown = spread_join(hits, listed, [key], ["user"], "left", small_fits=fits(listed))
     groups = memberships.groupBy("user").agg(F.collect_set("group").alias("groups"))
     allowed = F.array_contains("groups", "global_admins") | F.array_contains(
         "groups", F.concat(F.lit("region_"), F.lower("region"))
     )
-    return shown.join(groups, "user", "left").filter(~F.coalesce(allowed, F.lit(False))).drop("groups")
+    granted = spread_join(shown, groups, ["user"], [key], "left", small_fits=fits(groups))
+    return granted.filter(~F.coalesce(allowed, F.lit(False))).drop("groups")
 
 
 # ---------------------------------------------------------------- approximate search
@@ -236,20 +247,31 @@ def bm25(
     k1: float = config.BM25_K1,
     b: float = config.BM25_B,
     question_terms: int = BROADCAST_ROWS,
+    best_per_id: bool = False,
 ) -> DataFrame:
     """BM25 top-k: (question_id, rank, id, score) for tables with `id` and `text`.
 
-    Question terms up to `question_terms` rows go to every task, which scores its documents and
-    emits k rows per question; the corpus is scanned twice (statistics, scores) and never shuffled,
-    so a frequent term is no hot group. A larger question table is joined by term instead.
+    Question terms go to every task, which scores its documents and emits k rows per question; the
+    corpus is scanned twice (statistics, scores) and never shuffled, so a frequent term is no hot
+    group. Questions with more than `question_terms` terms together are searched in blocks of
+    about so many, by the same scans, so the result does not depend on their number.
+
+    Every row is a document, also one with NULL text, which is empty. Rows of one id are several
+    documents; with `best_per_id` such an id is one candidate, with the score of its best row.
     """
     asked = questions.select(F.col("id").alias("question_id"), F.explode(F.array_distinct(ft.tokens(F.col("text")))).alias("term"))
-    if fits(asked, question_terms):
-        return _bm25_scan(asked, corpus, k, k1, b)
-    return _bm25_join(asked, corpus, k, k1, b)
-
-
-def _bm25_scan(asked: DataFrame, corpus: DataFrame, k: int, k1: float, b: float) -> DataFrame:
+    blocks = 1 if fits(asked, question_terms) else math.ceil(asked.count() / max(question_terms, 1))
+    found = None
+    for block in range(blocks):
+        part = asked if blocks == 1 else asked.filter(F.pmod(F.xxhash64("question_id"), F.lit(blocks)) == block)
+        scored = _bm25_scan(part, corpus, k, k1, b, best_per_id)
+        found = scored if found is None else found.unionByName(scored)
+    if best_per_id:
+        found = found.groupBy("question_id", "id").agg(F.max("score").alias("score"))
+    return rank_top(found, k)
+
+
+def _bm25_scan(asked: DataFrame, corpus: DataFrame, k: int, k1: float, b: float, best_per_id: bool) -> DataFrame:
     listed = corpus.select("id", F.coalesce(ft.tokens(F.col("text")), F.array().cast("array<string>")).alias("tokens"))
     known = asked.toArrow()
     vocabulary = pa.array(sorted(set(known["term"].to_pylist())), pa.string())
@@ -277,35 +299,13 @@ def _bm25_scan(asked: DataFrame, corpus: DataFrame, k: int, k1: float, b: float)
     id_type, question_type = _arrow_type(corpus, "id"), _arrow_type(asked, "question_id")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = KeywordK(shared.value, k)
+        best = KeywordK(shared.value, k, best_per_id)
         for batch in batches:
             best.add(batch)
         yield best.batch(id_type, question_type)
 
     names = (asked.schema["question_id"].dataType.simpleString(), corpus.schema["id"].dataType.simpleString())
-    return rank_top(listed.mapInArrow(score, f"question_id {names[0]}, id {names[1]}, score double"), k)
-
-
-def _bm25_join(asked: DataFrame, corpus: DataFrame, k: int, k1: float, b: float) -> DataFrame:
-    """The same ranking as joins: asked tokens travel once, keyed by document; hot terms are spread."""
-    sizes = corpus.agg(
-        F.struct(F.count(F.lit(1)).alias("n"), F.avg(ft.token_count(F.col("text"))).alias("avg_len"))
-    ).scalar()
-    words = corpus.withColumn("_tokens", ft.tokens(F.col("text"))).select(
-        "id", F.size("_tokens").alias("len"), F.explode("_tokens").alias("term")
-    )
-    wanted = spread_join(words, asked.select("term").distinct(), ["term"], ["id"])
-    postings = wanted.groupBy("id", "len", "term").agg(F.count(F.lit(1)).alias("tf"))
-    frequency = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    weighted = asked.join(frequency, "term").select(
-        "question_id", "term", F.log1p((sizes["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")
-    )
-    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("len") / sizes["avg_len"])
-    parts = spread_join(postings, weighted, ["term"], ["id"]).select(
-        "question_id", "id", (F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)).alias("part")
-    )
-    scored = parts.groupBy("question_id", "id").agg(F.round(F.sum("part"), 6).alias("score"))
-    return rank_top(scored, k)
+    return listed.mapInArrow(score, f"question_id {names[0]}, id {names[1]}, score double")
 
 
 def fuse(*ranked: DataFrame, k: int = config.TOP_K, constant: int = config.RRF_CONSTANT) -> DataFrame:
@@ -317,10 +317,23 @@ def fuse(*ranked: DataFrame, k: int = config.TOP_K, constant: int = config.RRF_C
     return rank_top(both.groupBy("question_id", "id").agg(F.round(F.sum("part"), 6).alias("score")), k)
 
 
-def parents_of(child_hits: DataFrame, k: int) -> DataFrame:
-    """Each enclosing parent once, by its best child: input has question_id, parent_id, score."""
-    best = child_hits.groupBy("question_id", F.col("parent_id").alias("id")).agg(F.max("score").alias("score"))
-    return rank_top(best, k)
+def hybrid(
+    questions: DataFrame, corpus: DataFrame, question_vectors: DataFrame, corpus_vectors: DataFrame,
+    k: int = config.TOP_K, depth: int = config.HYBRID_DEPTH,
+) -> DataFrame:
+    """Keyword and vector rankings fused by reciprocal rank.
+
+    Each list is searched to `depth`; a row below that in a list gets nothing from it, so a greater
+    depth comes closer to the fusion of complete lists, and `depth` = corpus size equals it.
+    """
+    by_word = bm25(questions, corpus, depth)
+    by_vector = knn(question_vectors, corpus_vectors, depth)
+    return fuse(by_word, by_vector, k=k)
+
+
+def search_parents(questions: DataFrame, children: DataFrame, k: int = config.TOP_K, **options) -> DataFrame:
+    """Each enclosing parent by its best child: `children` has parent_id and text. All children count."""
+    return bm25(questions, children.select(F.col("parent_id").alias("id"), "text"), k, best_per_id=True, **options)
 
 
 # ---------------------------------------------------------------- results

@@ -50,10 +50,16 @@ def stores_over(sales: DataFrame, threshold: float) -> DataFrame:
 
 
 def month_over_month(monthly: DataFrame, drop: float = 0.4) -> DataFrame:
-    """Change of revenue against the previous listed month of the store; large drops are flagged."""
+    """Change of revenue against the month before (yyyy-MM); large drops are flagged.
+
+    A month whose predecessor is not listed, or sold nothing, has no change.
+    """
     order = W.partitionBy("store_id").orderBy("month")
-    previous = F.lag("total_revenue").over(order)
-    change = (F.col("total_revenue").cast("double") - F.col("previous").cast("double")) / F.col("previous").cast("double")
+    before = F.date_format(F.add_months(F.to_date(F.concat("month", F.lit("-01"))), -1), "yyyy-MM")
+    previous = F.when(F.lag("month").over(order) == before, F.lag("total_revenue").over(order))
+    change = F.try_divide(
+        F.col("total_revenue").cast("double") - F.col("previous").cast("double"), F.col("previous").cast("double")
+    )
     return (
         monthly.withColumn("previous", previous)
         .withColumn("pct_change", F.round(change, 6))

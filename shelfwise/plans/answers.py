@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise import config
-from shelfwise.operators import rag
+from shelfwise.functions import text as ft
+from shelfwise.operators import rag, search
 from shelfwise.plans.documents import document_chunks, sql_prompt
-from shelfwise.plans.retrieval import questions, sql_bm25
+from shelfwise.plans.retrieval import SQL_EMBED, questions, sql_bm25, text_vectors
 from shelfwise.plans.sql import CHUNKS_CTE, tokens
-from shelfwise.session import materialize, spread_out
+from shelfwise.session import fits, materialize, spread_out
 from shelfwise.sources.tables import silver_documents, table
 
 QUERIES = {}
@@ -65,6 +66,76 @@ SELECT item_id AS question_id, {sql_prompt("context", "text")} AS prompt, citati
 FROM benchmark JOIN ctx ON question_id = item_id JOIN cites USING (question_id)"""
 
 
+@query
+def context_budget(spark: SparkSession, sf: str) -> DataFrame:
+    """Estimated tokens of every prompt against the budget of a call."""
+    asked = questions(spark, sf)
+    _, contexts = rag.answer_context(asked, chunk_corpus(spark, sf))
+    tokens_ = ft.token_estimate(F.col("prompt"))
+    prompts = rag.rag_prompts(asked, contexts).filter("prompt IS NOT NULL")
+    return prompts.select("question_id", tokens_.alias("tokens"), (tokens_ <= config.CONTEXT_BUDGET).alias("within_budget"))
+
+
+ORACLE["context_budget"] = f"""
+WITH RECURSIVE {SQL_TOP3}, p AS (SELECT item_id AS question_id,
+  CAST(ceil(length({sql_prompt("context", "text")}) / 4.0) AS BIGINT) AS tokens FROM benchmark JOIN ctx ON question_id = item_id)
+SELECT question_id, tokens, tokens <= {config.CONTEXT_BUDGET} AS within_budget FROM p"""
+
+
+def vector_prompts(asked: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Questions and chunks embedded, the nearest chunks as context, prompts with citations."""
+    asked_vectors, chunk_vectors = text_vectors(asked), text_vectors(chunks.select("id", "text"))
+    hits = search.knn(asked_vectors, chunk_vectors, config.RAG_TOP_K)
+    shown = search.attach_text(hits, chunks, "id", "text", "source", few=fits(asked_vectors))
+    prompts = rag.rag_prompts(asked, search.format_context(shown))
+    return prompts.select("question_id", "prompt", "answer", F.array_join("citations", "|").alias("citations"))
+
+
+@query
+def vector_rag(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_prompts(questions(spark, sf), chunk_corpus(spark, sf))
+
+
+RAG_REGION = "fr"
+
+
+@query
+def vector_rag_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """A caller who may see one region only, and asks for one of its source systems' first half."""
+    mine = document_chunks(spark, sf).filter((F.col("region") == RAG_REGION) & F.col("source_system").isin("src0", "src1", "src2"))
+    chunks = mine.select(
+        F.concat_ws("#", "doc_id", F.lpad(F.col("ordinal").cast("string"), 9, "0")).alias("id"),
+        F.col("chunk_content").alias("text"),
+        F.col("path").alias("source"),
+    )
+    return vector_prompts(questions(spark, sf), materialize(chunks, "chunks"))
+
+
+def sql_vector_rag(corpus: str) -> str:
+    return f"""
+WITH RECURSIVE {SQL_CORPUS}, seen AS (SELECT * FROM corpus WHERE {corpus}),
+embed_input AS (SELECT 'd' AS src, id, text FROM seen UNION ALL SELECT 'q', CAST(item_id AS VARCHAR), text FROM benchmark), {SQL_EMBED},
+unit AS (SELECT src, id, dim, CAST(x AS DOUBLE) AS x FROM emb),
+lens AS (SELECT src, id, sqrt(sum(x * x)) AS n FROM unit GROUP BY 1, 2),
+dots AS (SELECT a.id AS qi, b.id AS di, sum(a.x * b.x) AS s FROM unit a JOIN unit b
+  ON a.dim = b.dim AND a.src = 'q' AND b.src = 'd' GROUP BY 1, 2),
+pairs AS (SELECT CAST(q.id AS BIGINT) AS question_id, d.id, round(coalesce(dots.s, 0) / (q.n * d.n), 6) AS score
+  FROM lens q JOIN lens d ON q.src = 'q' AND d.src = 'd' LEFT JOIN dots ON dots.qi = q.id AND dots.di = d.id),
+hits AS (SELECT question_id, rank, text, source FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, id) AS rank
+  FROM pairs) JOIN seen USING (id) WHERE rank <= {config.RAG_TOP_K}),
+ctx AS (SELECT question_id, string_agg(concat(chr(10), '--- Document ', rank, ' ---', chr(10), 'Source: ', source,
+    chr(10), 'Content: ', text, chr(10)), '' ORDER BY rank) AS context FROM hits GROUP BY 1), {SQL_CITES}
+SELECT item_id AS question_id, CASE WHEN context IS NOT NULL THEN {sql_prompt("context", "text")} END AS prompt,
+  CASE WHEN context IS NULL THEN '{config.NO_CONTEXT_ANSWER}' END AS answer, coalesce(citations, '') AS citations
+FROM benchmark LEFT JOIN ctx ON question_id = item_id LEFT JOIN cites USING (question_id)"""
+
+
+ORACLE["vector_rag"] = sql_vector_rag("true")
+ORACLE["vector_rag_filtered"] = sql_vector_rag(
+    f"source IN (SELECT concat('doc/', doc_id) FROM documents WHERE lang = '{RAG_REGION}' AND source IN ('src0', 'src1', 'src2'))"
+)
+
+
 @query
 def rag_citations(spark: SparkSession, sf: str) -> DataFrame:
     _, contexts = rag.answer_context(questions(spark, sf), chunk_corpus(spark, sf))

@@ -293,8 +293,9 @@ s AS (SELECT page_id, i, line, is_h,
         CAST(sum(CASE WHEN is_h THEN 1 ELSE 0 END) OVER w AS BIGINT) AS section,
         last_value(CASE WHEN is_h THEN head END IGNORE NULLS) OVER w AS heading
       FROM h WINDOW w AS (PARTITION BY page_id ORDER BY i))
-SELECT page_id, section, heading, string_agg(trim(line), chr(10) ORDER BY i) AS chunk_content
-FROM s WHERE NOT is_h AND trim(line) <> '' GROUP BY 1, 2, 3"""
+SELECT page_id, section, heading,
+  coalesce(string_agg(trim(line), chr(10) ORDER BY i) FILTER (NOT is_h AND trim(line) <> ''), '') AS chunk_content
+FROM s GROUP BY 1, 2, 3 HAVING heading IS NOT NULL OR chunk_content <> ''"""
 
 
 @query

@@ -74,16 +74,16 @@ round(CASE WHEN sh > 0 THEN 2 * (sh / nl) * (sh / nr) / (sh / nl + sh / nr) ELSE
 
 @query
 def eval_exact_match(spark: SparkSession, sf: str) -> DataFrame:
-    """A document 'predicts' another of the same hash group when the texts are equal: first copy as truth."""
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "n_chars", "text")
-    truth = docs.groupBy("lang", "n_chars").agg(F.min_by("text", "doc_id").alias("truth"))
-    return evaluate.exact_match(docs.join(truth, ["lang", "n_chars"]), "text", "truth", "lang")
+    """Share of the predictions, and of the best hits, that equal the truth."""
+    rows = answered(spark, sf)
+    by_answer = evaluate.exact_match(rows, "prediction", "truth").withColumn("judged", F.lit("prediction"))
+    return by_answer.unionByName(evaluate.exact_match(rows, "top_hit", "truth").withColumn("judged", F.lit("top_hit")))
 
 
-ORACLE["eval_exact_match"] = """
-WITH t AS (SELECT lang, n_chars, arg_min(text, doc_id) AS truth FROM documents GROUP BY 1, 2)
-SELECT lang, count(*) AS n, round(count(*) FILTER (text = truth) / count(*)::DOUBLE, 6) AS exact_match
-FROM documents JOIN t USING (lang, n_chars) GROUP BY 1"""
+ORACLE["eval_exact_match"] = f"""
+WITH RECURSIVE {SQL_ANSWERED}
+SELECT 'prediction' AS judged, count(*) AS n, round(count(*) FILTER (prediction = truth) / count(*)::DOUBLE, 6) AS exact_match FROM answered
+UNION ALL SELECT 'top_hit', count(*), round(count(*) FILTER (top_hit = truth) / count(*)::DOUBLE, 6) FROM answered"""
 
 
 @query

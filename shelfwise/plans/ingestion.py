@@ -116,7 +116,7 @@ def append_available_now(spark: SparkSession, sf: str) -> DataFrame:
     target = scratch_dir(spark, "events")
 
     def run(landing: str, checkpoint: str) -> None:
-        stream.drain(stream.json_rows(spark, landing, EVENT).drop("_corrupt"), target, checkpoint)
+        stream.drain(stream.good_rows(stream.json_rows(spark, landing, EVENT)), target, checkpoint)
 
     two_drops(spark, timed_events(spark, sf), F.col("event_type") == "view", run)
     return spark.read.parquet(target).select("event_id", "user_id", "event_type", "value")
@@ -441,7 +441,7 @@ def stream_exactly_once(spark: SparkSession, sf: str) -> DataFrame:
     events = timed_events(spark, sf)
 
     def run() -> None:
-        stream.drain(live.once_each(stream.json_rows(spark, landing, EVENT).drop("_corrupt"), "event_id", "2 days"), target, checkpoint)
+        stream.drain(live.once_each(stream.good_rows(stream.json_rows(spark, landing, EVENT)), "event_id", "2 days"), target, checkpoint)
 
     files.land_json(events.filter("ts < '2024-01-16'"), landing)
     run()

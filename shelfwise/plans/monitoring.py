@@ -100,7 +100,7 @@ def logs_yesterday(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "log")
     files.append(log(spark, sf).withColumn("date_utc", F.to_date("timestamp")), path, "date_utc")
     stored = spark.read.parquet(path).filter(F.col("date_utc") == F.date_sub(F.lit(AS_OF), 1))
-    return monitor.logs_yesterday(stored, AS_OF).select("request_id", F.date_format("timestamp", "yyyy-MM-dd HH:mm").alias("logged_at"))
+    return monitor.logs_yesterday(stored, AS_OF, config.LOG_ROW_CAP).select("request_id", F.date_format("timestamp", "yyyy-MM-dd HH:mm").alias("logged_at"))
 
 
 ORACLE["logs_yesterday"] = f"""
@@ -141,15 +141,16 @@ ORACLE["sample_fraction"] = f"WITH {SQL_LOG} SELECT request_id FROM lg WHERE {ha
 
 @query
 def nightly_judge(spark: SparkSession, sf: str) -> DataFrame:
-    """Yesterday's log, a sample of it judged, metric rows appended to their day's partition."""
-    rows = monitor.logs_yesterday(log(spark, sf), AS_OF, cap=None)
+    """Yesterday's log, a sample of it judged; the metric rows replace those of their day, so a rerun adds nothing."""
+    rows = monitor.logs_yesterday(log(spark, sf), AS_OF)
     sampled = materialize(
         monitor.sample_fraction(monitor.parse_payloads(rows), "request_id", 0.5).select("request_id", "question", "answer"), "sampled"
     )
     verdicts = evaluate.judge(sampled, "request_id", "answer", {"relevance": "question"}, 0.1)
     means = evaluate.metric_means(verdicts).withColumn("day", F.date_format(F.date_sub(F.lit(AS_OF), 1), "yyyy-MM-dd"))
     path = scratch_dir(spark, "metrics")
-    files.append(means, path, "day")
+    for _ in range(2):
+        files.replace_partitions(means, path, "day")
     stored = spark.read.schema(means.schema).parquet(path)
     return stored.select("metric", F.col("n").alias("records_sampled"), "mean", F.col("day").cast("string").alias("day"))
 
@@ -212,7 +213,7 @@ def top_topics(spark: SparkSession, sf: str) -> DataFrame:
 ORACLE["top_topics"] = f"""
 WITH {SQL_LOG},
 w AS (SELECT strftime(asked_at, '%Y-%m-%d') AS day, unnest({tokens("question")}) AS topic FROM lg),
-c AS (SELECT day, topic, count(*) AS n FROM w WHERE length(topic) > 2 AND topic NOT IN ({", ".join(f"'{s}'" for s in monitor.STOP_WORDS)}) GROUP BY 1, 2)
+c AS (SELECT day, topic, count(*) AS n FROM w WHERE topic NOT IN ({", ".join(f"'{s}'" for s in monitor.STOP_WORDS)}) GROUP BY 1, 2)
 SELECT day, topic, n, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY day ORDER BY n DESC, topic) AS r FROM c) WHERE r <= 10"""
 
 

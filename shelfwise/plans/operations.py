@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise import config
@@ -153,8 +153,9 @@ def sales_drop_by_store(spark: SparkSession, sf: str) -> DataFrame:
 
 ORACLE["sales_drop_by_store"] = f"""
 WITH {SQL_MONTHLY},
-p AS (SELECT *, CAST(lag(total_revenue) OVER (PARTITION BY store_id ORDER BY month) AS DOUBLE) AS prev FROM monthly),
-c AS (SELECT store_id, month, round((CAST(total_revenue AS DOUBLE) - prev) / prev, 6) AS pct_change FROM p)
+p AS (SELECT m.*, CAST(b.total_revenue AS DOUBLE) AS prev FROM monthly m LEFT JOIN monthly b
+  ON b.store_id = m.store_id AND b.month = strftime(CAST(m.month || '-01' AS DATE) - INTERVAL 1 MONTH, '%Y-%m')),
+c AS (SELECT store_id, month, round((CAST(total_revenue AS DOUBLE) - prev) / nullif(prev, 0), 6) AS pct_change FROM p)
 SELECT store_id, month, pct_change, coalesce(pct_change <= -0.4, false) AS dropped FROM c"""
 
 
@@ -213,10 +214,18 @@ def chat_log(spark: SparkSession, sf: str) -> DataFrame:
     return memory.to_messages(table(spark, sf, "conversations"), "conv_id", "turn", "role", "text", at)
 
 
+# Partitions of the stored chat log.
+CHAT_BUCKETS = 8
+
+
+def bucket_of(session: Column) -> Column:
+    return F.pmod(F.xxhash64(session), F.lit(CHAT_BUCKETS))
+
+
 def stored_chat_log(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     """The chat log appended in two batches to a table of session buckets."""
     path = scratch_dir(spark, "chat")
-    log = chat_log(spark, sf).withColumn("bucket", F.pmod(F.xxhash64("session_id"), F.lit(8)))
+    log = chat_log(spark, sf).withColumn("bucket", bucket_of(F.col("session_id")))
     files.append(log.filter("turn < 2"), path, "bucket")
     files.append(log.filter("turn >= 2"), path, "bucket")
     return path, spark.read.parquet(path)
@@ -247,7 +256,7 @@ SELECT conv_id AS session_id, row_number() OVER (PARTITION BY conv_id ORDER BY t
 def memory_clear(spark: SparkSession, sf: str) -> DataFrame:
     """One session is cleared by rewriting the one bucket that holds it."""
     path, log = stored_chat_log(spark, sf)
-    touched = log.filter("session_id = 7").select("bucket").distinct()
+    touched = spark.range(1).select(bucket_of(F.lit(7).cast("bigint")).alias("bucket"))  # known from the id: nothing is scanned
     files.rewrite_partitions(spark, path, "bucket", touched, lambda rows: memory.clear_session(rows, 7))
     return spark.read.parquet(path).select("session_id", "turn")
 
@@ -273,8 +282,10 @@ def memory_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ORACLE["memory_rollup"] = r"""
-SELECT conv_id, turn // 4 AS bucket, count(*) AS turns, count(*) = 4 AS summarised,
-  string_agg(regexp_extract(text, '^([^.]*\.?)', 1), ' ' ORDER BY turn) AS summary FROM conversations GROUP BY 1, 2"""
+WITH b AS (SELECT *, turn // 4 AS bucket, count(*) OVER (PARTITION BY conv_id, turn // 4) AS n FROM conversations)
+SELECT conv_id, bucket, count(*) AS turns, true AS summarised,
+  string_agg(regexp_extract(text, '^([^.]*\.?)', 1), ' ' ORDER BY turn) AS content FROM b WHERE n = 4 GROUP BY 1, 2
+UNION ALL SELECT conv_id, bucket, 1, false, text FROM b WHERE n < 4"""
 
 SYSTEM_LINE = "You are an assistant."
 
@@ -303,6 +314,16 @@ SELECT conv_id, count(*) AS turns, count(*) FILTER (role = 'user') AS user_turns
   CAST(sum(ceil(length(text) / 4.0)) AS BIGINT) AS tokens FROM conversations GROUP BY 1"""
 
 
+@query
+def chat_length_per_day(spark: SparkSession, sf: str) -> DataFrame:
+    return memory.lengths_by_day(chat_log(spark, sf))
+
+
+ORACLE["chat_length_per_day"] = """
+SELECT strftime(TIMESTAMP '2024-01-01' + to_hours(CAST(conv_id AS INTEGER)), '%Y-%m-%d') AS day, count(*) AS messages,
+  count(DISTINCT conv_id) AS sessions, round(avg(length(text)), 6) AS mean_chars FROM conversations GROUP BY 1"""
+
+
 # ---------------------------------------------------------------- safety
 
 

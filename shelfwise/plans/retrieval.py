@@ -89,16 +89,17 @@ SELECT vec_id, CAST({DIM} AS INTEGER) AS dim_v1, CAST({DIM // 2} AS INTEGER) AS
 
 @query
 def dimension_guard(spark: SparkSession, sf: str) -> DataFrame:
-    """Labels 0 to 3 arrive damaged: short, with NaN, all zero or missing."""
+    """Labels 0 to 4 arrive damaged: short, with NaN, all zero, missing or with an infinity."""
     bad = (
         F.when(F.col("label") == 0, F.slice("embedding", 1, 10))
-        .when(F.col("label") == 1, F.transform("embedding", lambda x: x / 0 * F.lit("NaN").cast("float")))
         .when(F.col("label") == 2, F.transform("embedding", lambda x: x * F.lit(0).cast("float")))
         .when(F.col("label") == 3, F.lit(None).cast("array<float>"))
         .otherwise(F.col("embedding"))
     )
     nan = F.array_repeat(F.lit("NaN").cast("float"), DIM)
-    rows = table(spark, sf, "embeddings").withColumn("embedding", F.when(F.col("label") == 1, nan).otherwise(bad))
+    endless = F.array_append(F.slice("embedding", 1, DIM - 1), F.lit("Infinity").cast("float"))
+    broken = F.when(F.col("label") == 1, nan).when(F.col("label") == 4, endless).otherwise(bad)
+    rows = table(spark, sf, "embeddings").withColumn("embedding", broken)
     kept, rejected = infer.dimension_guard(rows, "embedding", DIM)
     return kept.select("vec_id", F.lit("ok").alias("verdict")).unionByName(
         rejected.select("vec_id", F.col("reject_reason").alias("verdict"))
@@ -107,7 +108,7 @@ def dimension_guard(spark: SparkSession, sf: str) -> DataFrame:
 
 ORACLE["dimension_guard"] = """
 SELECT vec_id, CASE label WHEN 0 THEN 'dimension' WHEN 1 THEN 'not_a_number' WHEN 2 THEN 'zero_norm'
-  WHEN 3 THEN 'missing' ELSE 'ok' END AS verdict FROM embeddings"""
+  WHEN 3 THEN 'missing' WHEN 4 THEN 'not_a_number' ELSE 'ok' END AS verdict FROM embeddings"""
 
 
 @query
@@ -156,11 +157,12 @@ def flaky_model(value: str, attempt: int) -> str:
 @query
 def batch_infer_retry(spark: SparkSession, sf: str) -> DataFrame:
     docs = spread_out(table(spark, sf, "documents").select("doc_id", "text"))
-    return infer.infer_with_retry(docs, "text", flaky_model).drop("text", "answer")
+    return infer.infer_with_retry(docs, "text", flaky_model).drop("text")
 
 
 ORACLE["batch_infer_retry"] = """
 SELECT doc_id, CASE WHEN length(text) % 7 = 0 THEN 'ERROR' ELSE 'OK' END AS status,
+  CASE WHEN length(text) % 7 <> 0 THEN upper(left(text, 1)) END AS answer,
   CAST(CASE length(text) % 7 WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 1 END AS INTEGER) AS attempts,
   CASE WHEN length(text) % 7 = 0 THEN 'endpoint busy' END AS error FROM documents"""
 
@@ -376,15 +378,15 @@ WITH {sql_bm25("documents", "doc_id", config.TOP_K)} SELECT question_id, rank, d
 
 @query
 def bm25_join(spark: SparkSession, sf: str) -> DataFrame:
-    """The same ranking by the joins a question table too large to broadcast takes."""
-    return search.bm25(questions(spark, sf), corpus(spark, sf), config.TOP_K, question_terms=0)
+    """The same ranking by the blocks of questions a table too large for one broadcast is cut in."""
+    return search.bm25(questions(spark, sf), corpus(spark, sf), config.TOP_K, question_terms=500)
 
 
 ORACLE["bm25_join"] = ORACLE["bm25_search"]
 
 
 def text_vectors(df: DataFrame) -> DataFrame:
-    embedded = infer.embed(spread_out(df), "text", "id")
+    embedded = infer.embed(df, "text", "id")
     gold = embedded.filter("embedding_vector IS NOT NULL").select("id", F.col("embedding_vector").alias("vector"))
     return materialize(gold, "vectors")
 
@@ -393,15 +395,13 @@ def text_vectors(df: DataFrame) -> DataFrame:
 def hybrid_search(spark: SparkSession, sf: str) -> DataFrame:
     """Keyword and vector rankings of every benchmark item over all documents, fused."""
     asked, docs = questions(spark, sf), corpus(spark, sf)
-    by_word = search.bm25(asked, docs, 10)
-    by_vector = search.knn(text_vectors(asked), text_vectors(docs), 10)
-    return search.fuse(by_word, by_vector, k=config.TOP_K)
+    return search.hybrid(asked, docs, text_vectors(asked), text_vectors(docs))
 
 
 ORACLE["hybrid_search"] = f"""
 WITH embed_input AS (SELECT 'd' AS src, doc_id AS id, text FROM documents
                      UNION ALL SELECT 'q', item_id, text FROM benchmark), {SQL_EMBED},
-{sql_bm25("documents", "doc_id", 10)},
+{sql_bm25("documents", "doc_id", config.HYBRID_DEPTH)},
 unit AS (SELECT src, id, dim, CAST(x AS DOUBLE) AS x FROM emb),
 lens AS (SELECT src, id, sqrt(sum(x * x)) AS n FROM unit GROUP BY 1, 2),
 pairs AS (SELECT q.id AS question_id, d.id AS id, coalesce(dot.s, 0) / (q.n * d.n) AS c
@@ -409,7 +409,7 @@ pairs AS (SELECT q.id AS question_id, d.id AS id, coalesce(dot.s, 0) / (q.n * d.
   LEFT JOIN (SELECT a.id AS qi, b.id AS di, sum(a.x * b.x) AS s FROM unit a JOIN unit b
      ON a.dim = b.dim AND a.src = 'q' AND b.src = 'd' GROUP BY 1, 2) dot ON dot.qi = q.id AND dot.di = d.id),
 vec AS (SELECT * FROM (SELECT question_id, id, row_number() OVER (PARTITION BY question_id ORDER BY round(c, 6) DESC, id) AS rank
-  FROM pairs) WHERE rank <= 10),
+  FROM pairs) WHERE rank <= {config.HYBRID_DEPTH}),
 rrf AS (SELECT question_id, id, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS score FROM (
     SELECT question_id, doc_id AS id, rank FROM top UNION ALL SELECT question_id, id, rank FROM vec) GROUP BY 1, 2)
 SELECT question_id, id, score, CAST(r AS INTEGER) AS rank FROM (
@@ -426,17 +426,14 @@ def family(spark: SparkSession, sf: str) -> DataFrame:
 def chunk_parent_child(spark: SparkSession, sf: str) -> DataFrame:
     """Search small chunks, return each enclosing large chunk once."""
     children = materialize(family(spark, sf), "children")
-    asked = questions(spark, sf)
-    hits = search.bm25(asked, children.select("id", "text"), 20)
-    linked = children.select("id", "parent_id").join(F.broadcast(hits) if search.fits(asked, 10_000) else hits, "id")
-    return search.parents_of(linked, config.TOP_K)
+    return search.search_parents(questions(spark, sf), children)
 
 
 ORACLE["chunk_parent_child"] = f"""
 WITH RECURSIVE {CHUNKS_CTE}, {chunk_ctes(PARENT_SIZE, 0, "parents", "p_")},
 kids AS (SELECT concat(c.doc_id, '#', c.ordinal) AS id, c.text, concat(c.doc_id, '#', p.ordinal) AS parent_id
   FROM chunks c ASOF JOIN parents p ON c.doc_id = p.doc_id AND c.start >= p.start),
-{sql_bm25("kids", "id", 20)},
-best AS (SELECT question_id, parent_id AS id, max(score) AS score FROM top JOIN kids USING (id) GROUP BY 1, 2)
+{sql_bm25("kids", "id", config.TOP_K)},
+best AS (SELECT question_id, parent_id AS id, max(score) AS score FROM sc JOIN kids USING (id) GROUP BY 1, 2)
 SELECT question_id, id, score, CAST(r AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, id) AS r FROM best) WHERE r <= {config.TOP_K}"""

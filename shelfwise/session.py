@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 1_000_000
+# Groups of the first count: at most so many rows reach the driver.
+HASH_BUCKETS = 65_536
 
 
 def build_session(cpus: int | str = "*", app: str = "shelfwise", **conf: str) -> SparkSession:
@@ -100,8 +102,17 @@ def spread_out(scan: DataFrame) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, on: list[str], rows: int = HOT_ROWS) -> DataFrame:
-    """Keys holding more than `rows` rows: at most one key per `rows` input rows."""
-    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows).select(*on)
+    """Keys holding more than `rows` rows: at most one key per `rows` input rows.
+
+    Rows are counted per hash bucket first, which combines before the shuffle also when keys are near
+    unique; only the keys of heavy buckets are counted one by one.
+    """
+    bucket = F.pmod(F.xxhash64(*on), F.lit(HASH_BUCKETS))
+    heavy = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows).collect()
+    if not heavy:
+        return df.select(*on).limit(0)
+    kept = df if len(heavy) == HASH_BUCKETS else df.filter(bucket.isin([row["_bucket"] for row in heavy]))
+    return kept.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows).select(*on)
 
 
 def spread_join(

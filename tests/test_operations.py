@@ -64,10 +64,17 @@ def test_last_interactions(spark):
     assert [r.turn for r in out if r.session_id == 3] == [0]
 
 
+def test_lengths_by_day(spark):
+    _, df = chat(spark)
+    log = memory.to_messages(df, "session_id", "turn", "role", "text", F.lit(datetime(2024, 1, 1)))
+    assert [tuple(r) for r in memory.lengths_by_day(log).collect()] == [("2024-01-01", 27, 3, round((1 + 10 * 2 + 13 * 3 + 2 + 2 + 4) / 27, 6))]
+
+
 def test_rollup_counts(spark):
     _, df = chat(spark)
     out = memory.rollup(df.filter("session_id = 1 AND turn >= 0"), "session_id", "turn", "text", every=10).collect()
-    assert sorted((r.bucket, r.turns, r.summarised) for r in out) == [(0, 10, True), (1, 10, True), (2, 3, False)]
+    assert sorted((r.bucket, r.turns, r.summarised) for r in out) == [(0, 10, True), (1, 10, True), (2, 1, False), (2, 1, False), (2, 1, False)]
+    assert sorted(r.content for r in out if not r.summarised) == ["m20", "m21", "m22"]
 
 
 def test_guard_cases(spark):

@@ -10,7 +10,8 @@ import __spark_entry__ as entry
 import check
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES = {key: query for module in entry.MODULES for key, query in module.QUERIES.items()}
+ORACLE = {key: sql for module in entry.MODULES for key, sql in module.ORACLE.items()}
 ROWS_ONLY = {"chunk_recursive_raw", "ann_ivf", "ann_lsh", "ann_recall"}
 # A sample by module; SHELFWISE_ALL=1 runs every key.
 QUICK = (
