@@ -17,10 +17,13 @@ a null list is no edit; repeated documents have a tree each; an empty table give
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -229,6 +232,13 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.R
             yield batch.slice(low, rows)
 
 
+def _lists(column: pa.Array) -> list[list[int]]:
+    """Rows of a list column of numbers; null is empty."""
+    values = column.flatten().to_numpy(zero_copy_only=False).tolist()
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)).tolist()
+    return [values[low:high] for low, high in zip([0, *ends], ends)]
+
+
 def _packed(values: list[list[int]]) -> pa.Array:
     return pa.array(values, pa.list_(pa.int32()))
 
@@ -260,9 +270,9 @@ def apply_edits(trees: DataFrame, ranks: str = RANKS, pattern: str = PATTERN) ->
         own = tokenizer(ranks, pattern)
         for batch in _slices(batches):
             out = []
-            rows = zip(batch["text"].to_pylist(), batch["sizes"].to_pylist(), batch["tokens"].to_pylist(), batch["edits"].to_pylist())
+            rows = zip(batch["text"].to_pylist(), _lists(batch["sizes"]), _lists(batch["tokens"]), batch["edits"].to_pylist())
             for text, sizes, tokens, edits in rows:
-                tree = TokenTree(own, text or "", sizes or [], tokens or [])
+                tree = TokenTree(own, text or "", sizes, tokens)
                 before = tree.n_tokens
                 for edit in sorted(edits or [], key=lambda e: (e["start"] or 0, e["end"] or 0), reverse=True):
                     tree.edit(edit["start"] or 0, edit["end"] or 0, edit["text"] or "")
@@ -280,12 +290,21 @@ def apply_edits(trees: DataFrame, ranks: str = RANKS, pattern: str = PATTERN) ->
 
 
 # What the query edits: private data become a mark, and every text ends with a newline.
-PRIVATE = r"[\w.+-]+@[\w-]+\.[\w.]+|\b\d{1,3}(?:\.\d{1,3}){3}\b|\b[0-9a-f]{24,}\b|\bAKIA[A-Z0-9]{16,}|\b\d{12,}\b"
+ADDRESS = re.compile(r"[\w.+-]+@[\w-]+\.[\w.]+")
+PRIVATE = re.compile(r"\b(?:\d{1,3}(?:\.\d{1,3}){3}|[0-9a-f]{24,}|AKIA[A-Z0-9]{16,}|\d{12,})\b")
 MARK = "[private]"
 
 
-def redactions(text: str, private: regex.Pattern) -> list[dict]:
-    found = [{"start": m.start(), "end": m.end(), "text": MARK} for m in private.finditer(text)]
+def redactions(text: str) -> list[dict]:
+    """Edits that take private data out of a text."""
+    spans = [m.span() for m in PRIVATE.finditer(text)]
+    if "@" in text:
+        spans = sorted(spans + [m.span() for m in ADDRESS.finditer(text)])
+    found, at = [], 0
+    for start, end in spans:
+        if start >= at:  # an address may hold a number
+            found.append({"start": start, "end": end, "text": MARK})
+            at = end
     if text and not text.endswith("\n"):
         found.append({"start": len(text), "end": len(text), "text": "\n"})
     return found
@@ -295,10 +314,9 @@ def with_redactions(trees: DataFrame) -> DataFrame:
     """Trees with the edits that take private data out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        private = regex.compile(PRIVATE)
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())]))
         for batch in _slices(batches):
-            edits = pa.array([redactions(t or "", private) for t in batch["text"].to_pylist()], kind)
+            edits = pa.array([redactions(t or "") for t in batch["text"].to_pylist()], kind)
             yield pa.RecordBatch.from_arrays([*batch.columns, edits], names=[*batch.schema.names, "edits"])
 
     kind = trees.schema["id"].dataType.simpleString()
