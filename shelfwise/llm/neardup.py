@@ -5,14 +5,15 @@
 2. Documents with equal shingle sets are one node from here on: copies are never paired.
 3. Nodes are shuffled by band hash; every bucket contributes a star around its smallest node, so a bucket of m
    nodes makes m - 1 edges. Components of these edges are the candidate groups.
-4. Candidate groups are verified exactly: the nodes' full shingle sets meet in tasks of bounded size (large groups are
-   cut in blocks, and every pair of blocks is a task), where all pairs of the group are compared by matrix
-   products. A task sends back one row per node: its number of links and a spanning edge, never the pairs.
+4. Candidate groups are verified exactly: the nodes' full shingle sets meet in tasks of bounded size, where all
+   pairs are compared by matrix products. A large group is cut in blocks along a band hash, so that similar
+   nodes are near each other, and the pairs of blocks that share a bucket are its tasks. A task sends back one
+   row per node: its number of links and a spanning edge, never the pairs.
 5. Components of the spanning edges are the classes.
 
-Verification covers all pairs of a candidate group, more than those that share a band, so the recall of links is
-above that of banding alone. The work is linear but for groups of different near copies, whose links must be
-counted: those take one product per pair of blocks.
+Verification covers more pairs than those that share a band, so the recall of links is above that of banding
+alone. The work is linear but for groups of different near copies, whose links must be counted: those take one
+product per pair of blocks.
 
 Defined results: words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z; a text of fewer than five
 words has one shingle, all its words; texts without words are copies if they are equal; a null text is
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import textbytes
 from shelfwise.llm.graph import components
+from shelfwise.llm.ordering import running_total
 from shelfwise.session import fits, materialize, spread_out
 from shelfwise.sources.tables import table
 
@@ -42,7 +44,7 @@ SHINGLE = 5
 THRESHOLD = Fraction(4, 5)
 RECALL = 0.9999
 MAX_HASHES = 128
-# A block of a large candidate group: shingles and nodes it holds on average.
+# A block of a large candidate group: shingles and nodes it holds at most.
 BLOCK_SHINGLES = 500_000
 BLOCK_NODES = 1024
 COLUMNS = 4096
@@ -244,21 +246,46 @@ def _set_reader(size: int):
     return run
 
 
-_MEMBER = ("root", "block", "blocks", "node", "copies")
-
-
-def verified_links(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, size: int, threshold: Fraction) -> DataFrame:
+_MEMBER = ("root", "block", "node", "copies")
+
+
+def place_members(members: DataFrame, banded: DataFrame, block_shingles: int, block_nodes: int) -> tuple[DataFrame, DataFrame | None]:
+    """Candidate nodes with their `block`, and the tasks (root, block, low, high) of blocks of groups that have several."""
+    capacity = block_shingles * block_nodes
+    sized = members.withColumn("weight", F.col("n") * block_nodes + block_shingles)  # fills a block by shingles or by nodes
+    whole = sized.groupBy("root").agg(F.sum("weight").alias("total"))
+    sized = sized.join(whole, "root")
+    columns = ["node", "root", "copies", "rep_id", "rep_key", "block"]
+    small = sized.filter(F.col("total") <= capacity).withColumn("block", F.lit(0)).select(*columns)
+    large = materialize(sized.filter(F.col("total") > capacity).join(banded, "node"), "large")
+    if large.isEmpty():
+        return small, None
+    order = [F.col(c).asc() for c in ("root", "near", "node")]
+    placed = running_total(large.withColumn("near", F.col("bands")[0]), order, "weight")
+    starts = placed.groupBy("root").agg(F.min("before").alias("start"))
+    placed = placed.join(starts, "root").withColumn("block", F.floor((F.col("before") - F.col("start")) / capacity).cast("int"))
+    placed = materialize(placed.select("node", "root", "copies", "rep_id", "rep_key", "block", "bands"), "placed")
+    held = placed.select("root", "block", F.explode("bands").alias("code")).distinct()
+    other = held.select("root", F.col("block").alias("high"), "code")
+    shared = held.withColumnRenamed("block", "low").join(other, ["root", "code"]).filter("low <= high").select("root", "low", "high").distinct()
+    tasks = shared.withColumn("block", F.explode(F.array_distinct(F.array("low", "high"))))
+    return small.unionByName(placed.select(*columns)), materialize(tasks, "tasks")
+
+
+def verified_links(docs: DataFrame, members: DataFrame, tasks: DataFrame | None, id_col: str, text_col: str, size: int,
+                   threshold: Fraction) -> DataFrame:
     """(node, texts, docs, near) per task; `members` are the candidate nodes with the row that stands for each."""
     named = members.select("rep_id", "rep_key", *_MEMBER)
     named = F.broadcast(named) if fits(members) else named
     texts = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("key"), F.col(text_col).alias("text"))
     read = texts.join(named, F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("key") == F.col("rep_key")))
-    schema = "root bigint, block int, blocks int, node bigint, copies bigint, shingles array<bigint>"
+    schema = "root bigint, block int, node bigint, copies bigint, shingles array<bigint>"
     sets = read.select(*_MEMBER, "text").mapInArrow(_set_reader(size), schema)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = sets.withColumn("other", other).select(
-        "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "copies", "shingles"
-    )
+    if tasks is None:
+        dealt = sets.withColumns({"low": F.lit(0), "high": F.lit(0)})
+    else:  # a group of one block has no entry
+        dealt = sets.join(F.broadcast(tasks) if fits(tasks) else tasks, ["root", "block"], "left").na.fill(0, ["low", "high"])
+    dealt = dealt.select("root", "low", "high", "block", "node", "copies", "shingles")
     dealt = dealt.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
     return dealt.mapInArrow(_verifier(threshold), "node bigint, texts bigint, docs bigint, near bigint")
 
@@ -286,12 +313,9 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = components(edges)
     grouped = stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
     members = materialize(nodes.join(grouped, "node"), "candidates")
-    sizes = members.groupBy("root").agg(
-        F.greatest(F.ceil(F.sum("n") / block_shingles), F.ceil(F.count(F.lit(1)) / block_nodes), F.lit(1)).cast("int").alias("blocks")
-    )
-    members = members.join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    members, tasks = place_members(members, banded, block_shingles, block_nodes)
     members = materialize(members, "members")
-    links = materialize(verified_links(docs, members, id_col, text_col, size, threshold), "links")
+    links = materialize(verified_links(docs, members, tasks, id_col, text_col, size, threshold), "links")
 
     classes = components(links.select(F.col("node").alias("u"), F.col("near").alias("v")))
     counts = links.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))

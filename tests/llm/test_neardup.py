@@ -82,7 +82,7 @@ def test_odd_rows(spark, odd, empty):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got, whole = found(odd)
     assert got == brute(rows)
-    assert sum(r.stays for r in whole) == len({(r.class_id, r.id if r.class_id is None else 0, r.n_copies) for r in whole}) + 1  # the repeated row
+    assert sum(r.stays for r in whole) == 10 + 1  # one row value of each class; one of these is there twice
     kept = neardup.drop_near_duplicates(odd)
     assert kept.columns == odd.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, 3, 4, 5, 6, None, None, 8, 9, 10]))
