@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfwise import config
 from shelfwise.functions import text as ft
+from shelfwise.operators.infer import infer_with_retry
 
 
 OVERLAP = ("n_left", "n_right", "shared", "dot", "sq_left", "sq_right")
@@ -112,11 +113,26 @@ def lexical_judge(pairs: DataFrame, key: str, prediction: str, truth: str, thres
     return scored.withColumn("reply", F.when(F.col("cosine") >= threshold, "YES").otherwise("NO"))
 
 
-def judge(pairs: DataFrame, key: str, prediction: str, targets: dict[str, str], threshold: float = 0.5) -> DataFrame:
-    """Long table (row, metric, value): one judged metric per target column."""
+Judge = Callable[[DataFrame, str, str, str], DataFrame]
+
+
+def model_judge(fn: Callable[[str, int], str], **options) -> Judge:
+    """Judge that sends the fixed prompt to a model: `fn(prompt, attempt)` replies in text; failures have no score."""
+
+    def judged(pairs: DataFrame, key: str, prediction: str, truth: str) -> DataFrame:
+        prompts = pairs.select(key, judge_prompt(F.coalesce(truth, F.lit("")), F.coalesce(prediction, F.lit(""))).alias("_prompt"))
+        return infer_with_retry(prompts, "_prompt", fn, **options).select(key, F.col("answer").alias("reply"))
+
+    return judged
+
+
+def judge(
+    pairs: DataFrame, key: str, prediction: str, targets: dict[str, str], threshold: float = 0.5, by: Judge | None = None
+) -> DataFrame:
+    """Long table (row, metric, value): one judged metric per target column, by the stand-in or any other judge."""
     out = None
     for metric, column in targets.items():
-        replies = lexical_judge(pairs, key, prediction, column, threshold)
+        replies = by(pairs, key, prediction, column) if by else lexical_judge(pairs, key, prediction, column, threshold)
         rows = replies.select(key, F.lit(metric).alias("metric"), judge_score(F.col("reply")).alias("value"))
         out = rows if out is None else out.unionByName(rows)
     return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -32,11 +33,14 @@ def embed(df: DataFrame, in_col: str, spread_by: str, dim: int = config.EMBEDDIN
 
 
 def infer_with_retry(
-    df: DataFrame, in_col: str, fn: Callable[[str, int], str], max_attempts: int = 3, concurrency: int | None = None
+    df: DataFrame, in_col: str, fn: Callable[[str, int], str], max_attempts: int = 3, concurrency: int | None = None,
+    backoff: float = 0.0,
 ) -> DataFrame:
     """Add `answer`, `status`, `attempts` and `error`; a failing row is a row, not a failed job.
 
-    `fn(value, attempt)` may raise. `concurrency` caps how many tasks call the model at once.
+    `fn(value, attempt)` may raise. `concurrency` caps how many tasks call the model at once; the
+    wait before another attempt starts at `backoff` seconds and doubles. Rows that still fail are
+    listed by `requeue` for a later run.
     """
 
     def call(value: str | None) -> tuple:
@@ -46,6 +50,8 @@ def infer_with_retry(
                 return fn(value, attempt), "OK", attempt, None
             except Exception as caught:  # noqa: BLE001 - reported per row
                 error = str(caught)
+                if backoff and attempt < max_attempts:
+                    time.sleep(backoff * 2 ** (attempt - 1))
         return None, "ERROR", max_attempts, error
 
     @F.pandas_udf("answer string, status string, attempts int, error string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise import config
 from shelfwise.functions import text as ft
 from shelfwise.operators import search
+from shelfwise.operators.infer import infer_with_retry
 from shelfwise.session import fits, spread_join
 
 # Patterns that send a question to each tool.
@@ -33,6 +34,19 @@ def rag_prompts(questions: DataFrame, contexts: DataFrame, organization: str = c
     )
 
 
+def model_answers(prompts: DataFrame, fn: Callable[[str, int], str], **options) -> DataFrame:
+    """Answers of a model to `rag_prompts`: (question_id, answer, status, attempts, error, citations).
+
+    `fn(prompt, attempt)` may raise; questions without context keep the fixed reply and are not sent.
+    """
+    asked = prompts.filter("prompt IS NOT NULL").drop("answer")
+    replied = infer_with_retry(asked, "prompt", fn, **options)
+    fixed = prompts.filter("prompt IS NULL").select(
+        "question_id", "answer", F.lit("NO_CONTEXT").alias("status"), F.lit(0).alias("attempts"), F.lit(None).cast("string").alias("error"), "citations"
+    )
+    return replied.select("question_id", "answer", "status", "attempts", "error", "citations").unionByName(fixed)
+
+
 def extractive_answers(questions: DataFrame, hits: DataFrame) -> DataFrame:
     """Stand-in generator: the context sentence sharing most distinct tokens with the question."""
     asked = questions.select(F.col("id").alias("question_id"), ft.tokens(F.col("text")).alias("asked"))
@@ -54,18 +68,14 @@ def extractive_answers(questions: DataFrame, hits: DataFrame) -> DataFrame:
     )
 
 
-def route_names(text: Column) -> Column:
-    """Every tool whose pattern matches; small talk goes to chat; otherwise the documents."""
-    matched = F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(n)) for n, p in ROUTES]))
-    return (
-        F.when(F.size(matched) > 0, matched)
-        .when(text.rlike(CHAT_PATTERN), F.array(F.lit("chat")))
-        .otherwise(F.array(F.lit("document_search")))
-    )
+def route_names(text: Column, routes: tuple[tuple[str, str], ...] = ROUTES, chat: str = CHAT_PATTERN, other: str = "document_search") -> Column:
+    """Every tool whose pattern matches; small talk goes to chat; anything else to `other`."""
+    matched = F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(n)) for n, p in routes]))
+    return F.when(F.size(matched) > 0, matched).when(text.rlike(chat), F.array(F.lit("chat"))).otherwise(F.array(F.lit(other)))
 
 
-def route_questions(questions: DataFrame, text: str = "text") -> DataFrame:
-    return questions.withColumn("route", F.explode(route_names(F.col(text))))
+def route_questions(questions: DataFrame, text: str = "text", **rules) -> DataFrame:
+    return questions.withColumn("route", F.explode(route_names(F.col(text), **rules)))
 
 
 def stock_reply(stock: Column) -> Column:

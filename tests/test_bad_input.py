@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators import chunk, evaluate, guard, infer, monitor, search, text, warehouse
+from shelfwise.operators import chunk, evaluate, guard, infer, monitor, rag, search, text, warehouse
 from shelfwise.session import hot_keys, scratch_dir
 from shelfwise.sources import files
 from shelfwise.streaming import ingest as stream
@@ -164,3 +164,29 @@ def test_blocks_never_mix_scopes(spark, monkeypatch):
     asked = df.filter("id < 20")
     wanted = sorted(map(tuple, search.knn(asked, df, 4, True, dim=2).collect()))
     assert sorted(map(tuple, search.knn(asked, df, 4, True, question_bytes=0, dim=2).collect())) == wanted
+
+
+def test_models_plug_in(spark):
+    """Answers, judge and routes take any function; failures are rows, and another attempt waits longer each time."""
+    prompts = spark.createDataFrame(
+        [(1, "one", None, ["s"]), (2, "bad", None, ["s"]), (3, None, "no context", [])],
+        "question_id long, prompt string, answer string, citations array<string>",
+    )
+
+    def model(prompt: str, attempt: int) -> str:
+        if prompt == "bad" or attempt == 1:
+            raise RuntimeError("busy")
+        return prompt.upper()
+
+    rows = {r.question_id: r for r in rag.model_answers(prompts, model, backoff=0.01).collect()}
+    assert (rows[1].answer, rows[1].attempts, rows[2].status, rows[3].answer) == ("ONE", 2, "ERROR", "no context")
+    assert [r.question_id for r in infer.requeue(rag.model_answers(prompts, model), "question_id").collect()] == [2]
+
+    pairs = spark.createDataFrame([(1, "a", "a"), (2, "a", "b"), (3, None, "b")], "k long, p string, t string")
+    judge = evaluate.model_judge(lambda prompt, attempt: "YES" if "Answer: a" in prompt and "Truth: a" in prompt else "NO")
+    verdicts = {r.k: r.value for r in evaluate.judge(pairs, "k", "p", {"correct": "t"}, by=judge).collect()}
+    assert verdicts == {1: 1.0, 2: 0.0, 3: 0.0}
+
+    asked = spark.createDataFrame([("where is my parcel",), ("hello",), ("why",)], "text string")
+    routed = [r.route for r in rag.route_questions(asked, routes=(("tracking", "parcel"),), other="human").collect()]
+    assert routed == ["tracking", "chat", "human"]
