@@ -79,5 +79,5 @@ def test_odd_rows(spark, odd, empty):
     model = quality.Ensemble(0.0, [(quality.Rule(((1, True, 5.0),)), 2.0)])
     assert quality.score(odd, model).count() == odd.count()
     kept = quality.keep_good(odd, model, threshold=0.6)
-    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {1, 2, None, 8}
+    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {1, 2, None, 8, 9}
     assert quality.keep_good(empty, model).count() == 0 and quality.score(empty, model).count() == 0

@@ -88,10 +88,11 @@ def test_cycles_and_bombs_end():
     assert scan.scan("%2525252525252525").layers == 8
 
 
-def test_odd_rows(spark, odd, empty, documents):
+def test_odd_rows(spark, odd, empty):
     found = {r.doc_id: r for r in scan.scan_documents(odd.withColumn("text", odd.text)).collect()}
     assert set(found) == {r.doc_id for r in odd.collect()} and all(r.spans == [] for r in found.values())
     assert scan.scan_documents(empty).count() == 0
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = scan.scan_documents(documents).join(documents.select("doc_id", "text"), "doc_id").collect()
     assert len(rows) == documents.count() and any(r.base for r in rows)
     assert all([tuple(s) for s in r.base] == plain(r.text) for r in rows)
