@@ -1,7 +1,8 @@
 """Connected components of an edge table by alternating large-star and small-star rounds.
 
-A round is two aggregates and two joins; minima are combined before the shuffle and no neighbourhood is
-gathered, so a vertex with a third of all edges is only a hot join key, which Spark splits. Rounds grow with the
+A round is two aggregates and two joins. Minima are combined before the shuffle and no neighbourhood is gathered.
+The minima are a written table when edges meet them: broadcast after a size check, else a plain join of two
+shuffled tables, whose hot keys (a vertex with a third of all edges) Spark splits. Rounds grow with the
 logarithm of the number of vertices.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.session import materialize
+from shelfwise.session import fits, materialize
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -19,16 +20,22 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(hashed)).first())
 
 
+def _least(edges: DataFrame, value) -> DataFrame:
+    """(u, m): the smallest neighbour of every vertex, as a table of its own."""
+    least = materialize(edges.groupBy("u").agg(F.min("v").alias("m")).select("u", value.alias("m")), "least")
+    return F.broadcast(least) if fits(least) else least
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = _least(both, F.least("u", "m"))
     moved = both.filter("v > u").join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = _least(down, F.col("m"))
     linked = down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return linked.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -38,7 +45,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = materialize(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = _mark(edges)
     while before[0]:
-        edges = materialize(_small_star(_large_star(edges)), "edges")
+        edges = materialize(_small_star(materialize(_large_star(edges), "stars")), "edges")
         now = _mark(edges)
         if now == before:
             break
