@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 from shelfwise.session import fits, materialize
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """Identifies a set of edges: its size and the sum of its hashes."""
-    hashed = F.xxhash64("u", "v").cast("decimal(20,0)")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(hashed)).first())
+def _settled(edges: DataFrame) -> bool:
+    """True for a forest of stars: every vertex points to one other at most, and none is pointed to that points itself."""
+    seen = edges.select(F.col("u").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("below"), F.lit(1).alias("above"))
+    )
+    counted = seen.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return counted.filter("below > 1 OR (below > 0 AND above > 0)").isEmpty()
 
 
 def _least(edges: DataFrame, value) -> DataFrame:
@@ -43,11 +46,6 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(u, v): every vertex of `edges` (u, v: bigint) that is not the smallest of its component, with the smallest."""
     edges = materialize(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before = _mark(edges)
-    while before[0]:
+    while not _settled(edges):
         edges = materialize(_small_star(materialize(_large_star(edges), "stars")), "edges")
-        now = _mark(edges)
-        if now == before:
-            break
-        before = now
     return edges
