@@ -190,3 +190,13 @@ def test_models_plug_in(spark):
     asked = spark.createDataFrame([("where is my parcel",), ("hello",), ("why",)], "text string")
     routed = [r.route for r in rag.route_questions(asked, routes=(("tracking", "parcel"),), other="human").collect()]
     assert routed == ["tracking", "chat", "human"]
+
+
+def test_rows_for_all_users_equal_those_of_each(spark):
+    rows = spark.createDataFrame([(1, "FR"), (2, "de"), (3, None), (4, "ES")], "doc long, region string")
+    groups = spark.createDataFrame(
+        [("ada", "global_admins"), ("ada", "region_fr"), ("bo", "region_fr"), ("bo", "region_de"), ("di", "other")], "user string, group string"
+    )
+    together = sorted((r.user, r.doc) for r in search.rows_for_users(rows, groups).collect())
+    each = [(u, r.doc) for u in ("ada", "bo", "di") for r in search.rows_for_user(rows, groups, u).collect()]
+    assert together == sorted(each) and len(each) == 6
