@@ -98,7 +98,7 @@ def test_nested_headings(spark):
     md = "intro\n# A\none\n## B\ntwo\nthree\n# C\n"
     rows = chunk.chunk_headings(spark.createDataFrame([(1, md)], "id long, md string"), "md", "id").collect()
     got = sorted((r.section, r.heading, r.chunk_content) for r in rows)
-    assert got == [(0, None, "intro"), (1, "A", "one"), (2, "B", "two\nthree")]
+    assert got == [(0, None, "intro"), (1, "A", "one"), (2, "B", "two\nthree"), (3, "C", "")]
 
 
 def test_parent_child_links(spark):
