@@ -62,7 +62,8 @@ def knn(
     shuffled while the question matrix fits `question_bytes`. Beyond that both sides are cut into
     blocks and every pair of blocks is one bounded task.
     """
-    if "scope" not in questions.columns:
+    scoped = "scope" in questions.columns
+    if not scoped:
         questions, corpus = questions.withColumn("scope", F.lit(0)), corpus.withColumn("scope", F.lit(0))
     questions, corpus = questions.select("id", "vector", "scope"), corpus.select("id", "vector", "scope")
     id_type, question_type = _arrow_type(corpus, "id"), _arrow_type(questions, "id")
@@ -89,17 +90,22 @@ def knn(
         return rank_top(corpus.mapInArrow(scan, schema), k)
 
     # Blocks are cut per scope, so no row meets a block of a foreign scope.
-    sizes = questions.groupBy("scope").agg(F.count(F.lit(1)).alias("q")).join(
-        corpus.groupBy("scope").agg(F.count(F.lit(1)).alias("c")), "scope"
-    ).select("scope", F.ceil(F.col("q") / QUESTION_BLOCK).alias("qn"), F.ceil(F.col("c") / CORPUS_BLOCK).alias("cn"))
-    sizes = F.broadcast(sizes) if fits(sizes) else sizes
+    if scoped:
+        sizes = questions.groupBy("scope").agg(F.count(F.lit(1)).alias("q")).join(
+            corpus.groupBy("scope").agg(F.count(F.lit(1)).alias("c")), "scope"
+        ).select("scope", F.ceil(F.col("q") / QUESTION_BLOCK).alias("qn"), F.ceil(F.col("c") / CORPUS_BLOCK).alias("cn"))
+        sizes = F.broadcast(sizes) if fits(sizes) else sizes
+    else:
+        counts = {"qn": questions.count() / QUESTION_BLOCK, "cn": corpus.count() / CORPUS_BLOCK}
+        counts = {name: F.lit(max(1, math.ceil(n))).cast("bigint") for name, n in counts.items()}
 
     def cut(df: DataFrame, own: str, own_count: str, other: str, other_count: str) -> DataFrame:
-        return df.join(sizes, "scope").select(
+        numbered = df.join(sizes, "scope") if scoped else df.withColumns(counts)
+        return numbered.select(
             *[F.col(c).alias(c) for c in ("id", "vector", "scope")],  # new names on each side: both may be one table
             F.pmod(F.xxhash64("id"), F.col(own_count)).alias(own),
             F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other_count) - 1)).alias(other),
-        )
+        )
 
     asked, held = cut(questions, "qb", "qn", "cb", "cn"), cut(corpus, "cb", "cn", "qb", "qn")
 

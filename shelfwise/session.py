@@ -5,15 +5,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from functools import cache
+from functools import cache, reduce
 from pathlib import Path
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows a side may have before it is no longer broadcast (a row here is a few hundred bytes at most).
+# Rows, and bytes of text, a side may have before it is no longer broadcast.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 128 * 1024 * 1024
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 1_000_000
 # Groups of the first count: at most so many rows reach the driver.
@@ -87,9 +88,12 @@ def materialize(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True when df has at most `rows` rows; reads no further than that."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+def fits(df: DataFrame, rows: int = BROADCAST_ROWS, text_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when df has at most `rows` rows, with at most `text_bytes` in text and binary columns; reads no further."""
+    wide = [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)).cast("bigint") for c, kind in df.dtypes if kind in ("string", "binary")]
+    sizes = df.select(reduce(lambda a, b: a + b, wide, F.lit(0).cast("bigint")).alias("size")).limit(rows + 1)
+    found = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).first()
+    return found.n <= rows and (found.size or 0) <= text_bytes
 
 
 def spread_out(scan: DataFrame) -> DataFrame:

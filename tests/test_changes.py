@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfwise.operators import changes
-from shelfwise.session import hot_keys, scratch_dir, spread_join
+from shelfwise.session import fits, hot_keys, scratch_dir, spread_join
 from shelfwise.sources import files
 
 
@@ -54,3 +54,8 @@ def test_erasure_leaves_nothing(spark):
     after = changes.erase(layers, erased, "doc_id")
     assert {r.rows_left for r in changes.residue(after, erased, "doc_id").collect()} == {0}
     assert after["chunks"].count() == 18
+
+
+def test_size_check_counts_rows_and_bytes(spark):
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("a.b"), F.lit(None).cast("string").alias("c"))
+    assert fits(df, 100) and not fits(df, 99) and not fits(df, 100, 99_999) and fits(df.limit(0), 0, 0)
