@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 # Rows, and bytes of text, a side may have before it is no longer broadcast.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 128 * 1024 * 1024
+# What a Python worker gets at a time: kernels hold a few times as much.
+ARROW_BATCH_BYTES = 8 * 1024 * 1024
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 1_000_000
 # Groups of the first count: at most so many rows reach the driver.
@@ -44,6 +46,7 @@ def build_session(cpus: int | str = "*", app: str = "shelfwise", **conf: str) ->
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings every query relies on, and the package on every Python worker."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH_BYTES)
     _ship_package(spark.sparkContext.applicationId)
     return spark
 
