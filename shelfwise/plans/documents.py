@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise import config
 from shelfwise.functions import text as ft
 from shelfwise.operators import chunk, text
-from shelfwise.plans.sql import CHUNKS_CTE, NORM, chunk_ctes
+from shelfwise.plans.sql import CHUNKS_CTE, NORM
 from shelfwise.session import spread_out
 from shelfwise.sources.tables import silver_documents, table
 

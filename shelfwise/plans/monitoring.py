@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise import config
 from shelfwise.operators import evaluate, monitor
-from shelfwise.plans.evaluation import JUDGE_THRESHOLD, sql_overlap
+from shelfwise.plans.evaluation import sql_overlap
 from shelfwise.plans.ingestion import timed_events
 from shelfwise.plans.sql import hash_int, tokens
 from shelfwise.session import materialize, scratch_dir

@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise import config
-from shelfwise.functions.vectors import hashed_embedding
 from shelfwise.operators import chunk, infer, search
-from shelfwise.plans.documents import document_chunks
 from shelfwise.plans.sql import CHUNKS_CTE, chunk_ctes, tokens
 from shelfwise.session import materialize, scratch_dir, spread_out
 from shelfwise.sources.files import append
