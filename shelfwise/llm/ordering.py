@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from shelfwise.session import materialize
 
 
-def _ranges(df: DataFrame, order: list[Column]) -> int:
+def _ranges(df: DataFrame) -> int:
     """Ranges to deal to: shuffle partitions, as the session has them."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -27,7 +27,7 @@ def _shifted(parts: DataFrame, value: str) -> DataFrame:
 def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     """df with `name`: the position of each row in `order`, from 0. Rows equal in `order` rank in any order."""
     row = F.monotonically_increasing_id()  # range number, then position in the range
-    dealt = df.repartitionByRange(_ranges(df, order), *order).sortWithinPartitions(*order)
+    dealt = df.repartitionByRange(_ranges(df), *order).sortWithinPartitions(*order)
     dealt = materialize(dealt.withColumn("_row", row), "ranked")
     dealt = dealt.withColumn("_range", F.shiftright("_row", 33)).withColumn("_row", F.col("_row").bitwiseAND((1 << 33) - 1))
     parts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
@@ -37,7 +37,7 @@ def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
 
 def running_total(df: DataFrame, order: list[Column], value: str, name: str = "before") -> DataFrame:
     """df with `name`: the sum of `value` over the rows before it in `order` (a total order)."""
-    dealt = df.repartitionByRange(_ranges(df, order), *order).withColumn("_range", F.spark_partition_id())
+    dealt = df.repartitionByRange(_ranges(df), *order).withColumn("_range", F.spark_partition_id())
     dealt = materialize(dealt, "running")
     parts = dealt.groupBy("_range").agg(F.sum(value).alias("n"))
     inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
