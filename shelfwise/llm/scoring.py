@@ -1,12 +1,19 @@
 """Language-model scores by prediction by partial matching (PPM), beside a word-frequency base score.
 
-The model is a byte-context trie of depth three: symbols after two, one and no bytes of context, trained on
-the whole training part of the corpus. A symbol not seen in a context costs an escape (distinct over total
+The model is a byte-context trie trained on the whole training part of the corpus. Its base has symbols after
+two, one and no bytes of context. A symbol not seen in a context costs an escape (distinct over total
 plus distinct, method C) to the next shorter context, where the symbols of the longer ones are excluded; the
-last resort is uniform over what is left. Texts start after two bytes 0xFF and end with one, which UTF-8
+last resort is uniform over what is left. Texts start after bytes 0xFF and end with one, which UTF-8
 never holds. Each task counts its three-byte nodes, Spark adds the counts up; 2^24 nodes are possible, so
-the trie is at most that large whatever the corpus, and the table of code lengths built from it is 67 MB
-at most. This bound is why the depth is a constant: deeper tries grow with the corpus and fit no task.
+the base is at most that large whatever the corpus, and the table of code lengths built from it is 67 MB
+at most.
+
+Contexts of three to `order` bytes are a table that grows with the corpus and is on no driver. A symbol's chance
+after k bytes is (n + d * its chance after k - 1 bytes) / (total + d), with d the distinct symbols seen there:
+method C with the escape blended in, so no exclusion is needed and the chances of a context sum to one. A block
+sends each of its distinct nodes once, with its training count, to the bucket of the last three context bytes.
+All contexts of three bytes and more that end alike meet there, so a bucket adds up the counts, works out every
+order and sends one code length per node back to the block. The number of buckets follows the corpus.
 
 The base score needs the corpus count of every word. Texts are taken in blocks of 8 MB; a block sends each of
 its distinct words once, counts are summed by word (a word has one row per block at most, however common) and
@@ -35,6 +42,10 @@ from shelfwise.sources.tables import table
 
 # Text bytes that share one word list.
 DICTIONARY_BYTES = 8 << 20
+# Bytes of context of the query's model, at most 6 (codes are 64-bit), and text bytes for each bucket of its nodes.
+ORDER = 5
+BUCKET_BYTES = 16 << 20
+BASE_ORDER = 2
 EDGE = 0xFF
 
 
@@ -55,6 +66,22 @@ def trigram_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     return codes[keep], first
 
 
+def gram_codes(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of (`order` bytes of context, symbol) as `trigram_codes` has them for two."""
+    lengths = np.diff(offsets)
+    first = np.zeros(len(lengths) + 1, np.int64)
+    np.cumsum(lengths + 1, out=first[1:])
+    begins = offsets[:-1] + (order + 1) * np.arange(len(lengths))
+    padded = np.full(len(data) + (order + 1) * len(lengths), EDGE, np.uint8)
+    padded[np.arange(len(data)) + np.repeat(begins + order - offsets[:-1], lengths)] = data
+    keep = np.ones(len(padded), bool)
+    keep[(begins[:, None] + np.arange(order)).ravel()] = False
+    codes = padded.astype(np.int64)
+    for back in range(1, order + 1):
+        codes[back:] |= padded[:-back].astype(np.int64) << 8 * back
+    return codes[keep], first
+
+
 def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(codes, kind="stable")
     codes, counts = codes[order], counts[order]
@@ -124,6 +151,20 @@ def code_lengths(codes: np.ndarray, counts: np.ndarray) -> CodeLengths:
     return CodeLengths(rows, table_)
 
 
+def deep_chances(codes: np.ndarray, counts: np.ndarray, base: CodeLengths, order: int) -> np.ndarray:
+    """log10 probability of every node of `order` bytes of context; all nodes with the same last three are given."""
+    chance = 10.0 ** base.of(codes & 0xFFFFFF).astype(np.float64)
+    for depth in range(BASE_ORDER + 1, order + 1):
+        nodes, node = np.unique(codes & ((1 << 8 * (depth + 1)) - 1), return_inverse=True)
+        n = np.bincount(node, counts, len(nodes))
+        contexts, context = np.unique(nodes >> 8, return_inverse=True)
+        kinds = np.bincount(context, n > 0, len(contexts))
+        size = np.bincount(context, n, len(contexts)) + kinds
+        own = context[node]
+        chance = np.where(size[own] > 0, (n[node] + kinds[own] * chance) / np.maximum(size[own], 1), chance)
+    return np.log10(chance).astype(np.float32)
+
+
 def ppm_scores(texts: pa.Array, lengths: CodeLengths) -> np.ndarray:
     """log10 probability of each text under the trie."""
     out = [np.empty(0)]
@@ -166,11 +207,14 @@ def _one(values, kind: pa.DataType) -> pa.Array:
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Whole numbers below 2^28 as bytes of seven bits, the highest bit set on all but a number's last byte."""
-    sizes = 1 + sum((values >= 1 << 7 * k).astype(np.int64) for k in (1, 2, 3))
+    """Whole numbers as bytes of seven bits, the highest bit set on all but a number's last byte."""
+    width = max(1, -(-int(values.max(initial=0)).bit_length() // 7))
+    sizes = np.ones(len(values), np.int64)
+    for k in range(1, width):
+        sizes += values >= 1 << 7 * k
     ends = np.cumsum(sizes)
     out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
-    for k in range(4):
+    for k in range(width):
         own = np.flatnonzero(sizes > k)
         out[ends[own] - sizes[own] + k] = (values[own] >> 7 * k & 127) | np.where(sizes[own] > k + 1, 128, 0)
     return out.tobytes()
@@ -185,10 +229,109 @@ def unpack(data: bytes) -> np.ndarray:
     return np.add.reduceat((raw & 127).astype(np.int64) << 7 * place, first) if len(first) else np.empty(0, np.int64)
 
 
+def _buckets_of(codes: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each node, by the last three bytes of its context."""
+    return (textbytes.mix((codes >> 8 & 0xFFFFFF).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+class _Nodes:
+    """Distinct nodes of a block with their training counts, and the block's texts."""
+
+    def __init__(self, order: int, buckets: int):
+        self.order, self.buckets = order, buckets
+        self.codes, self.counts, self.texts, self.lengths = [], [], [], []
+
+    def add(self, data: np.ndarray, offsets: np.ndarray, held: np.ndarray) -> None:
+        lengths = np.diff(offsets)
+        found = np.sort(gram_codes(data, offsets, self.order)[0] << 1 | np.repeat(held, lengths + 1))
+        at = np.flatnonzero(np.diff(found >> 1, prepend=-1))
+        self.codes.append(found[at] >> 1)
+        self.counts.append(np.add.reduceat(1 - (found & 1), at))
+        self.texts.append(data.tobytes())
+        self.lengths.append(lengths)
+
+    def columns(self) -> dict[str, pa.Array]:
+        codes, counts = _summed(np.concatenate(self.codes), np.concatenate(self.counts))
+        bucket = _buckets_of(codes, self.buckets)
+        order = np.argsort(bucket, kind="stable")
+        bucket, codes, counts = bucket[order], codes[order], counts[order]
+        at = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket)).tolist()
+        nodes = [
+            {"bucket": int(bucket[low]), "codes": pack(np.diff(codes[low:high], prepend=0)), "n": pack(counts[low:high])}
+            for low, high in zip(at[:-1], at[1:])
+        ]
+        kind = pa.list_(pa.struct([("bucket", pa.int32()), ("codes", pa.binary()), ("n", pa.binary())]))
+        return {
+            "texts": pa.array([b"".join(self.texts)], pa.binary()),
+            "lengths": pa.array([pack(np.concatenate(self.lengths))], pa.binary()),
+            "nodes": pa.array([nodes], kind),
+        }
+
+
+def _learner(shared, order: int):
+    """Code lengths of the nodes of a bucket, handed back to each block in the order it sent them; rows come by bucket."""
+
+    def answers(rows: list[tuple[int, bytes, bytes]], bucket: int) -> Iterator[pa.RecordBatch]:
+        codes, counts, waiting = np.empty(0, np.int64), np.empty(0, np.int64), []
+        for _, sent, n in rows:
+            waiting.append((np.cumsum(unpack(sent)), unpack(n)))
+            if sum(len(c) for c, _ in waiting) > max(1 << 20, len(codes)):
+                codes, counts = _summed(*(np.concatenate(part) for part in zip((codes, counts), *waiting)))
+                waiting = []
+        codes, counts = _summed(*(np.concatenate(part) for part in zip((codes, counts), *waiting)))
+        chance = deep_chances(codes, counts, shared.value, order)
+        for low in range(0, len(rows), 64):
+            own = rows[low : low + 64]
+            found = [chance[np.searchsorted(codes, np.cumsum(unpack(sent)))].tobytes() for _, sent, _ in own]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block for block, _, _ in own], pa.int64()), pa.array([bucket] * len(own), pa.int32()), pa.array(found, pa.binary())],
+                names=["block", "bucket", "chances"],
+            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, bucket = [], None
+        for batch in batches:
+            for block, own, codes, n in zip(*(batch[c].to_pylist() for c in ("block", "bucket", "codes", "n"))):
+                if own != bucket and rows:
+                    yield from answers(rows, bucket)
+                    rows = []
+                bucket = own
+                rows.append((block, codes, n))
+        if rows:
+            yield from answers(rows, bucket)
+
+    return run
+
+
+def _text_blocks(texts: bytes, lengths: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """`textbytes.blocks` of a block's texts."""
+    offsets = np.append(0, np.cumsum(lengths))
+    return textbytes.blocks(pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(offsets), pa.py_buffer(texts)))
+
+
+def _deep_scores(texts: bytes, lengths: np.ndarray, answers: list[dict], order: int, buckets: int) -> np.ndarray:
+    """log10 probability of each text of a block, from the code lengths of its nodes in the order `_Nodes` sent them."""
+    parts = []
+    for _, _, data, own in _text_blocks(texts, lengths):
+        grams, first = gram_codes(data, own, order)
+        distinct, place = np.unique(grams, return_inverse=True)
+        parts.append((distinct, place.astype(np.int32), first))
+    codes = np.unique(np.concatenate([distinct for distinct, _, _ in parts]))
+    chances = np.empty(len(codes), np.float32)
+    by_bucket = np.argsort(_buckets_of(codes, buckets), kind="stable")
+    chances[by_bucket] = np.concatenate([np.frombuffer(a["chances"], np.float32) for a in sorted(answers, key=lambda a: a["bucket"])])
+    out = [
+        np.add.reduceat(chances[np.searchsorted(codes, distinct)][place], first[:-1], dtype=np.float64)
+        for distinct, place, first in parts
+    ]
+    return np.concatenate(out)
+
+
 class _Block:
     """Documents of up to DICTIONARY_BYTES of text: their words as numbers into the block's own word list, and that list."""
 
-    def __init__(self):
+    def __init__(self, nodes: _Nodes | None = None):
+        self.nodes = nodes
         self.ids, self.held, self.scores, self.owners, self.words, self.hashes, self.entries = [], [], [], [], [], [], []
         self.bytes = self.docs = self.known = 0
 
@@ -205,93 +348,135 @@ class _Block:
         self.known += len(distinct)
         self.bytes += len(found.data)
 
-    def row(self) -> pa.RecordBatch:
+    def bag(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the distinct words; owner, entry and times of every document's words."""
         _, at, merged = np.unique(np.concatenate(self.hashes), return_index=True, return_inverse=True)
         n = max(len(at), 1)
         pairs = np.concatenate(self.owners).astype(np.int64) * n
         pairs += merged[np.concatenate(self.entries)]
         pairs, times = np.unique(pairs, return_counts=True)
-        owner, entry = np.divmod(pairs, n)
+        return at, *np.divmod(pairs, n), times
+
+    def row(self) -> pa.RecordBatch:
+        at, owner, entry, times = self.bag()
         held = np.concatenate(self.held)
-        sizes = np.bincount(owner, minlength=self.docs)
-        gaps = np.diff(entry, prepend=0)
-        begins = np.flatnonzero(np.diff(owner, prepend=-1))
-        gaps[begins] = entry[begins]
         columns = {
             "ids": _one(pa.concat_arrays(self.ids), None),
             "held": _one(held, pa.bool_()),
             "scores": _one(np.concatenate(self.scores), pa.float64()),
-            "bag": pa.array([pack(sizes)], pa.binary()),
-            "gaps": pa.array([pack(gaps)], pa.binary()),
-            "times": pa.array([pack(times)], pa.binary()),
             "words": _one(pa.concat_arrays(self.words).take(pa.array(at)), pa.binary()),
             "learned": _one(np.bincount(entry, np.where(held[owner], 0, times), len(at)).astype(np.int64), pa.int64()),
         }
+        if self.nodes:  # the texts are sent on, and the bag is made again from them
+            columns |= self.nodes.columns()
+        else:
+            sizes = np.bincount(owner, minlength=self.docs)
+            gaps = np.diff(entry, prepend=0)
+            begins = np.flatnonzero(np.diff(owner, prepend=-1))
+            gaps[begins] = entry[begins]
+            columns |= {name: pa.array([pack(values)], pa.binary()) for name, values in (("bag", sizes), ("gaps", gaps), ("times", times))}
         return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def _block_maker(shared):
-    """One row per block of documents, with the documents' PPM scores."""
+def _block_maker(shared, order: int, buckets: int):
+    """One row per block of documents, with the documents' PPM scores; of a deeper model, with its nodes instead."""
     mapped = textbytes.nonspace_table()
 
+    def new() -> _Block:
+        return _Block(_Nodes(order, buckets) if order > BASE_ORDER else None)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = _Block()
+        block = new()
         for batch in batches:
             held = np.asarray(batch["held_out"].to_numpy(zero_copy_only=False), bool)
             for low, high, data, offsets in textbytes.blocks(batch["text"]):
-                scores = _block_scores(data, offsets, shared.value)
+                if block.nodes:
+                    block.nodes.add(data, offsets, held[low:high])
+                scores = np.zeros(high - low) if block.nodes else _block_scores(data, offsets, shared.value)
                 block.add(batch["id"].slice(low, high - low), held[low:high], scores, textbytes.words(data, offsets, mapped))
                 if block.bytes >= DICTIONARY_BYTES:
                     yield block.row()
-                    block = _Block()
+                    block = new()
         if block.docs:
             yield block.row()
 
     return run
 
 
-def _scorer(n: int, distinct: int, end_count: int):
-    """Rows of documents from blocks whose word counts have come back."""
+def _sent_bag(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, entry and times of every word of a block."""
+    sizes, times = unpack(batch["bag"][row].as_py()), unpack(batch["times"][row].as_py())
+    entries = np.cumsum(unpack(batch["gaps"][row].as_py()))
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    before = np.cumsum(sizes) - sizes  # gaps start anew in every document
+    filled = sizes > 0
+    base = np.zeros(len(sizes), np.int64)
+    base[filled] = np.where(before[filled] > 0, entries[before[filled] - 1], 0)
+    return doc, entries - base[doc], times
+
+
+def _text_bag(texts: bytes, lengths: np.ndarray, mapped: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same from the block's texts: words are numbered as when the block was made."""
+    block = _Block()
+    for low, high, data, offsets in _text_blocks(texts, lengths):
+        block.add(pa.nulls(high - low), np.zeros(0, bool), np.zeros(0), textbytes.words(data, offsets, mapped))
+    return block.bag()[1:]
+
+
+def _scorer(n: int, distinct: int, end_count: int, order: int, buckets: int):
+    """Rows of documents from blocks whose word counts, and code lengths of a deeper model, have come back."""
     below = n + 0.5 * (distinct + 1)
     end = math.log10((end_count + 0.5) / below)
+    mapped = textbytes.nonspace_table()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                sizes, times = unpack(batch["bag"][row].as_py()), unpack(batch["times"][row].as_py())
-                entries = np.cumsum(unpack(batch["gaps"][row].as_py()))
-                doc = np.repeat(np.arange(len(sizes)), sizes)
-                before = np.cumsum(sizes) - sizes  # gaps start anew in every document
-                filled = sizes > 0
-                base = np.zeros(len(sizes), np.int64)
-                base[filled] = np.where(before[filled] > 0, entries[before[filled] - 1], 0)
-                entries = entries - base[doc]
+                model = batch["scores"][row].values
+                if order > BASE_ORDER:
+                    texts, lengths = batch["texts"][row].as_py(), unpack(batch["lengths"][row].as_py())
+                    model = pa.array(_deep_scores(texts, lengths, batch["answers"][row].as_py(), order, buckets), pa.float64())
+                    doc, entries, times = _text_bag(texts, lengths, mapped)
+                else:
+                    doc, entries, times = _sent_bag(batch, row)
+                size = len(model)
                 counts = np.zeros(int(batch["n_words"][row].as_py()), np.int64)
                 counts[batch["places"][row].values.to_numpy()] = batch["counts"][row].values.to_numpy()
                 each = counts[entries]
-                score = np.bincount(doc, times * np.log10((each + 0.5) / below), len(sizes)) + end
-                known = np.bincount(doc, np.where(each > 0, times, 0), len(sizes)).astype(np.int64) + int(end_count > 0)
-                tokens = np.bincount(doc, times, len(sizes)).astype(np.int64) + 1
+                score = np.bincount(doc, times * np.log10((each + 0.5) / below), size) + end
+                known = np.bincount(doc, np.where(each > 0, times, 0), size).astype(np.int64) + int(end_count > 0)
+                tokens = np.bincount(doc, times, size).astype(np.int64) + 1
                 yield pa.RecordBatch.from_arrays(
                     [batch["ids"][row].values, batch["held"][row].values, pa.array(tokens), pa.array(known),
-                     pa.array(np.full(len(sizes), n, np.int64)), pa.array(score, pa.float64()), batch["scores"][row].values],
+                     pa.array(np.full(size, n, np.int64)), pa.array(score, pa.float64()), model],
                     names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
     return run
 
 
-def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """PPM score and word base score of every document, learning from the rows where `held_out` is false."""
+def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
+                    order: int = BASE_ORDER) -> DataFrame:
+    """PPM score and word base score of every document, learning from the rows where `held_out` is false.
+
+    `order` is the bytes of context: two for the base alone, which is bounded, three to six for a model that grows."""
+    if not BASE_ORDER <= order <= 6:
+        raise ValueError(f"order {order} is not between {BASE_ORDER} and 6")
     spark = docs.sparkSession
     narrow = spread_out(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held_out.alias("held_out")))
     lengths = code_lengths(*train_trie(narrow.filter(~F.col("held_out")).select("text")))
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = (
-        f"ids array<{id_type}>, held array<boolean>, scores array<double>, bag binary, gaps binary, times binary, "
-        "words array<binary>, learned array<bigint>"
+        f"ids array<{id_type}>, held array<boolean>, scores array<double>, words array<binary>, learned array<bigint>"
     )
-    blocks = narrow.mapInArrow(_block_maker(spark.sparkContext.broadcast(lengths)), schema)
+    shared, buckets = spark.sparkContext.broadcast(lengths), 1
+    if order > BASE_ORDER:
+        schema += ", texts binary, lengths binary, nodes array<struct<bucket:int,codes:binary,n:binary>>"
+        total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = max(2 * spark.sparkContext.defaultParallelism, -(-total // BUCKET_BYTES))
+    else:
+        schema += ", bag binary, gaps binary, times binary"
+    blocks = narrow.mapInArrow(_block_maker(shared, order, buckets), schema)
     blocks = materialize(blocks.withColumn("block", F.monotonically_increasing_id()), "blocks")
     listed = blocks.select("block", F.posexplode(F.arrays_zip("words", "learned")).alias("place", "entry"))
     # A word has one row per block at most, so one shuffle by word both adds up and hands back.
@@ -311,19 +496,26 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     ends = learned[1] or 0
     n = (learned[0] or 0) + ends
     joined = blocks.drop("learned").withColumn("n_words", F.size("words").cast("bigint")).drop("words").join(returned, "block", "left")
+    carried = ["bag", "gaps", "times"]
+    if order > BASE_ORDER:
+        sent = blocks.select("block", F.explode("nodes").alias("node")).select("block", "node.*")
+        sent = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+        handed = sent.mapInArrow(_learner(shared, order), "block bigint, bucket int, chances binary")
+        joined = joined.join(handed.groupBy("block").agg(F.collect_list(F.struct("bucket", "chances")).alias("answers")), "block")
+        carried = ["texts", "lengths", "answers"]
     joined = joined.select(
-        "ids", "held", "scores", "bag", "gaps", "times", "n_words",
+        "ids", "held", "scores", "n_words", *carried,
         F.coalesce("place", F.array().cast("array<int>")).alias("places"),
         F.coalesce("n", F.array().cast("array<bigint>")).alias("counts"),
     )
     out = (
         f"id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     )
-    return joined.mapInArrow(_scorer(n, v + (ends > 0), ends), out).withColumnRenamed("id", id_col)
+    return joined.mapInArrow(_scorer(n, v + (ends > 0), ends, order, buckets), out).withColumnRenamed("id", id_col)
 
 
 def op7_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_documents(table(spark, sf_dir, "documents"), fold("doc_id") == 1)
+    return score_documents(table(spark, sf_dir, "documents"), fold("doc_id") == 1, order=ORDER)
 
 
 QUERIES = {"op7_score": op7_score}

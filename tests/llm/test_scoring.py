@@ -101,6 +101,60 @@ def test_model_beats_uniform_on_held_out_texts(spark, documents):
     assert bits < 3.5
 
 
+class Deep(Plain):
+    """The same with the chances after three and more bytes blended, each over the next shorter context."""
+
+    def __init__(self, training, order):
+        super().__init__(training)
+        self.order, self.deeper = order, defaultdict(Counter)
+        for text in training:
+            data = b"\xff" * order + (text or "").encode() + b"\xff"
+            for at in range(order, len(data)):
+                for k in range(3, order + 1):
+                    self.deeper[data[at - k : at]][data[at]] += 1
+
+    def score(self, text):
+        data, total = b"\xff" * self.order + (text or "").encode() + b"\xff", 0.0
+        for at in range(self.order, len(data)):
+            chance = self.symbol(data, at)
+            for k in range(3, self.order + 1):
+                seen = self.deeper.get(data[at - k : at])
+                if seen:
+                    chance = (seen[data[at]] + len(seen) * chance) / (sum(seen.values()) + len(seen))
+            total += math.log10(chance)
+        return total
+
+
+@pytest.mark.parametrize("order", [3, 5, 6])
+def test_deeper_contexts_equal_the_plain_version(spark, documents, odd, empty, order, monkeypatch):
+    monkeypatch.setattr(scoring, "DICTIONARY_BYTES", 20_000)  # many blocks: counts meet in the buckets
+    for df in (documents.filter("length(text) < 800").select("doc_id", "text"), odd.filter("text is null or length(text) < 5000").select("doc_id", "text")):
+        rows = df.collect()
+        plain = Deep([r.text for r in rows if not held(r.doc_id)], order)
+        got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in scoring.score_documents(df, fold("doc_id") == 1, order=order).collect())
+        wanted = sorted((str(r.doc_id), plain.base(r.text)[0], plain.score(r.text)) for r in rows)
+        assert [g[:2] for g in got] == [w[:2] for w in wanted]
+        assert [g[2] for g in got] == pytest.approx([w[2] for w in wanted], rel=1e-5, abs=1e-4)
+    assert scoring.score_documents(empty, fold("doc_id") == 1, order=order).count() == 0
+    alone = scoring.score_documents(odd.limit(3), F.lit(True), order=order).collect()
+    assert all(r.train_tokens == 0 and math.isfinite(r.score) for r in alone)
+
+
+def test_the_query_learns_deeper_contexts(spark):
+    documents, bits = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), {}
+    rows = documents.select("doc_id", "text").collect()
+    size = sum(len(r.text.encode()) + 1 for r in rows if held(r.doc_id))
+    for name, found in (("two", scoring.score_documents(documents, fold("doc_id") == 1)), ("query", scoring.op7_score(spark, "/root/testdata/sf0.01"))):
+        bits[name] = -found.filter("held_out").agg(F.sum("score")).first()[0] * math.log2(10) / size
+    print(bits)  # bits a byte of held-out texts
+    assert bits["query"] < bits["two"] - 0.2
+
+
+@given(st.lists(st.integers(0, 2**48)))
+def test_wide_numbers_come_back(values):
+    assert scoring.unpack(scoring.pack(np.array(values, np.int64))).tolist() == values
+
+
 @given(st.lists(st.integers(0, 2**28 - 1)))
 def test_packed_numbers_come_back(values):
     assert scoring.unpack(scoring.pack(np.array(values, np.int64))).tolist() == values
