@@ -1,17 +1,21 @@
 """Secret scan with a recursive decoding worklist.
 
 The patterns run over the whole text. Then every encoded part is unwrapped (percent encoding, Unicode escapes,
-base64, and gzip, zlib, bzip2, xz or Zstandard data inside base64), the decoded layer is scanned again, and so
+base64, and gzip, zlib, bzip2, xz or Zstandard data inside any of them), the decoded layer is scanned again, and so
 on until nothing new appears; a layer seen before in the document is not entered again, so cycles end. Every
 character of a layer knows the range of the document it comes from, so a finding in any layer is reported as a
 span of the document: exact for character encodings, the whole encoded run for compressed data.
 
+Bytes that are not UTF-8 are taken as one character each, if what comes out is readable. Compressed
+data may begin anywhere in decoded bytes, and all its members are read.
+
 The scan is one narrow pass; a task holds one Arrow batch and the layers of one document.
 
 Defined results: a null or empty text has no spans; overlapping findings of different kinds all stay; equal
 spans of a kind found in several layers are one; repeated documents are scanned one by one; an undecodable
-run is plain text; a compressed layer is unpacked up to `layer_bytes` (a guard against decompression bombs,
-reported in `cut`); other columns are ignored.
+run is plain text; a compressed layer longer than `layer_bytes` is scanned whole, in pieces of that size of which each
+repeats half of the one before (`cut` says so; only an encoded run of more than half a piece can be split); `layers`
+counts decoded texts that are readable, hold a finding or are decoded further; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +27,8 @@ import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import chain, repeat
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -52,15 +57,31 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPED = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
 ONE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-_MAGIC = ((b"\x1f\x8b", 31), (b"\x78", 15))
+PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+
+
+class _Same(Sequence):
+    """`n` times the same number."""
+
+    def __init__(self, value: int, n: int):
+        self.value, self.n = value, n
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, at):
+        return _Same(self.value, len(range(self.n)[at])) if isinstance(at, slice) else self.value
+
+    def __iter__(self) -> Iterator[int]:
+        return repeat(self.value, self.n)
 
 
 class Layer(NamedTuple):
     """Decoded text; character i comes from begins[i]:ends[i] of the document (None: from i itself)."""
 
     text: str
-    begins: list[int] | None
-    ends: list[int] | None
+    begins: Sequence[int] | None
+    ends: Sequence[int] | None
 
     def source(self, start: int, end: int) -> tuple[int, int]:
         if self.begins is None:
@@ -150,57 +171,123 @@ def escape_layer(layer: Layer) -> Layer | None:
     return _replaced(layer, runs) if runs else None
 
 
-def unpack(data: bytes, limit: int) -> tuple[bytes, bool] | None:
-    """Decompressed bytes and whether they were cut at the limit; None if the data are not compressed."""
-    for magic, window in _MAGIC:
-        if data.startswith(magic):
-            worker = zlib.decompressobj(window)
-            break
-    else:
-        if data.startswith(b"BZh"):
-            worker = bz2.BZ2Decompressor()
-        elif data.startswith(b"\xfd7zXZ\x00"):
-            worker = lzma.LZMADecompressor()
-        elif data.startswith(b"\x28\xb5\x2f\xfd"):
-            try:
-                with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                    out = reader.read(limit + 1)
-            except zstandard.ZstdError:
-                return None
-            return out[:limit], len(out) > limit
-        else:
-            return None
+def _members(data: bytes, step: int) -> Iterator[tuple[bytes, int]]:
+    """Decompressed parts of about `step` bytes, of all members one after another, and the bytes of `data` used so far."""
+    rest = data
     try:
-        out = worker.decompress(data, limit + 1)
-    except (OSError, EOFError, zlib.error, lzma.LZMAError):
-        return None
-    return out[:limit], len(out) > limit
+        while (found := PACKED.match(rest)) is not None:
+            if found[0] == b"\x28\xb5\x2f\xfd":
+                with zstandard.ZstdDecompressor().stream_reader(rest, read_across_frames=True) as reader:
+                    while part := reader.read(step):
+                        yield part, 0
+                yield b"", len(data)
+                return
+            if found[0][:1] in b"\x1f\x78":
+                worker = zlib.decompressobj(31 if found[0][:1] == b"\x1f" else 15)
+                while not worker.eof and rest:
+                    part = worker.decompress(rest, step)
+                    if not part and len(worker.unconsumed_tail) == len(rest):
+                        break
+                    rest = worker.unconsumed_tail
+                    yield part, 0
+            else:
+                worker = bz2.BZ2Decompressor() if found[0][:1] == b"B" else lzma.LZMADecompressor()
+                yield worker.decompress(rest, step), 0
+                while not worker.eof and not worker.needs_input:
+                    yield worker.decompress(b"", step), 0
+            if not worker.eof:  # the data end within a member
+                return
+            rest = worker.unused_data
+            yield b"", len(data) - len(rest)
+    except (OSError, EOFError, zlib.error, lzma.LZMAError, zstandard.ZstdError, MemoryError):
+        return
+
+
+def unpacked(data: bytes, limit: int) -> Iterator[tuple[bytes, bool, int]]:
+    """Everything `data` hold at their start, in pieces of up to `limit` bytes that repeat half of the one before:
+    piece, whether there are others, and the bytes of `data` that were used."""
+    held, many, used = b"", False, 0
+    for part, end in _members(data, max(1, limit // 2)):
+        held, used = held + part, max(used, end)
+        while len(held) > limit:
+            many = True
+            yield held[:limit], True, used
+            held = held[max(1, limit // 2) :]
+    if held or used:
+        yield held, many, used
+
+
+def packed_layers(data: bytes, sources: list[tuple[int, int]], limit: int, seen: set) -> Iterator[tuple[Layer, bool]]:
+    """Layers of compressed data anywhere in bytes, however deep; `sources` has the document's range of each byte."""
+    work: list[tuple[bytes, tuple[int, int] | None]] = [(data, None)]
+    while work:
+        data, whole = work.pop()
+        after = 0
+        for match in PACKED.finditer(data):
+            if match.start() < after:
+                continue
+            span = whole or (sources[match.start()][0], sources[-1][1])
+            for piece, many, used in unpacked(data[match.start() :], limit):
+                after = max(after, match.start() + used)
+                mark = hashlib.blake2b(piece, digest_size=16).digest(), span
+                if piece and mark not in seen:
+                    seen.add(mark)
+                    for text, _ in _texts(piece):
+                        yield Layer(text, _Same(span[0], len(text)), _Same(span[1], len(text))), many
+                    work.append((piece, span))
+
+
+def _texts(data: bytes) -> Iterator[tuple[str, list[tuple[int, int]] | None]]:
+    """Bytes as text, with the bytes of each character unless it is one byte or UTF-8: UTF-8, or else a character a byte."""
+    try:
+        yield data.decode(), None
+    except UnicodeDecodeError:
+        yield data.decode("latin-1"), None
 
 
 def _readable(text: str) -> bool:
     return bool(text) and all(c.isprintable() or c in "\t\n\r" for c in text)
 
 
-def base64_layers(layer: Layer, limit: int) -> Iterator[tuple[Layer, bool]]:
-    """One layer per run that decodes to text, directly or after unpacking, and whether it was cut."""
+def base64_layers(layer: Layer, limit: int, seen: set) -> Iterator[tuple[Layer, bool]]:
+    """Layers of the runs of base64, as text and unpacked, and whether each is one of several pieces."""
     for match in BASE64.finditer(layer.text):
-        run = match[0].rstrip("=").replace("-", "+").replace("_", "/")
-        run = run[: len(run) - (len(run) % 4 == 1)]
-        data = base64.b64decode(run + "=" * (-len(run) % 4))
-        whole, cut, packed = layer.source(*match.span()), False, False
-        while (inner := unpack(data, limit)) is not None:
-            data, packed, cut = inner[0], True, cut or inner[1]
-        if packed:
-            text = data.decode("utf-8", "replace")
-            if text:
-                yield Layer(text, [whole[0]] * len(text), [whole[1]] * len(text)), cut
-            continue
-        start = match.start()
-        places = [(start + i * 8 // 6, start + -(-(i + 1) * 8 // 6)) for i in range(len(data))]
-        decoded = _characters(data, places)
-        if decoded is not None and _readable(decoded[0]):
-            spans = [layer.source(b, e) for b, e in zip(decoded[1], decoded[2])]
-            yield Layer(decoded[0], [b for b, _ in spans], [e for _, e in spans]), False
+        at = [i for i in range(*match.span()) if layer.text[i] not in "\r\n="]
+        run = "".join(layer.text[i] for i in at).replace("-", "+").replace("_", "/")
+        for shift in range(1):
+            part = run[shift:]
+            part = part[: len(part) - (len(part) % 4 == 1)]
+            data = base64.b64decode(part + "=" * (-len(part) % 4))
+
+            def place(i: int, j: int, shift: int = shift) -> tuple[int, int]:
+                return layer.source(at[shift + i * 8 // 6], at[min(shift - (-j * 8 // 6), len(at)) - 1] + 1)
+
+            if PACKED.search(data):
+                sources = [place(i, i + 1) for i in range(len(data))]
+                sources[-1] = sources[-1][0], layer.source(match.start(), match.end())[1]
+                yield from packed_layers(data, sources, limit, seen)
+            for text, ranges in _texts(data):
+                if not _readable(text):
+                    continue
+                if ranges is None:
+                    decoded = _characters(data, [(i, i + 1) for i in range(len(data))])
+                    ranges = list(zip(*decoded[1:])) if decoded else [(i, i + 1) for i in range(len(data))]
+                spans = [place(i, j) for i, j in ranges]
+                yield Layer(text, [b for b, _ in spans], [e for _, e in spans]), False
+
+
+def byte_layers(layer: Layer, limit: int, seen: set) -> Iterator[tuple[Layer, bool]]:
+    """Layers of compressed bytes that are written in percent encoding or as escapes."""
+    for pattern in (PERCENT, ESCAPED):
+        for match in pattern.finditer(layer.text):
+            if pattern is PERCENT:
+                data = binascii.unhexlify(match[0].replace("%", ""))
+                places = [(match.start() + 3 * i, match.start() + 3 * i + 3) for i in range(len(data))]
+            else:
+                units = [(int(m[1] or m[2] or m[3], 16), m.span()) for m in ONE_ESCAPE.finditer(layer.text, *match.span())]
+                data, places = bytes(min(c, 255) for c, _ in units), [place for _, place in units]
+            if PACKED.search(data):
+                yield from packed_layers(data, [layer.source(*place) for place in places], limit, seen)
 
 
 class Scan(NamedTuple):
@@ -219,11 +306,14 @@ def scan(text: str | None, layer_bytes: int = LAYER_BYTES) -> Scan:
     text = text or ""
     base = list(find(text))
     spans, seen, cut, layers = set(base), {_mark(text)}, False, 0
+    unpacked_before: set = set()
     work = [Layer(text, None, None)]
     while work:
         layer = work.pop()
         found: list[tuple[Layer | None, bool]] = [(percent_layer(layer), False), (escape_layer(layer), False)]
-        for inner, was_cut in [*found, *base64_layers(layer, layer_bytes)]:
+        for inner, was_cut in chain(
+            found, byte_layers(layer, layer_bytes, unpacked_before), base64_layers(layer, layer_bytes, unpacked_before)
+        ):
             cut |= was_cut
             # The same text from another place is another layer, with other spans.
             mark = inner and (_mark(inner.text), inner.begins[:1] and inner.begins[0])

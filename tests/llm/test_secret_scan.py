@@ -96,3 +96,29 @@ def test_odd_rows(spark, odd, empty):
     rows = scan.scan_documents(documents).join(documents.select("doc_id", "text"), "doc_id").collect()
     assert len(rows) == documents.count() and any(r.base for r in rows)
     assert all([tuple(s) for s in r.base] == plain(r.text) for r in rows)
+
+
+def b64(data):
+    return base64.b64encode(data).decode()
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_every_member_is_read(pack):
+    data = pack(b"nothing here") + pack(b"nor here") + pack(SECRET.encode())
+    for text in (b64(data), "".join(f"%{b:02X}" for b in data), "".join(f"\\x{b:02x}" for b in data)):
+        assert scan.scan(f"see {text} end").spans, text
+    nested = b64(pack(pack(SECRET.encode())))
+    assert ("assign", 0, len(nested)) in scan.scan(nested).spans
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_all_of_a_long_layer_is_scanned(pack):
+    filler = b"".join(b"%d " % i for i in range(20_000))
+    text = b64(pack(filler + SECRET.encode() + filler))
+    found = scan.scan(text, layer_bytes=10_000)
+    assert found.cut and ("assign", 0, len(text)) in found.spans
+
+
+def test_a_layer_that_unpacks_to_itself_ends(monkeypatch):
+    monkeypatch.setattr(scan, "_members", lambda data, step: iter([(data, len(data))]))
+    assert scan.scan(b64(gzip.compress(b"anything"))).spans == []
