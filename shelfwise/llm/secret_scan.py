@@ -6,7 +6,7 @@ on until nothing new appears; a layer seen before in the document is not entered
 character of a layer knows the range of the document it comes from, so a finding in any layer is reported as a
 span of the document: exact for character encodings, the whole encoded run for compressed data.
 
-Bytes that are not UTF-8 are taken as one character each, if what comes out is readable. Compressed
+Bytes that are not UTF-8 are taken as one character each, and as UTF-16 where they have a NUL; the patterns decide. Compressed
 data may begin anywhere in decoded bytes, and all its members are read.
 
 The scan is one narrow pass; a task holds one Arrow batch and the layers of one document.
@@ -26,6 +26,7 @@ import bz2
 import hashlib
 import lzma
 import re
+import sys
 import zlib
 from collections.abc import Iterator, Sequence
 from itertools import chain, repeat
@@ -238,17 +239,40 @@ def packed_layers(data: bytes, sources: list[tuple[int, int]], limit: int, seen:
 
 
 def _texts(data: bytes) -> Iterator[tuple[str, list[tuple[int, int]] | None]]:
-    """Bytes as text, with the bytes of each character unless it is one byte or UTF-8: UTF-8, or else a character a byte."""
+    """Bytes as text, with the bytes of each character unless it is one byte or UTF-8: UTF-8, or else a character a byte;
+    UTF-16 of either order and parity where there is a NUL."""
     try:
         yield data.decode(), None
     except UnicodeDecodeError:
         yield data.decode("latin-1"), None
+    if b"\0" in data:
+        for low in (0, 1):
+            for code in ("utf-16-le", "utf-16-be"):
+                units = data[low : len(data) - (len(data) - low) % 2]
+                text = "".join("\ufffd" if "\ud800" <= c < "\ue000" else c for c in _units(units, code))
+                if text:
+                    yield text, [(low + 2 * i, low + 2 * i + 2) for i in range(len(text))]
+
+
+def _units(data: bytes, code: str) -> Iterator[str]:
+    return map(chr, memoryview(data if code.endswith(sys.byteorder[0] + "e") else _swapped(data)).cast("H"))
+
+
+def _swapped(data: bytes) -> bytes:
+    out = bytearray(data)
+    out[0::2], out[1::2] = data[1::2], data[0::2]
+    return bytes(out)
 
 
 def _readable(text: str) -> bool:
     return bool(text) and all(c.isprintable() or c in "\t\n\r" for c in text)
 
 
+def _matters(text: str) -> bool:
+    """Whether a text has a finding or is decoded further."""
+    return next(find(text), None) is not None or any(p.search(text) for p in (PERCENT, ESCAPED, BASE64))
+
+
 def base64_layers(layer: Layer, limit: int, seen: set) -> Iterator[tuple[Layer, bool]]:
     """Layers of the runs of base64, as text and unpacked, and whether each is one of several pieces."""
     for match in BASE64.finditer(layer.text):
@@ -267,7 +291,7 @@ def base64_layers(layer: Layer, limit: int, seen: set) -> Iterator[tuple[Layer,
                 sources[-1] = sources[-1][0], layer.source(match.start(), match.end())[1]
                 yield from packed_layers(data, sources, limit, seen)
             for text, ranges in _texts(data):
-                if not _readable(text):
+                if not (_matters(text) or (shift == 0 and ranges is None and _readable(text))):
                     continue
                 if ranges is None:
                     decoded = _characters(data, [(i, i + 1) for i in range(len(data))])

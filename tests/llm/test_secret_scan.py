@@ -102,6 +102,17 @@ def b64(data):
     return base64.b64encode(data).decode()
 
 
+@pytest.mark.parametrize("data", [
+    "\ufeff".encode() + SECRET.encode(), ("x\u3000\u00a0" + SECRET).encode(), ("\u200b\u2028\x0c\x00\x1b" + SECRET).encode(),
+    SECRET.encode("utf-16"), SECRET.encode("utf-16-be"), b"caf\xe9 " + SECRET.encode(), gzip.compress(SECRET.encode("utf-16-le")),
+])
+def test_decoded_bytes_of_any_kind_are_scanned(data):
+    text = f"see {b64(data)} end"
+    assert any(k == "assign" for k, _, _ in scan.scan(text).spans)
+    inner = f"see {b64(b64(data).encode())} end"
+    assert any(k == "assign" for k, _, _ in scan.scan(inner).spans)
+
+
 @pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
 def test_every_member_is_read(pack):
     data = pack(b"nothing here") + pack(b"nor here") + pack(SECRET.encode())
