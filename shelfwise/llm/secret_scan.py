@@ -6,7 +6,8 @@ on until nothing new appears; a layer seen before in the document is not entered
 character of a layer knows the range of the document it comes from, so a finding in any layer is reported as a
 span of the document: exact for character encodings, the whole encoded run for compressed data.
 
-Bytes that are not UTF-8 are taken as one character each, and as UTF-16 where they have a NUL; the patterns decide. Compressed
+Base64 is decoded at all four alignments, lines joined, since a blob may follow other characters of its alphabet. Bytes
+that are not UTF-8 are taken as one character each, and as UTF-16 where they have a NUL; the patterns decide. Compressed
 data may begin anywhere in decoded bytes, and all its members are read.
 
 The scan is one narrow pass; a task holds one Arrow batch and the layers of one document.
@@ -57,7 +58,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPED = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
 ONE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
 PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 
 
@@ -278,7 +279,7 @@ def base64_layers(layer: Layer, limit: int, seen: set) -> Iterator[tuple[Layer,
     for match in BASE64.finditer(layer.text):
         at = [i for i in range(*match.span()) if layer.text[i] not in "\r\n="]
         run = "".join(layer.text[i] for i in at).replace("-", "+").replace("_", "/")
-        for shift in range(1):
+        for shift in range(4):
             part = run[shift:]
             part = part[: len(part) - (len(part) % 4 == 1)]
             data = base64.b64decode(part + "=" * (-len(part) % 4))

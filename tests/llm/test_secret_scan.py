@@ -113,6 +113,21 @@ def test_decoded_bytes_of_any_kind_are_scanned(data):
     assert any(k == "assign" for k, _, _ in scan.scan(inner).spans)
 
 
+@pytest.mark.parametrize("before", ["https://host.example/cb/", "v1-", "path/", "key_", "a", "ab", "abc", "abcd/_-"])
+@pytest.mark.parametrize("data", [SECRET.encode(), gzip.compress(SECRET.encode()), zstandard.compress(SECRET.encode())])
+def test_base64_after_characters_of_its_alphabet(before, data):
+    text = before + b64(data)
+    assert any(k == "assign" and s >= len(before) - 2 and e <= len(text) for k, s, e in scan.scan(text).spans)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("data", [b"x" * 50 + SECRET.encode() + b"y" * 90, gzip.compress(bytes(range(256)) * 3 + SECRET.encode())])
+def test_wrapped_base64_is_one_run(data, end):
+    coded = b64(data)
+    text = "-----BEGIN-----" + end + end.join(coded[i : i + 76] for i in range(0, len(coded), 76)) + end
+    assert any(k == "assign" for k, _, _ in scan.scan(text).spans)
+
+
 @pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress])
 def test_every_member_is_read(pack):
     data = pack(b"nothing here") + pack(b"nor here") + pack(SECRET.encode())
