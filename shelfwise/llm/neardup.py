@@ -232,11 +232,17 @@ def _verifier(threshold: Fraction):
 
 
 def _set_reader(size: int):
-    """Rows of candidate documents with their text replaced by its shingle set."""
+    """Rows of candidate documents with their text replaced by its shingle set; a repeated row once per task."""
     mapped = textbytes.alphanumeric_table()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
+            new = []
+            for node in batch["node"].to_pylist():
+                new.append(node not in seen)
+                seen.add(node)
+            batch = batch.filter(pa.array(new, pa.bool_()))
             for low, high, data, offsets in textbytes.blocks(batch["text"]):
                 shingles, first = shingle_sets(textbytes.words(data, offsets, mapped), size)
                 sets = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(shingles.view(np.int64)))
@@ -257,7 +263,7 @@ def place_members(members: DataFrame, banded: DataFrame, block_shingles: int, bl
     sized = sized.join(whole, "root")
     columns = ["node", "root", "copies", "rep_id", "rep_key", "block"]
     small = sized.filter(F.col("total") <= capacity).withColumn("block", F.lit(0)).select(*columns)
-    large = materialize(sized.filter(F.col("total") > capacity).join(banded, "node"), "large")
+    large = materialize(sized.filter(F.col("total") > capacity).join(banded, "node").dropDuplicates(["node"]), "large")
     if large.isEmpty():
         return small, None
     order = [F.col(c).asc() for c in ("root", "near", "node")]
@@ -307,7 +313,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     own = nodes.select(F.col("mark").alias("_mark"), "rep_id", "rep_key", "node")
     same = (F.col("mark") == F.col("_mark")) & F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("key") == F.col("rep_key"))
-    banded = signed.select("id", "key", "mark", "bands").join(own, same).select("node", "bands")
+    banded = signed.select("id", "key", "mark", "bands").join(own, same).select("node", "bands")  # a row per repeat of a node's row
     edges = candidate_edges(banded)
 
     stars = components(edges)

@@ -78,6 +78,13 @@ def test_equals_all_pairs(spark, blocks):
     assert any(r[3] > 3 for r in got)
 
 
+@pytest.mark.parametrize("blocks", [{}, {"block_shingles": 700, "block_nodes": 6}])
+def test_repeated_rows_of_large_groups_count_once(spark, blocks):
+    rows = [row for i, row in enumerate(near_copies(3, 3, 20)) for _ in range(7 if i % 3 == 0 else 1)]
+    got, _ = found(spark.createDataFrame(rows, "doc_id bigint, text string"), **blocks)
+    assert got == brute(rows)
+
+
 def test_odd_rows(spark, odd, empty):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got, whole = found(odd)
