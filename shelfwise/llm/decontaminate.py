@@ -159,7 +159,7 @@ def scan(texts: pa.Array, groups: list[PatternClass]) -> list[tuple[int, list[tu
 
 def pattern_slabs(items: DataFrame, id_col: str, text_col: str, slab_words: int) -> Iterator[list[tuple[str | None, str]]]:
     """The benchmark in parts of about `slab_words` words; one part at a time is on the driver."""
-    rows = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
+    rows = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text")).filter("text IS NOT NULL").distinct()
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-size // (6 * slab_words)))
     for slab in range(n):

@@ -58,6 +58,13 @@ def test_slabs_do_not_change_the_result(spark, documents):
     assert any(r.spans for r in one)
 
 
+def test_equal_benchmark_rows_are_one(spark):
+    rows = [(1, "one two three four five")] * 400 + [(i, f"row {i} of the benchmark is here") for i in range(2, 50)]
+    items = spark.createDataFrame(rows, "item_id bigint, text string")
+    slabs = list(dec.pattern_slabs(items, "item_id", "text", 100))
+    assert sorted(r for slab in slabs for r in slab) == sorted((str(i), t) for i, t in set(rows))
+
+
 def test_odd_rows(spark, odd, empty):
     items = spark.createDataFrame(
         [(1, "three four five six seven eight nine ten eleven twelve"), (2, "two three four five six seven eight nine ten eleven"), (None, "hi"), (3, None), (2, "hi")],
