@@ -218,8 +218,11 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     picked = labels.filter(usable).filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     picked = picked.select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_label"))
     picked = picked.orderBy(F.xxhash64("_id"), "_id", "_label").limit(sample)
+    picked = picked.groupBy("_id", "_label").agg(F.count(F.lit(1)).cast("int").alias("_times"))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     known = rows.join(F.broadcast(picked), "_id")  # at most `sample` rows of two numbers
+    known = known.groupBy("_id", "_label", "_times").agg(F.min("_text").alias("_text"))  # rows that repeat an id add none
+    known = known.withColumn("_times", F.explode(F.array_repeat(F.lit(1), F.col("_times"))))
     found = with_statistics(known, "_text", ["_id", "_label"]).select("_id", "_label", "_statistics.*").toPandas()
     found = found.sort_values(["_id", "_label", *STATISTICS])
     return fit(found[list(STATISTICS)].to_numpy(np.float64).reshape(-1, len(STATISTICS)), found["_label"].to_numpy(np.float64))

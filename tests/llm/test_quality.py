@@ -75,6 +75,17 @@ def test_degenerate_labels(spark, documents):
     assert model.rules == [] and model.intercept == pytest.approx(np.log(4))
 
 
+def test_repeated_ids_do_not_grow_the_sample(spark, monkeypatch):
+    rows = [(0, f"the same id with other words {i}") for i in range(300)] + [(i, f"text number {i} of them") for i in range(1, 20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, float(i % 2)) for i in range(20)], "doc_id bigint, quality double")
+    sizes = []
+    monkeypatch.setattr(quality, "fit", lambda rows, labels: sizes.append(len(labels)))
+    quality.train(docs, labels, fold("doc_id") >= 0, sample=10)
+    quality.train(docs, labels, fold("doc_id") >= 0)
+    assert sizes == [10, 20]
+
+
 def test_odd_rows(spark, odd, empty):
     model = quality.Ensemble(0.0, [(quality.Rule(((1, True, 5.0),)), 2.0)])
     assert quality.score(odd, model).count() == odd.count()
