@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from shelfwise.llm import chat, decontaminate, mixing, neardup, quality, scoring, secret_scan, sharding, token_counts, topk
+from shelfwise.llm import chat, decontaminate, mixing, neardup, periodic, quality, scoring, secret_scan, sharding, token_counts, topk
 
-MODULES = (chat, decontaminate, mixing, neardup, quality, scoring, secret_scan, sharding, token_counts, topk)
+MODULES = (chat, decontaminate, mixing, neardup, quality, scoring, secret_scan, sharding, token_counts, topk, periodic)
 
 
 def queries() -> dict:
