@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from shelfwise.llm import chat, decontaminate, mixing, neardup, periodic, quality, scoring, secret_scan, sharding, token_counts, topk, vectordup
+from shelfwise.llm import chat, decontaminate, hardneg, mixing, neardup, periodic, quality, scoring, secret_scan, sharding, token_counts, topk, vectordup
 
-MODULES = (chat, decontaminate, mixing, neardup, quality, scoring, secret_scan, sharding, token_counts, topk, vectordup, periodic)
+MODULES = (chat, decontaminate, mixing, neardup, quality, scoring, secret_scan, sharding, token_counts, topk, vectordup, periodic, hardneg)
 
 
 def queries() -> dict:
