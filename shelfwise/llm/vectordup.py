@@ -46,6 +46,9 @@ PROBES = 8
 BUCKET_LOAD = 64
 BUCKET_NODES = 2048
 BLOCK_NODES = 1024
+# Smaller groups are one task; larger ones are spread over the pairs of so many blocks, or more.
+SPREAD_NODES = 128
+GROUP_BLOCKS = 8
 SKETCH_BITS = 128
 # Chance that a pair at the threshold fails the sketch.
 SKETCH_LOSS = 1e-4
@@ -225,18 +228,23 @@ def candidate_edges(signed: DataFrame, threshold: float, bucket_nodes: int) -> D
 
 
 def _place(members: DataFrame, signed: DataFrame, block_nodes: int) -> tuple[DataFrame, DataFrame | None]:
-    """Candidate nodes with their block, and the tasks (root, block, low, high) of groups of several blocks."""
-    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
-    large_roots = sizes.filter(F.col("m") > block_nodes)
+    """Candidate nodes with their block, and the tasks (root, block, low, high) of groups of several blocks.
+
+    A group of more than SPREAD_NODES is cut in GROUP_BLOCKS blocks, or in more of at most `block_nodes`.
+    """
+    least = min(SPREAD_NODES, block_nodes)
+    size = F.least(F.lit(block_nodes), F.greatest(F.lit(least), F.ceil(F.col("m") / GROUP_BLOCKS)))
+    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("m")).withColumn("size", size)
     sized = members.join(sizes, "root")
-    small = sized.filter(F.col("m") <= block_nodes).select("node", "root", F.lit(0).alias("block"))
-    if large_roots.isEmpty():
+    small = sized.filter(F.col("m") <= least).select("node", "root", F.lit(0).alias("block"))
+    large = sized.filter(F.col("m") > least)
+    if large.isEmpty():
         return small, None
-    large = sized.filter(F.col("m") > block_nodes).join(signed.select("node", "codes"), "node")
-    ordered = large.select("root", "node", "codes", F.element_at("codes", 1).alias("near"), F.lit(1).cast("bigint").alias("one"))
+    near = signed.select("node", "codes", F.element_at("codes", 1).alias("near"))
+    ordered = large.join(near, "node").withColumn("one", F.lit(1).cast("bigint"))
     placed = running_total(ordered, [F.col(c).asc() for c in ("root", "near", "node")], "one")
     starts = placed.groupBy("root").agg(F.min("before").alias("start"))
-    placed = placed.join(starts, "root").withColumn("block", F.floor((F.col("before") - F.col("start")) / block_nodes).cast("int"))
+    placed = placed.join(starts, "root").withColumn("block", F.floor((F.col("before") - F.col("start")) / F.col("size")).cast("int"))
     placed = materialize(placed.select("node", "root", "block", "codes"), "placed")
     held = placed.select("root", "block", F.explode("codes").alias("code")).distinct()
     other = held.select("root", F.col("block").alias("high"), "code")
