@@ -27,6 +27,8 @@ QUESTION_BLOCK = 4096
 CORPUS_BLOCK = 65536
 # Cells of an index: their centres go to every task.
 MAX_CELLS = 65536
+# Rows the centres are fitted on.
+TRAIN_ROWS = 65_536
 
 
 def rank_top(scored: DataFrame, k: int, by: str = "question_id", tie: tuple[str, ...] = ("id",)) -> DataFrame:
@@ -178,9 +180,13 @@ def policy_violations(hits: DataFrame, rows: DataFrame, memberships: DataFrame,
 
 
 def assign_cells(corpus: DataFrame, cells: int, seed: int = 42, max_iter: int = 10) -> tuple[DataFrame, np.ndarray]:
-    """Coarse clustering of unit vectors: corpus with its cell, and the cell centres."""
+    """Coarse clustering of unit vectors: corpus with its cell, and the cell centres.
+
+    Centres are fitted on the TRAIN_ROWS rows with the smallest id hashes; every row gets a cell.
+    """
     featured = corpus.withColumn("features", array_to_vector(F.col("vector").cast("array<double>")))
-    model = KMeans(k=cells, seed=seed, maxIter=max_iter, predictionCol="cell").fit(featured)
+    sample = featured.orderBy(F.xxhash64("id")).limit(TRAIN_ROWS)
+    model = KMeans(k=cells, seed=seed, maxIter=max_iter, predictionCol="cell").fit(sample)
     return model.transform(featured).drop("features"), np.array(model.clusterCenters())
 
 
@@ -238,32 +244,6 @@ def recall(exact: DataFrame, found: DataFrame) -> DataFrame:
     return both.groupBy("question_id").agg(F.round(F.count("hit") / F.count(F.lit(1)), 6).alias("recall"))
 
 
-def hyperplane_buckets(vector: Column, dim: int, tables: int, bits: int, seed: int = 42) -> Column:
-    """One bucket name per hash table: the signs of `bits` fixed random projections."""
-    planes = np.random.default_rng(seed).standard_normal((tables, bits, dim))
-    weights = 1 << np.arange(bits)
-
-    @F.pandas_udf("array<string>")
-    def buckets(batch):
-        import pandas as pd
-
-        stacked = np.stack(batch.to_numpy()).astype(np.float64)
-        codes = (np.einsum("nd,tbd->ntb", stacked, planes) > 0) @ weights
-        return pd.Series([[f"{t}:{c}" for t, c in enumerate(row)] for row in codes])
-
-    return buckets(vector)
-
-
-def knn_lsh(
-    questions: DataFrame, corpus: DataFrame, k: int = config.TOP_K, tables: int = 8, bits: int = 4,
-    dim: int = config.EMBEDDING_DIM, **options,
-) -> DataFrame:
-    """Search the hash buckets a question falls into, scored exactly."""
-    bucket = F.explode(hyperplane_buckets(F.col("vector"), dim, tables, bits))
-    found = knn(questions.withColumn("scope", bucket), corpus.withColumn("scope", bucket), k=k * tables, dim=dim, **options)
-    return rank_top(found.drop("rank").dropDuplicates(["question_id", "id"]), k)
-
-
 # ---------------------------------------------------------------- keyword search
 
 

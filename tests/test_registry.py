@@ -12,7 +12,7 @@ import check
 SF = "/root/testdata/sf0.001"
 QUERIES = {key: query for module in entry.MODULES for key, query in module.QUERIES.items()}
 ORACLE = {key: sql for module in entry.MODULES for key, sql in module.ORACLE.items()}
-ROWS_ONLY = {"chunk_recursive_raw", "ann_ivf", "ann_lsh"}
+ROWS_ONLY = {"chunk_recursive_raw", "ann_ivf", "ann_lsh", "ann_report"}
 # A sample by module; SHELFWISE_ALL=1 runs every key.
 QUICK = (
     "ingest_files_stream change_feed index_sync seed_tables extract_text strip_boilerplate_lines chunk_recursive "
