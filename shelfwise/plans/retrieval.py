@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise import config
-from shelfwise.operators import chunk, infer, search, vector_index
+from shelfwise.operators import chunk, infer, postings, search, vector_index
 from shelfwise.plans.sql import CHUNKS_CTE, chunk_ctes, tokens
 from shelfwise.session import materialize, scratch_dir, spread_out
 from shelfwise.sources.files import append
@@ -409,6 +409,32 @@ def bm25_join(spark: SparkSession, sf: str) -> DataFrame:
 ORACLE["bm25_join"] = ORACLE["bm25_search"]
 
 
+@query
+def bm25_postings(spark: SparkSession, sf: str) -> DataFrame:
+    """The same ranking from a stored index, which a second search of the same documents finds written."""
+    docs, path = corpus(spark, sf), scratch_dir(spark, "postings")
+    postings.write_index(docs, path)
+    return postings.search_index(questions(spark, sf), postings.write_index(docs, path), config.TOP_K)[0]
+
+
+ORACLE["bm25_postings"] = ORACLE["bm25_search"]
+
+
+@query
+def postings_terms(spark: SparkSession, sf: str) -> DataFrame:
+    """What the index holds: documents, words and highest weight of every term."""
+    index = postings.write_index(corpus(spark, sf), scratch_dir(spark, "postings"))
+    return index.terms().groupBy("term").agg(F.sum("n").alias("documents"), F.round(F.max("top"), 6).alias("top"))
+
+
+ORACLE["postings_terms"] = f"""
+WITH tk AS MATERIALIZED (SELECT doc_id, {tokens("text")} AS toks FROM documents),
+st AS (SELECT avg(len(toks)) AS avgdl FROM tk),
+tf AS (SELECT doc_id, len(toks) AS dl, unnest(toks) AS term FROM tk),
+c AS (SELECT doc_id, dl, term, count(*) AS tf FROM tf GROUP BY ALL)
+SELECT term, count(*) AS documents, round(max(tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) AS top FROM c, st GROUP BY 1"""
+
+
 def text_vectors(df: DataFrame) -> DataFrame:
     embedded = infer.embed(df, "text", "id")
     gold = embedded.filter("embedding_vector IS NOT NULL").select("id", F.col("embedding_vector").alias("vector"))
