@@ -32,6 +32,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -229,6 +230,28 @@ def unpack(data: bytes) -> np.ndarray:
     return np.add.reduceat((raw & 127).astype(np.int64) << 7 * place, first) if len(first) else np.empty(0, np.int64)
 
 
+def squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def stretch(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def code_values(values: np.ndarray) -> bytes:
+    """Numbers of which few differ, as places in a table of them."""
+    distinct, place = np.unique(values, return_inverse=True)
+    kind = np.min_scalar_type(max(len(distinct) - 1, 0))
+    return squeeze(b"".join((np.uint32(len(distinct)).tobytes(), distinct.astype(np.float32).tobytes(), place.astype(kind).tobytes())))
+
+
+def coded_values(data: bytes) -> np.ndarray:
+    raw = stretch(data)
+    n = int(np.frombuffer(raw, np.uint32, 1)[0])
+    places = np.frombuffer(raw, np.min_scalar_type(max(n - 1, 0)), offset=4 + 4 * n)
+    return np.frombuffer(raw, np.float32, n, 4)[places]
+
+
 def _buckets_of(codes: np.ndarray, buckets: int) -> np.ndarray:
     """The bucket of each node, by the last three bytes of its context."""
     return (textbytes.mix((codes >> 8 & 0xFFFFFF).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
@@ -257,12 +280,12 @@ class _Nodes:
         bucket, codes, counts = bucket[order], codes[order], counts[order]
         at = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket)).tolist()
         nodes = [
-            {"bucket": int(bucket[low]), "codes": pack(np.diff(codes[low:high], prepend=0)), "n": pack(counts[low:high])}
+            {"bucket": int(bucket[low]), "codes": squeeze(pack(np.diff(codes[low:high], prepend=0))), "n": squeeze(pack(counts[low:high]))}
             for low, high in zip(at[:-1], at[1:])
         ]
         kind = pa.list_(pa.struct([("bucket", pa.int32()), ("codes", pa.binary()), ("n", pa.binary())]))
         return {
-            "texts": pa.array([b"".join(self.texts)], pa.binary()),
+            "texts": pa.array([squeeze(b"".join(self.texts))], pa.binary()),
             "lengths": pa.array([pack(np.concatenate(self.lengths))], pa.binary()),
             "nodes": pa.array([nodes], kind),
         }
@@ -274,7 +297,7 @@ def _learner(shared, order: int):
     def answers(rows: list[tuple[int, bytes, bytes]], bucket: int) -> Iterator[pa.RecordBatch]:
         codes, counts, waiting = np.empty(0, np.int64), np.empty(0, np.int64), []
         for _, sent, n in rows:
-            waiting.append((np.cumsum(unpack(sent)), unpack(n)))
+            waiting.append((np.cumsum(unpack(stretch(sent))), unpack(stretch(n))))
             if sum(len(c) for c, _ in waiting) > max(1 << 20, len(codes)):
                 codes, counts = _summed(*(np.concatenate(part) for part in zip((codes, counts), *waiting)))
                 waiting = []
@@ -282,7 +305,7 @@ def _learner(shared, order: int):
         chance = deep_chances(codes, counts, shared.value, order)
         for low in range(0, len(rows), 64):
             own = rows[low : low + 64]
-            found = [chance[np.searchsorted(codes, np.cumsum(unpack(sent)))].tobytes() for _, sent, _ in own]
+            found = [code_values(chance[np.searchsorted(codes, np.cumsum(unpack(stretch(sent))))]) for _, sent, _ in own]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block for block, _, _ in own], pa.int64()), pa.array([bucket] * len(own), pa.int32()), pa.array(found, pa.binary())],
                 names=["block", "bucket", "chances"],
@@ -319,7 +342,7 @@ def _deep_scores(texts: bytes, lengths: np.ndarray, answers: list[dict], order:
     codes = np.unique(np.concatenate([distinct for distinct, _, _ in parts]))
     chances = np.empty(len(codes), np.float32)
     by_bucket = np.argsort(_buckets_of(codes, buckets), kind="stable")
-    chances[by_bucket] = np.concatenate([np.frombuffer(a["chances"], np.float32) for a in sorted(answers, key=lambda a: a["bucket"])])
+    chances[by_bucket] = np.concatenate([coded_values(a["chances"]) for a in sorted(answers, key=lambda a: a["bucket"])])
     out = [
         np.add.reduceat(chances[np.searchsorted(codes, distinct)][place], first[:-1], dtype=np.float64)
         for distinct, place, first in parts
@@ -434,7 +457,7 @@ def _scorer(n: int, distinct: int, end_count: int, order: int, buckets: int):
             for row in range(batch.num_rows):
                 model = batch["scores"][row].values
                 if order > BASE_ORDER:
-                    texts, lengths = batch["texts"][row].as_py(), unpack(batch["lengths"][row].as_py())
+                    texts, lengths = stretch(batch["texts"][row].as_py()), unpack(batch["lengths"][row].as_py())
                     model = pa.array(_deep_scores(texts, lengths, batch["answers"][row].as_py(), order, buckets), pa.float64())
                     doc, entries, times = _text_bag(texts, lengths, mapped)
                 else:
