@@ -10,12 +10,14 @@ from shelfwise.config import TableNames
 from shelfwise.operators import changes, chunk, ingest, text
 from shelfwise.plans.build import DocumentBuild
 from shelfwise.plans.documents import SQL_PAGE_TEXT, document_chunks
-from shelfwise.plans.sql import CHUNKS_CTE
+from shelfwise.plans.sql import CHUNKS_CTE, tokens
 from shelfwise.session import materialize, scratch_dir
 from shelfwise.sources import files
-from shelfwise.sources.tables import table
+from shelfwise.sources.tables import silver_documents, table
+from shelfwise.sources.versions import VersionedTable
 from shelfwise.streaming import ingest as stream
 from shelfwise.streaming import monitor as live
+from shelfwise.streaming.build import LiveIndex
 
 QUERIES = {}
 ORACLE = {}
@@ -191,6 +193,70 @@ UNION ALL SELECT v1.doc_id, 'update_pre', v1.source, md5(v1.text) FROM v1 JOIN v
 UNION ALL SELECT v2.doc_id, 'update_post', v2.source, md5(v2.text) FROM v1 JOIN v2 USING (doc_id) WHERE v1.text <> v2.text"""
 
 
+def versioned(spark: SparkSession, sf: str) -> VersionedTable:
+    """Both versions as one table: the second one as an upsert that leaves the English and German files alone but for deletes."""
+    before, after = versions(spark, sf)
+    held = VersionedTable(spark, scratch_dir(spark, "versions"), "lang")
+    held.overwrite(before)
+    gone = before.filter("source = 'src7' OR lang = 'fr'")
+    held.upsert(gone, after.filter("lang IN ('fr', 'es')"), "doc_id", "second")
+    held.upsert(gone, after.filter("lang IN ('fr', 'es')"), "doc_id", "second")  # delivered again
+    return held
+
+
+@query
+def versioned_change_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes between two versions of one table; partitions both share are not read."""
+    feed = versioned(spark, sf).change_feed(0, 1, "doc_id")
+    return feed.select("doc_id", "change_type", "source", F.md5("text").alias("text_md5"))
+
+
+ORACLE["versioned_change_feed"] = ORACLE["change_feed"]
+
+
+@query
+def versioned_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per language of every version that can still be read."""
+    held, out = versioned(spark, sf), None
+    for version in held.history():
+        part = held.read(version.number).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+        part = part.select(F.lit(version.number).alias("version"), F.lit(version.operation).alias("operation"), "lang", "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+ORACLE["versioned_counts"] = f"""
+WITH {SQL_VERSIONS}
+SELECT 0 AS version, 'overwrite' AS operation, lang, count(*) AS n FROM v1 GROUP BY lang
+UNION ALL SELECT 1, 'upsert', lang, count(*) FROM v2 GROUP BY lang"""
+
+
+@query
+def live_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks and vectors after three drops: drafts without the Spanish documents, final texts, and one source withdrawn."""
+    docs = silver_documents(spark, sf).select("doc_id", "extracted_text", "source_system", "region")
+    landing, checkpoint = scratch_dir(spark, "landing"), scratch_dir(spark, "checkpoint")
+    index = LiveIndex(spark, scratch_dir(spark, "live"), keep=("region",), buckets=16)
+    draft = F.when(F.col("region") == "fr", F.concat(F.lit("draft: "), "extracted_text")).otherwise(F.col("extracted_text"))
+    drops = (
+        docs.filter("region <> 'es'").withColumn("extracted_text", draft),
+        docs.filter("region IN ('fr', 'es')"),
+        docs.filter("source_system = 'src7'"),
+    )
+    for number, drop in enumerate(drops):
+        arriving = drop.drop("source_system").withColumns({"deleted": F.lit(number == 2), "arrived": F.lit(number)})
+        arriving.write.mode("append").parquet(landing)
+        index.follow(spark.readStream.schema(arriving.schema).parquet(landing), checkpoint)
+    return index.table.read().select("doc_id", "ordinal", "chunk_id", F.size("embedding_vector").alias("dim"))
+
+
+ORACLE["live_index"] = f"""
+WITH RECURSIVE {CHUNKS_CTE}
+SELECT doc_id, CAST(ordinal AS INTEGER) AS ordinal, md5(text) AS chunk_id,
+  CASE WHEN len({tokens("text")}) > 0 THEN CAST({config.EMBEDDING_DIM} AS INTEGER) END AS dim FROM chunks
+WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE source = 'src7')"""
+
+
 @query
 def index_sync(spark: SparkSession, sf: str) -> DataFrame:
     """Build the vector index from one version, then apply the changes to the next one.
