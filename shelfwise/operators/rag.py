@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise import config
@@ -114,3 +114,27 @@ def answer_context(questions: DataFrame, corpus: DataFrame, k: int = config.RAG_
     return shown, search.format_context(shown)
 
 
+
+
+def pack_context(hits: DataFrame, budget: int = config.CONTEXT_BUDGET, per_hit: int = 0) -> DataFrame:
+    """Hits with the tokens each adds to its question's context, the running total, and whether it still fits.
+
+    `hits` has question_id, rank, and source, ordinal, start and text of a chunk. Text a chunk shares with a neighbour of
+    its document that ranks higher counts once. Hits are taken in rank order until one does not fit; it and all below
+    it are listed with `packed` false. A token is four characters; `per_hit` are added for the frame around each.
+    """
+    beside = Window.partitionBy("question_id", "source").orderBy("ordinal")
+    end = F.col("start") + F.length("text")
+
+    def shared(step: int):
+        """Characters in common with the neighbour before (-1) or after (1), if that ranks higher."""
+        near = F.lag if step < 0 else F.lead
+        ours = near(end, 1).over(beside) - F.col("start") if step < 0 else end - near("start", 1).over(beside)
+        higher = (near("rank", 1).over(beside) < F.col("rank")) & (near("ordinal", 1).over(beside) == F.col("ordinal") + step)
+        return F.when(higher, F.greatest(ours, F.lit(0))).otherwise(0)
+
+    added = F.greatest(F.length("text") - F.coalesce(shared(-1), F.lit(0)) - F.coalesce(shared(1), F.lit(0)), F.lit(0))
+    counted = hits.withColumn("tokens", (F.ceil(added / 4) + per_hit).cast("bigint"))
+    in_order = Window.partitionBy("question_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    summed = counted.withColumn("total", F.sum("tokens").over(in_order))
+    return summed.withColumn("packed", F.col("total") <= budget)

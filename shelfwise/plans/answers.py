@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise import config
 from shelfwise.functions import text as ft
-from shelfwise.operators import rag, search
+from shelfwise.operators import rag, search, store
 from shelfwise.plans.documents import document_chunks, sql_prompt
 from shelfwise.plans.retrieval import SQL_EMBED, questions, sql_bm25, text_vectors
 from shelfwise.plans.sql import CHUNKS_CTE, tokens
-from shelfwise.session import fits, materialize
+from shelfwise.session import fits, materialize, scratch_dir
 from shelfwise.sources.tables import silver_documents, table
 
 QUERIES = {}
@@ -186,6 +188,69 @@ SELECT item_id AS question_id, coalesce(answer, '{config.NO_CONTEXT_ANSWER}') AS
 FROM benchmark LEFT JOIN answers ON question_id = item_id"""
 
 
+FIRST_RUN = datetime(2024, 3, 1)
+
+
+def busy_model(often: bool):
+    """Test model: replies with the size of the prompt, and is busy for every seventh size, at first also for the next one."""
+
+    def reply(prompt: str, attempt: int) -> str:
+        if len(prompt) % 7 in ((0, 1) if often else (0,)):
+            raise RuntimeError("endpoint busy")
+        return f"{len(prompt)} characters read"
+
+    return reply
+
+
+@query
+def stored_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers from the store after two runs and a third one that finds nothing to do; failures wait a minute and have two tries."""
+    asked = questions(spark, sf)
+    _, contexts = rag.answer_context(asked, chunk_corpus(spark, sf))
+    prompts = materialize(rag.rag_prompts(asked, contexts), "prompts")
+    held = store.AnswerStore(spark, scratch_dir(spark, "answers"), "model-1", max_runs=2)
+    held.run(prompts, busy_model(True), FIRST_RUN)
+    held.run(prompts, busy_model(False), FIRST_RUN + timedelta(minutes=2))
+    held.run(prompts, busy_model(False), FIRST_RUN + timedelta(days=1))
+    return held.answers(prompts)
+
+
+ORACLE["stored_answers"] = f"""
+WITH RECURSIVE {SQL_TOP3}, p AS (SELECT item_id, length({sql_prompt("context", "text")}) AS n FROM benchmark LEFT JOIN ctx ON question_id = item_id)
+SELECT item_id AS question_id,
+  CASE WHEN n IS NULL THEN '{config.NO_CONTEXT_ANSWER}' WHEN n % 7 <> 0 THEN concat(n, ' characters read') END AS answer,
+  CASE WHEN n IS NULL THEN 'no_context' WHEN n % 7 = 0 THEN 'given_up' ELSE 'done' END AS state,
+  CAST(CASE WHEN n IS NULL THEN 0 WHEN n % 7 IN (0, 1) THEN 2 ELSE 1 END AS INTEGER) AS runs,
+  CASE WHEN n % 7 = 0 THEN 'endpoint busy' END AS error FROM p"""
+
+PACK_DEPTH, PACK_BUDGET, PACK_FRAME = 10, 500, 12
+
+
+@query
+def packed_context(spark: SparkSession, sf: str) -> DataFrame:
+    """The best ten chunks of every question, packed into a budget of tokens; what did not fit is listed too."""
+    name = F.concat_ws("#", "doc_id", F.lpad(F.col("ordinal").cast("string"), 9, "0"))
+    chunks = materialize(document_chunks(spark, sf).select(name.alias("id"), F.col("chunk_content").alias("text"), F.col("path").alias("source"), "ordinal", "start"), "chunks")
+    asked = questions(spark, sf)
+    hits = search.bm25(asked, chunks.select("id", "text"), PACK_DEPTH).drop("score")
+    found = chunks.join(F.broadcast(hits) if fits(hits) else hits, "id")
+    packed = rag.pack_context(found, PACK_BUDGET, PACK_FRAME)
+    return packed.select("question_id", "rank", "id", "tokens", "total", "packed")
+
+
+ORACLE["packed_context"] = f"""
+WITH RECURSIVE {CHUNKS_CTE},
+corpus AS (SELECT concat(doc_id, '#', lpad(CAST(ordinal AS VARCHAR), 9, '0')) AS id, text, doc_id, ordinal, start FROM chunks),
+{sql_bm25("corpus", "id", PACK_DEPTH)},
+h AS (SELECT question_id, rank, id, doc_id, ordinal, start, start + length(text) AS stop, length(text) AS n FROM top JOIN corpus USING (id)),
+o AS (SELECT a.question_id, a.rank, sum(greatest(least(a.stop, b.stop) - greatest(a.start, b.start), 0)) AS shared
+  FROM h a JOIN h b ON a.question_id = b.question_id AND a.doc_id = b.doc_id AND abs(a.ordinal - b.ordinal) = 1 AND b.rank < a.rank GROUP BY 1, 2),
+adds AS (SELECT question_id, rank, id, CAST(ceil(greatest(n - coalesce(shared, 0), 0) / 4.0) + {PACK_FRAME} AS BIGINT) AS tokens
+  FROM h LEFT JOIN o USING (question_id, rank)),
+s AS (SELECT *, CAST(sum(tokens) OVER (PARTITION BY question_id ORDER BY rank) AS BIGINT) AS total FROM adds)
+SELECT question_id, rank, id, tokens, total, total <= {PACK_BUDGET} AS packed FROM s"""
+
+
 @query
 def route_questions(spark: SparkSession, sf: str) -> DataFrame:
     """User turns, and one stock question per customer order priority and segment, to their tools."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise import config
 from shelfwise.config import TableNames
 from shelfwise.operators import changes, chunk, ingest, text
+from shelfwise.operators.store import DeadLetters
 from shelfwise.plans.build import DocumentBuild
 from shelfwise.plans.documents import SQL_PAGE_TEXT, document_chunks
 from shelfwise.plans.sql import CHUNKS_CTE, tokens
@@ -257,6 +258,40 @@ SELECT doc_id, CAST(ordinal AS INTEGER) AS ordinal, md5(text) AS chunk_id,
 WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE source = 'src7')"""
 
 
+@query
+def dead_letter_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """A decoder that fails for every fifth size, tried twice, then one that fails for every fifteenth only."""
+    bronze = table(spark, sf, "documents").select("doc_id", "text", "n_chars")
+    silver = VersionedTable(spark, scratch_dir(spark, "silver"), "part")
+    letters = DeadLetters(spark, scratch_dir(spark, "letters"), max_attempts=3)
+
+    def decoder(size: int):
+        def step(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+            bad = F.coalesce(F.col("n_chars") % size == 0, F.lit(False))
+            failed = rows.filter(bad).select(F.col("doc_id").alias("key"), F.col("doc_id").alias("pointer"), F.lit("unknown codec").alias("reason"))
+            return rows.filter(~bad).select("doc_id", F.md5("text").alias("text_md5"), (F.col("doc_id") % 8).alias("part")), failed
+
+        return step
+
+    def sink(rows: DataFrame, batch: str) -> None:
+        silver.upsert(rows, rows, "doc_id", batch)
+
+    good, failed = decoder(5)(bronze)
+    sink(good, "first")
+    for _ in range(2):  # delivered twice
+        letters.record("parse", failed, "first")
+    for name, size in (("second", 5), ("third", 15), ("fourth", 15)):
+        letters.replay("parse", bronze, "doc_id", decoder(size), sink, name)
+    told = letters.letters("parse").select(F.col("pointer").cast("bigint").alias("doc_id"), "state", "attempts")
+    return silver.read().select("doc_id", "text_md5").join(told, "doc_id", "full_outer")
+
+
+ORACLE["dead_letter_replay"] = """
+SELECT doc_id, CASE WHEN n_chars % 15 <> 0 THEN md5(text) END AS text_md5,
+  CASE WHEN n_chars % 15 = 0 THEN 'given_up' WHEN n_chars % 5 = 0 THEN 'done' END AS state,
+  CAST(CASE WHEN n_chars % 15 = 0 THEN 3 WHEN n_chars % 5 = 0 THEN 2 END AS INTEGER) AS attempts FROM documents"""
+
+
 @query
 def index_sync(spark: SparkSession, sf: str) -> DataFrame:
     """Build the vector index from one version, then apply the changes to the next one.

@@ -66,11 +66,17 @@ class VersionedTable:
         number = known[-1] if number is None and known else number
         if number not in known:
             raise LookupError(f"{self.path} has no version {number}")
-        line = self.spark.read.text(f"{self.path}/versions/{number:020d}.json", wholetext=True).first()[0]
-        return Version(**json.loads(line))
+        return self._manifest(number)
+
+    def _manifest(self, number: int) -> Version:
+        stream = self._fs().open(self._hadoop("versions", f"{number:020d}.json"))
+        try:
+            return Version(**json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+        finally:
+            stream.close()
 
     def history(self) -> list[Version]:
-        return [self.version(n) for n in self.numbers()]
+        return [self._manifest(n) for n in self.numbers()]
 
     def _publish(self, version: Version) -> Version:
         jvm = self.spark._jvm
@@ -166,14 +172,15 @@ class VersionedTable:
             return self.overwrite(rows, batch)
         if batch is not None and self.applied(batch):
             return None
-        gone, rows = materialize(gone.select(key, self.partition).distinct(), "gone"), materialize(rows, "new-rows")
+        gone, rows = materialize(gone.select(*dict.fromkeys((key, self.partition))).distinct(), "gone"), materialize(rows, "new-rows")
         touched = gone.select(self.partition).unionByName(rows.select(self.partition)).distinct()
         keys = gone.select(key).distinct()
         few = F.broadcast(keys) if fits(keys) else keys
         return self.rewrite(touched, lambda held: held.join(few, key, "left_anti").unionByName(rows), "upsert", batch)
 
     def applied(self, batch: str) -> bool:
-        return any(v.batch == batch for v in reversed(self.history()))
+        """Whether a kept version came from this batch; the newest ones are looked at first."""
+        return any(self._manifest(n).batch == batch for n in reversed(self.numbers()))
 
     def expire(self, keep: int) -> int:
         """Forget all but the newest `keep` versions and delete the folders no kept version names; how many folders went.
