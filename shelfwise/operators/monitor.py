@@ -105,12 +105,15 @@ def feedback_join(requests: DataFrame, feedback: DataFrame) -> DataFrame:
     return joined.withColumn("down_rate", F.when(total > 0, F.round(F.col("down") / total, 6)))
 
 
+def topic_words(questions: DataFrame, day: str, text: str) -> DataFrame:
+    """(day, topic): every word asked that is no stop word."""
+    words = questions.select(day, F.explode(ft.tokens(F.col(text))).alias("topic"))
+    return words.filter(~F.col("topic").isin(*STOP_WORDS))
+
+
 def topics(questions: DataFrame, day: str, text: str, k: int = 10) -> DataFrame:
     """Most common words per day; words are counted before they are ranked."""
-    words = questions.select(day, F.explode(ft.tokens(F.col(text))).alias("topic")).filter(
-        ~F.col("topic").isin(*STOP_WORDS)
-    )
-    counted = words.groupBy(day, "topic").agg(F.count(F.lit(1)).alias("n"))
+    counted = topic_words(questions, day, text).groupBy(day, "topic").agg(F.count(F.lit(1)).alias("n"))
     order = W.partitionBy(day).orderBy(F.desc("n"), "topic")
     return counted.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise import config
-from shelfwise.operators import evaluate, monitor
+from shelfwise.operators import evaluate, frequent, monitor
 from shelfwise.plans.evaluation import sql_overlap
 from shelfwise.plans.ingestion import timed_events
 from shelfwise.plans.sql import hash_int, tokens
@@ -217,6 +217,28 @@ c AS (SELECT day, topic, count(*) AS n FROM w WHERE topic NOT IN ({", ".join(f"'
 SELECT day, topic, n, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY day ORDER BY n DESC, topic) AS r FROM c) WHERE r <= 10"""
 
 
+FIRST_DAY, LAST_DAY = "2024-01-05", "2024-01-22"
+
+
+@query
+def topics_of_range(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten most common words of some weeks, from summaries stored per day."""
+    asked = daily_questions(spark, sf)
+    words = materialize(monitor.topic_words(asked, "day", "question"), "words")
+    path = scratch_dir(spark, "summaries")
+    frequent.store_days(words, "day", "topic", path)
+    stored = spark.read.schema("words array<string>, counts array<bigint>, error bigint, total bigint, day string").parquet(path)
+    return frequent.most_frequent(words, stored, "day", "topic", FIRST_DAY, LAST_DAY).withColumnRenamed("word", "topic")
+
+
+ORACLE["topics_of_range"] = f"""
+WITH {SQL_LOG},
+w AS (SELECT strftime(asked_at, '%Y-%m-%d') AS day, unnest({tokens("question")}) AS topic FROM lg),
+c AS (SELECT topic, count(*) AS n FROM w WHERE topic NOT IN ({", ".join(f"'{s}'" for s in monitor.STOP_WORDS)})
+  AND day BETWEEN '{FIRST_DAY}' AND '{LAST_DAY}' GROUP BY 1)
+SELECT topic, n, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (ORDER BY n DESC, topic) AS r FROM c) WHERE r <= 10"""
+
+
 @query
 def quality_trend(spark: SparkSession, sf: str) -> DataFrame:
     trend = monitor.quality_trend(timed_events(spark, sf), "event_type", "ts", "value")
