@@ -13,6 +13,7 @@ from shelfwise.plans.sql import CHUNKS_CTE
 from shelfwise.session import scratch_dir, spread_join, spread_out
 from shelfwise.sources import files
 from shelfwise.sources.tables import table
+from shelfwise.streaming import memory as live_memory
 
 QUERIES = {}
 ORACLE = {}
@@ -287,6 +288,24 @@ SELECT conv_id, bucket, count(*) AS turns, true AS summarised,
   string_agg(regexp_extract(text, '^([^.]*\.?)', 1), ' ' ORDER BY turn) AS content FROM b WHERE n = 4 GROUP BY 1, 2
 UNION ALL SELECT conv_id, bucket, 1, false, text FROM b WHERE n < 4"""
 
+@query
+def memory_rollup_live(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows from a stream: turns arrive in two drops that cut most buckets, one of them again, then time passes."""
+    landing, target, checkpoint = (scratch_dir(spark, name) for name in ("landing", "rollup", "checkpoint"))
+    ts = F.timestamp_add("SECOND", (F.col("conv_id") % 1000 * 60 + F.col("turn")).cast("bigint"), F.lit("2024-01-01").cast("timestamp"))
+    turns = table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("session"), "turn", F.col("text").alias("content"), ts.alias("ts"))
+    closing = spark.range(1).select(F.lit("closing").alias("session"), F.lit(0).cast("bigint").alias("turn"), F.lit("").alias("content"), F.lit("2024-03-01").cast("timestamp").alias("ts"))
+    closing = closing.withColumn("turn", F.col("turn").cast(turns.schema["turn"].dataType))
+    for drop in (turns.filter("turn % 4 < 2"), turns.filter("turn % 4 >= 1"), closing):
+        drop.coalesce(4).write.mode("append").parquet(landing)
+        arriving = spark.readStream.schema(turns.schema).parquet(landing)
+        live_memory.drain_rollup(arriving, target, checkpoint, every=4, delay="2 days")
+    rows = spark.read.schema(live_memory.OUTPUT).parquet(target)
+    return rows.select(F.col("session").cast("bigint").alias("conv_id"), "bucket", "turns", "summarised", "content")
+
+
+ORACLE["memory_rollup_live"] = ORACLE["memory_rollup"]
+
 SYSTEM_LINE = "You are an assistant."
 
 
