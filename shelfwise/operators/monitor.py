@@ -105,6 +105,17 @@ def feedback_join(requests: DataFrame, feedback: DataFrame) -> DataFrame:
     return joined.withColumn("down_rate", F.when(total > 0, F.round(F.col("down") / total, 6)))
 
 
+def failing_conversations(requests: DataFrame, feedback: DataFrame, conversation: str, least_rate: float = 0.5) -> DataFrame:
+    """Conversations whose requests got votes: requests, votes, share of votes down, and whether that reaches `least_rate`.
+
+    Votes are counted per request and requests per conversation, each combined before its shuffle.
+    """
+    votes = feedback_join(requests, feedback)
+    summed = votes.groupBy(conversation).agg(F.count(F.lit(1)).alias("requests"), F.sum("up").alias("up"), F.sum("down").alias("down"))
+    rate = F.round(F.col("down") / (F.col("up") + F.col("down")), 6)
+    return summed.filter("up + down > 0").withColumn("down_rate", rate).withColumn("failing", F.col("down_rate") >= least_rate)
+
+
 def topic_words(questions: DataFrame, day: str, text: str) -> DataFrame:
     """(day, topic): every word asked that is no stop word."""
     words = questions.select(day, F.explode(ft.tokens(F.col(text))).alias("topic"))

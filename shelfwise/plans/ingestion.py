@@ -19,6 +19,7 @@ from shelfwise.sources.versions import VersionedTable
 from shelfwise.streaming import ingest as stream
 from shelfwise.streaming import monitor as live
 from shelfwise.streaming.build import LiveIndex
+from shelfwise.streaming.evolve import EvolvingFeed
 
 QUERIES = {}
 ORACLE = {}
@@ -459,6 +460,59 @@ UNION ALL SELECT 'documents', 'language', count(*), count(*) FILTER (lang NOT IN
 UNION ALL SELECT 'documents', 'long', count(*), count(*) FILTER (n_chars < 100) FROM documents"""
 
 
+CONTRACTS = {
+    "events": {"event_id": "bigint", "ts": "timestamp", "user_id": "string", "event_type": "string", "value": "double", "country": "string"},
+    "documents": {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string"},
+}
+
+
+@query
+def schema_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Missing, extra and wrongly typed columns of two tables, with the rows that are affected."""
+    out = None
+    for name, contract in CONTRACTS.items():
+        rows = timed_events(spark, sf) if name == "events" else table(spark, sf, name)
+        found = ingest.schema_problems(rows, contract).withColumn("table_name", F.lit(name))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+ORACLE["schema_report"] = """
+SELECT 'events' AS table_name, 'country' AS column_name, 'missing' AS problem, count(*) AS rows_affected FROM events
+UNION ALL SELECT 'events', 'props', 'extra', count(props) FROM events
+UNION ALL SELECT 'events', 'user_id', 'type bigint', count(user_id) FROM events
+UNION ALL SELECT 'documents', 'n_chars', 'extra', count(n_chars) FROM documents"""
+
+
+@query
+def evolving_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """Events in three drops: plain, with `props` and values that are no numbers, and with lines cut short."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "props")
+    landing, target, checkpoint = (scratch_dir(spark, name) for name in ("landing", "evolving", "checkpoint"))
+    odd = F.col("event_id") % 11 == 0
+    plain = F.to_json(F.struct("event_id", "value"))
+    text_value = F.to_json(F.struct("event_id", F.lit("n/a").alias("value"), "props"))
+    wide = F.when(odd, text_value).otherwise(F.to_json(F.struct("event_id", "value", "props")))
+    drops = (
+        events.filter("user_id % 3 = 0").select(plain.alias("line")),
+        events.filter("user_id % 3 = 1").select(wide.alias("line")),
+        events.filter("user_id % 3 = 2").select(F.when(odd, F.concat(F.lit("{"), F.col("event_id").cast("string"))).otherwise(wide).alias("line")),
+    )
+    for drop in drops:
+        drop.write.mode("append").text(landing)
+        feed = EvolvingFeed(spark, landing, target, checkpoint, {"event_id": "bigint", "value": "double"})
+        feed.follow()
+    rows = feed.read()
+    return rows.select("event_id", F.round("value", 6).alias("value"), F.md5("props").alias("props_md5"), F.try_variant_get("_rescued", "$.value", "string").alias("aside"), "_bad_line")
+
+
+ORACLE["evolving_feed"] = """
+SELECT CASE WHEN NOT bad THEN event_id END AS event_id, CASE WHEN NOT bad AND NOT odd THEN round(value, 6) END AS value,
+  CASE WHEN NOT bad AND user_id % 3 <> 0 THEN md5(props) END AS props_md5, CASE WHEN odd AND NOT bad THEN 'n/a' END AS aside,
+  CASE WHEN bad THEN concat('{', event_id) END AS _bad_line
+FROM (SELECT *, user_id % 3 <> 0 AND event_id % 11 = 0 AS odd, user_id % 3 = 2 AND event_id % 11 = 0 AS bad FROM events)"""
+
+
 DOCUMENT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 

@@ -188,6 +188,20 @@ WITH {SQL_LOG}, {SQL_FEEDBACK}
 SELECT request_id, up, down, CASE WHEN up + down > 0 THEN round(down / (up + down)::DOUBLE, 6) END AS down_rate FROM voted"""
 
 
+@query
+def failing_conversations(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations at least half of whose votes are down."""
+    log = parsed_log(spark, sf).withColumn("conversation", F.substring_index("request_id", "-", 1))
+    return monitor.failing_conversations(log, feedback(spark, sf), "conversation")
+
+
+ORACLE["failing_conversations"] = f"""
+WITH {SQL_LOG}, {SQL_FEEDBACK},
+c AS (SELECT split_part(request_id, '-', 1) AS conversation, count(*) AS requests, CAST(sum(up) AS BIGINT) AS up, CAST(sum(down) AS BIGINT) AS down
+  FROM voted GROUP BY 1 HAVING sum(up + down) > 0)
+SELECT *, round(down / (up + down)::DOUBLE, 6) AS down_rate, round(down / (up + down)::DOUBLE, 6) >= 0.5 AS failing FROM c"""
+
+
 @query
 def golden_candidates(spark: SparkSession, sf: str) -> DataFrame:
     """Questions voted down at least as often as up, unless the golden set has them."""
