@@ -6,7 +6,8 @@ on until nothing new appears; a layer seen before in the document is not entered
 character of a layer knows the range of the document it comes from, so a finding in any layer is reported as a
 span of the document: exact for character encodings, the whole encoded run for compressed data.
 
-Base64 is decoded at all four alignments, lines joined, since a blob may follow other characters of its alphabet. Bytes
+Base64 is decoded at all four alignments, since a blob may follow other characters of its alphabet; lines are joined, also
+short or indented ones and breaks written as escapes, but not words between spaces. Bytes
 that are not UTF-8 are taken as one character each, and as UTF-16 where they have a NUL; the patterns decide. Compressed
 data may begin anywhere in decoded bytes, and all its members are read.
 
@@ -56,9 +57,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPED = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
-ONE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
+ESCAPED = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
+ONE_ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
+# Line breaks inside base64: indented, repeated, or written as escapes.
+GAP = re.compile(r"[\t ]*+(?:(?:\r?\n|\r|\\r\\n|\\n|\\r)[\t ]*+)+")
+WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{4,}}+(?:{GAP.pattern}[A-Za-z0-9+/_-]++)+={{0,2}}")
+BASE64_LEAST = 16
 PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 
 
@@ -158,7 +163,7 @@ def escape_layer(layer: Layer) -> Layer | None:
         return None
     runs = []
     for match in ESCAPED.finditer(layer.text):
-        units = [(int(m[1] or m[2] or m[3], 16), m.start(), m.end()) for m in ONE_ESCAPE.finditer(layer.text, *match.span())]
+        units = [(int(m[1] or m[2] or m[3] or m[4], 16), m.start(), m.end()) for m in ONE_ESCAPE.finditer(layer.text, *match.span())]
         chars, begins, ends, i = [], [], [], 0
         while i < len(units):
             code, begin, end = units[i]
@@ -271,13 +276,25 @@ def _readable(text: str) -> bool:
 
 def _matters(text: str) -> bool:
     """Whether a text has a finding or is decoded further."""
-    return next(find(text), None) is not None or any(p.search(text) for p in (PERCENT, ESCAPED, BASE64))
+    return next(find(text), None) is not None or any(p.search(text) for p in (PERCENT, ESCAPED)) or next(base64_runs(text), None) is not None
+
+
+def base64_runs(text: str) -> Iterator[tuple[int, int, list[int]]]:
+    """(start, end, places of the base64 characters) of every run, on one line or wrapped over several."""
+    whole = {match.span() for match in BASE64.finditer(text)}
+    for match in WRAPPED.finditer(text):
+        ends = [match.start(), *(x for gap in GAP.finditer(text, *match.span()) for x in gap.span()), match.end()]
+        at = [i for low, high in zip(ends[::2], ends[1::2]) for i in range(low, high) if text[i] != "="]
+        if len(at) >= BASE64_LEAST:
+            whole.discard(match.span())
+            yield *match.span(), at
+    for start, end in sorted(whole):
+        yield start, end, [i for i in range(start, end) if text[i] not in "\r\n="]
 
 
 def base64_layers(layer: Layer, limit: int, seen: set) -> Iterator[tuple[Layer, bool]]:
     """Layers of the runs of base64, as text and unpacked, and whether each is one of several pieces."""
-    for match in BASE64.finditer(layer.text):
-        at = [i for i in range(*match.span()) if layer.text[i] not in "\r\n="]
+    for start, end, at in base64_runs(layer.text):
         run = "".join(layer.text[i] for i in at).replace("-", "+").replace("_", "/")
         for shift in range(4):
             part = run[shift:]
@@ -289,7 +306,7 @@ def base64_layers(layer: Layer, limit: int, seen: set) -> Iterator[tuple[Layer,
 
             if PACKED.search(data):
                 sources = [place(i, i + 1) for i in range(len(data))]
-                sources[-1] = sources[-1][0], layer.source(match.start(), match.end())[1]
+                sources[-1] = sources[-1][0], layer.source(start, end)[1]
                 yield from packed_layers(data, sources, limit, seen)
             for text, ranges in _texts(data):
                 if not (_matters(text) or (shift == 0 and ranges is None and _readable(text))):
@@ -309,7 +326,7 @@ def byte_layers(layer: Layer, limit: int, seen: set) -> Iterator[tuple[Layer, bo
                 data = binascii.unhexlify(match[0].replace("%", ""))
                 places = [(match.start() + 3 * i, match.start() + 3 * i + 3) for i in range(len(data))]
             else:
-                units = [(int(m[1] or m[2] or m[3], 16), m.span()) for m in ONE_ESCAPE.finditer(layer.text, *match.span())]
+                units = [(int(m[1] or m[2] or m[3] or m[4], 16), m.span()) for m in ONE_ESCAPE.finditer(layer.text, *match.span())]
                 data, places = bytes(min(c, 255) for c, _ in units), [place for _, place in units]
             if PACKED.search(data):
                 yield from packed_layers(data, [layer.source(*place) for place in places], limit, seen)

@@ -148,3 +148,40 @@ def test_all_of_a_long_layer_is_scanned(pack):
 def test_a_layer_that_unpacks_to_itself_ends(monkeypatch):
     monkeypatch.setattr(scan, "_members", lambda data, step: iter([(data, len(data))]))
     assert scan.scan(b64(gzip.compress(b"anything"))).spans == []
+
+
+@pytest.mark.parametrize("gap", ["\n    ", "\n\t", "\r\n  ", "\\n", "\\r\\n", " \n \n  ", "\n"])
+@pytest.mark.parametrize("width", [8, 12, 40])
+@pytest.mark.parametrize("data", [b"x = 1; " + SECRET.encode() + b"; end of it", gzip.compress(SECRET.encode() + bytes(range(90)))])
+def test_base64_wrapped_in_other_ways(gap, width, data):
+    coded = b64(data)
+    body = gap.join(coded[i : i + width] for i in range(0, len(coded), width))
+    for before in ("key:" + gap, 'data: "', "some words before" + gap):
+        text = before + body + '" and more'
+        found = [(s, e) for k, s, e in scan.scan(text).spans if k == "assign"]
+        assert found and all(len(before) - 20 <= s < e <= len(before) + len(body) for s, e in found)
+
+
+def test_spans_of_a_wrapped_run_are_those_of_its_characters():
+    """A plain decoder of one wrapped run: byte i of the decoded text comes from base64 character i * 8 / 6."""
+    data = b"abc; token = hunter22x; more"
+    coded = b64(data)
+    places, text = [], "k:\n"
+    for i, c in enumerate(coded):
+        if i and i % 8 == 0:
+            text += "\n   "
+        places.append(len(text))
+        text += c
+    start, end = data.index(b"token"), data.index(b";", 5)
+    wanted = ("assign", places[start * 8 // 6], places[-(-end * 8 // 6) - 1] + 1)
+    assert wanted in scan.scan(text).spans
+
+
+@pytest.mark.parametrize("text", ["pass\\u{77}ord = hunter22x", "\\u{70}\\u{000061}ssword = hunter22x"])
+def test_braced_escapes(text):
+    assert [s for s in scan.scan(text).spans if s[0] == "assign"] == [("assign", 0, len(text))]
+
+
+def test_blank_lines_and_words_take_no_time():
+    for text in ("abcd" + " \n" * 50_000 + "!", "word\n" * 50_000, "abcd \t \n" * 20_000):
+        scan.scan(text)
