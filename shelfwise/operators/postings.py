@@ -54,11 +54,15 @@ class Index:
         done = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/figures/_SUCCESS")
         return done.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(done)
 
+    def _figures(self):
+        return self.spark.read.parquet(f"{self.folder}/figures").first()
+
     def terms(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/terms")
+        """One row per term and block; the schema is given, as an index of no words has no file."""
+        return self.spark.read.schema(f"{_row(self._figures().kind)}, folder int").parquet(f"{self.folder}/terms")
 
     def documents(self) -> int:
-        return self.spark.read.parquet(f"{self.folder}/figures").first().documents
+        return self._figures().documents
 
 
 def content_version(corpus: DataFrame) -> str:
@@ -68,6 +72,10 @@ def content_version(corpus: DataFrame) -> str:
     return f"{seen.n}-{int(seen.sum or 0) % 2**64:016x}{(seen.mix or 0) % 2**64:016x}"
 
 
+def _row(kind: str) -> str:
+    return f"term string, block bigint, n int, top double, slots array<int>, ids array<{kind}>, weights array<double>"
+
+
 def _folder(term: Column) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(TERM_FOLDERS)).cast("int")
 
@@ -121,15 +129,16 @@ def write_index(corpus: DataFrame, path: str, version: str | None = None, k1: fl
         return index
     tokens = F.coalesce(ft.tokens(F.col("text")), F.array().cast("array<string>"))
     listed = materialize(spread_out(corpus).select("id", tokens.alias("tokens"), F.monotonically_increasing_id().alias("place")), "tokens")
-    figures = listed.agg(F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum(F.size("tokens")), F.lit(0)).alias("words"))
-    seen = figures.first()
     kind = corpus.schema["id"].dataType.simpleString()
+    figures = listed.agg(
+        F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum(F.size("tokens")), F.lit(0)).alias("words"), F.lit(kind).alias("kind")
+    )
+    seen = figures.first()
     bits = BLOCK_DOCS.bit_length() - 1
     # Rows lie in order of their places in each file. A block that a scan splits between two tasks has two rows per term: its bound is higher, no more.
     placed = listed.select(F.shiftright("place", bits).alias("block"), F.col("place").bitwiseAND(BLOCK_DOCS - 1).cast("int").alias("slot"), "id", "tokens")
     id_type = pa.string() if kind == "string" else pa.int64()
-    schema = f"term string, block bigint, n int, top double, slots array<int>, ids array<{kind}>, weights array<double>"
-    rows = placed.mapInArrow(_indexer(id_type, max(seen.words / max(seen.documents, 1), 1e-9), k1, b), schema)
+    rows = placed.mapInArrow(_indexer(id_type, max(seen.words / max(seen.documents, 1), 1e-9), k1, b), _row(kind))
     overwrite(rows.withColumn("folder", _folder(F.col("term"))), f"{index.folder}/terms", "folder")
     figures.write.mode("overwrite").parquet(f"{index.folder}/figures")
     return index

@@ -80,7 +80,7 @@ def test_documents_are_not_read_at_query_time(spark):
     index = postings.write_index(docs, scratch_dir(spark, "index"))
     got, _ = postings.search_index(questions(spark), index, 3)
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "InMemory" not in plan and "SortMergeJoin" not in plan
+    assert "InMemoryTableScan" not in plan and "SortMergeJoin" not in plan
     docs.unpersist()
 
 
