@@ -19,11 +19,11 @@ def batch_infer(
 ) -> DataFrame:
     """Call `fn` once per distinct value of `in_col` and give every row its answer.
 
-    Copies collapse in the partial aggregate before the shuffle; the way back spreads the rows of
-    any value that is copied very often.
+    Copies collapse in the partial aggregate before the shuffle; the value is a grouping key beside its
+    hash, so that no sort of all values is needed. The way back spreads the rows of any value that is copied very often.
     """
     hashed = df.withColumn("content_hash", F.md5(in_col))
-    distinct = hashed.groupBy("content_hash").agg(F.any_value(in_col).alias(in_col))
+    distinct = hashed.select("content_hash", in_col).distinct()
     answers = distinct.select("content_hash", fn(F.col(in_col)).alias(out_col))
     return spread_join(hashed, answers, ["content_hash"], [spread_by], "left")
 

@@ -377,24 +377,3 @@ def order_for_context(hits: DataFrame) -> DataFrame:
         odd_total + F.floor(last / 2) - F.col("rank") / 2 + 1
     )
     return hits.withColumn("position", position.cast("int"))
-
-
-def semantic_cache(asked: DataFrame, cache: DataFrame, threshold: float, dim: int = config.EMBEDDING_DIM) -> DataFrame:
-    """Exact, near or miss for every asked row, with the cached row that serves it.
-
-    Both sides have `id`, `content_hash` and `vector`. Each distinct content is looked up once:
-    by hash, then by its single best cosine; its copies get the same result.
-    """
-    known = cache.groupBy("content_hash").agg(F.min("id").alias("exact_id"))
-    distinct = asked.groupBy("content_hash").agg(F.min("id").alias("id"), F.min_by("vector", "id").alias("vector"))
-    new = distinct.join(known, "content_hash", "left_anti")
-    best = knn(new, cache, k=1, dim=dim).filter(F.col("score") >= threshold)
-    near = best.select(F.col("question_id").alias("id"), F.col("id").alias("near_id"), F.col("score").alias("near_score"))
-    served = distinct.drop("vector").join(known, "content_hash", "left").join(near, "id", "left").select(
-        "content_hash",
-        F.when(F.col("exact_id").isNotNull(), "exact").when(F.col("near_id").isNotNull(), "near").otherwise("miss").alias("outcome"),
-        F.coalesce("exact_id", "near_id").alias("cached_id"),
-        F.when(F.col("exact_id").isNotNull(), 1.0).otherwise(F.col("near_score")).alias("score"),
-    )
-    copies = asked.select("id", "content_hash")
-    return spread_join(copies, served, ["content_hash"], ["id"], "left").drop("content_hash")

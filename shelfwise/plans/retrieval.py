@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise import config
-from shelfwise.operators import chunk, infer, postings, search, vector_index
+from shelfwise.operators import chunk, infer, postings, search, similar, vector_index
 from shelfwise.plans.sql import CHUNKS_CTE, chunk_ctes, tokens
 from shelfwise.session import materialize, scratch_dir, spread_out
 from shelfwise.sources.files import append
@@ -354,7 +354,7 @@ CACHE_THRESHOLD = 0.75
 def semantic_cache(spark: SparkSession, sf: str) -> DataFrame:
     """All vectors ask; those of labels 0 to 4 were answered before."""
     rows = vectors(spark, sf).withColumn("content_hash", F.sha2(F.array_join(F.col("vector").cast("array<string>"), ","), 256))
-    return search.semantic_cache(rows, rows.filter("label < 5"), CACHE_THRESHOLD)
+    return similar.semantic_cache(rows, rows.filter("label < 5"), CACHE_THRESHOLD)
 
 
 ORACLE["semantic_cache"] = f"""
@@ -369,6 +369,31 @@ UNION ALL
 SELECT a.vec_id, CASE WHEN b.cached_id IS NULL THEN 'miss' ELSE 'near' END, b.cached_id, b.score
 FROM ask a LEFT JOIN best b ON b.id = a.vec_id WHERE a.cached_id IS NULL"""
 
+
+# Low enough for pairs of unrelated vectors to be found, so that the check has rows.
+PAIR_THRESHOLD = 0.35
+
+
+@query
+def similar_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Every pair of a vector with a label from 5 on and one below with so high a cosine."""
+    rows = vectors(spark, sf)
+    return similar.similar_pairs(rows.filter("label >= 5"), rows.filter("label < 5"), PAIR_THRESHOLD)
+
+
+ORACLE["similar_pairs"] = f"""
+SELECT * FROM (SELECT q.vec_id AS question_id, c.vec_id AS id, {SQL_COS} AS score
+  FROM embeddings q JOIN embeddings c ON q.label >= 5 AND c.label < 5) WHERE score >= {PAIR_THRESHOLD}"""
+
+
+@query
+def similar_pairs_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Work of the two joins above: all pairs, pairs bounded, scored in full and found, per threshold."""
+    rows = vectors(spark, sf)
+    asked, held = rows.filter("label >= 5"), rows.filter("label < 5")
+    lines = [similar.similar_work(asked, held, t).withColumn("threshold", F.lit(t)) for t in (PAIR_THRESHOLD, CACHE_THRESHOLD)]
+    return lines[0].unionByName(lines[1])
+
 # ---------------------------------------------------------------- keyword and hybrid search
 
 
