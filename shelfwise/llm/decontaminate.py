@@ -9,9 +9,10 @@ in this block; these are compared word by word with the text.
 Search windows of all texts of an Arrow batch advance together in numpy: texts are cut in lanes that
 overlap by m - 1 words, each lane has a position, and one step moves every lane by its own shift.
 
-The scan is narrow: no text is shuffled. Patterns go to the tasks in slabs of at most `slab_words` words;
-a benchmark beyond that is scanned slab after slab, each adding its spans to those found before, so
-memory stays bounded and results do not depend on the number of slabs.
+The scan is narrow: no text is shuffled. Patterns go to the tasks in slabs of about `slab_words` words, as
+compressed text. One Python worker takes the slabs in turn for every HOLD_BYTES of documents and keeps one
+compiled slab at a time, so a benchmark of many slabs costs time, not memory, and the plan stays the same;
+results do not depend on the number of slabs.
 
 Defined results: a null or wordless text has no words and is clean; null or wordless items have no window;
 repeated items, repeated documents and equal windows of several items all count (items once per id); an
@@ -21,6 +22,8 @@ item without an id marks words but is not listed; other columns are ignored, wha
 from __future__ import annotations
 
 import hashlib
+import pickle
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,6 +39,8 @@ WINDOW = 10
 BLOCK = 3
 SLAB_WORDS = 500_000
 LANE = 256
+# Documents held while the slabs pass, when there are several.
+HOLD_BYTES = 64 * 1024 * 1024
 RESULT = "n_words bigint, spans array<struct<start:int,end:int>>, items array<string>, unnamed boolean"
 
 
@@ -177,53 +182,73 @@ def find_contamination(
     slab_words: int = SLAB_WORDS,
 ) -> DataFrame:
     """One row per document: its id, `n_words`, merged word `spans` that occur in the benchmark, `items` (sorted ids)."""
-    spark = docs.sparkSession
-    result = spread_out(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).withColumns(
-        {"n_words": F.lit(0).cast("bigint"), "spans": F.array().cast("array<struct<start:int,end:int>>"),
-         "items": F.array().cast("array<string>"), "unnamed": F.lit(False)}
-    )
-    schema = f"id {docs.schema[id_col].dataType.simpleString()}, text string, {RESULT}"
-    for slab in pattern_slabs(items, item_id, item_text, slab_words):
-        result = result.mapInArrow(_scanner(spark.sparkContext.broadcast(slab)), schema)
-    return result.select(F.col("id").alias(id_col), "n_words", "spans", "items", "unnamed")
-
-
-def _scanner(shared):
+    slabs = share_slabs(pattern_slabs(items, item_id, item_text, slab_words), docs.sparkSession)
+    rows = spread_out(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = compile_patterns(shared.value)
-        for batch in batches:
-            spans, items, unnamed, n_words = [], [], [], []
-            old = zip(batch["spans"].to_pylist(), batch["items"].to_pylist(), batch["unnamed"].to_pylist())
-            for (n, new_spans, new_items), (old_spans, old_items, old_unnamed) in zip(scan(batch["text"], groups), old):
-                n_words.append(n)
-                merged = merge_spans(new_spans + [(s["start"], s["end"]) for s in old_spans])
-                spans.append([{"start": s, "end": e} for s, e in merged])
-                items.append(sorted({i for i in new_items if i is not None} | set(old_items)))
-                unnamed.append(old_unnamed or None in new_items)
+        for batch, found in slabs.scan_batches(batches, 1):
+            spans = [[{"start": start, "end": end} for start, end in each] for _, each, _ in found]
             yield pa.RecordBatch.from_arrays(
-                [batch["id"], batch["text"], pa.array(n_words, pa.int64()),
+                [batch["id"], pa.array([n for n, _, _ in found], pa.int64()),
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                 pa.array(items, pa.list_(pa.string())), pa.array(unnamed, pa.bool_())],
-                names=["id", "text", "n_words", "spans", "items", "unnamed"],
+                 pa.array([sorted(i for i in ids if i is not None) for _, _, ids in found], pa.list_(pa.string())),
+                 pa.array([None in ids for _, _, ids in found], pa.bool_())],
+                names=["id", "n_words", "spans", "items", "unnamed"],
             )
 
-    return run
+    found = rows.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, {RESULT}")
+    return found.select(F.col("id").alias(id_col), "n_words", "spans", "items", "unnamed")
+
+
+class Slabs:
+    """Pattern slabs on every task; one is compiled at a time, and stays compiled if it is the only one."""
+
+    def __init__(self, shared: list):
+        self.shared, self.only = shared, None
+
+    def groups(self, slab: int) -> list[PatternClass]:
+        if self.only is not None:
+            return self.only
+        groups = compile_patterns(pickle.loads(zlib.decompress(self.shared[slab].value)))
+        if len(self.shared) == 1:
+            self.only = groups
+        return groups
+
+    def scan_batches(self, batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+        """Batches with what `scan` finds of all slabs; batches are held together while several slabs pass."""
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if len(self.shared) == 1 or sum(b.nbytes for b in held) >= HOLD_BYTES:
+                yield from self._scan_held(held, text_at)
+                held = []
+        yield from self._scan_held(held, text_at)
+
+    def _scan_held(self, held: list[pa.RecordBatch], text_at: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+        found: list[list] = [[] for _ in held]
+        for slab in range(len(self.shared)) if held else ():
+            groups = self.groups(slab)
+            for at, batch in enumerate(held):
+                new = scan(batch.column(text_at), groups)
+                found[at] = [(n, merge_spans(a + b), i | j) for (n, a, i), (_, b, j) in zip(new, found[at])] if slab else new
+        yield from zip(held, found)
+
+
+def share_slabs(slabs: Iterator[list[tuple[str | None, str]]], spark: SparkSession) -> Slabs:
+    """Broadcast slab after slab, as compressed text."""
+    return Slabs([spark.sparkContext.broadcast(zlib.compress(pickle.dumps(slab))) for slab in slabs])
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", slab_words: int = SLAB_WORDS, **names: str) -> DataFrame:
     """The documents without any occurrence, all columns as they are."""
-    for slab in pattern_slabs(items, names.get("item_id", "item_id"), names.get("item_text", "text"), slab_words):
-        docs = docs.mapInArrow(_cleaner(docs.sparkSession.sparkContext.broadcast(slab), docs.columns.index(text_col)), docs.schema)
-    return docs
-
+    found = pattern_slabs(items, names.get("item_id", "item_id"), names.get("item_text", "text"), slab_words)
+    slabs, text_at = share_slabs(found, docs.sparkSession), docs.columns.index(text_col)
 
-def _cleaner(shared, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups = compile_patterns(shared.value)
-        for batch in batches:
-            yield batch.filter(pa.array([not spans for _, spans, _ in scan(batch.column(text_at), groups)], pa.bool_()))
+        for batch, results in slabs.scan_batches(batches, text_at):
+            yield batch.filter(pa.array([not spans for _, spans, _ in results], pa.bool_()))
 
-    return run
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,9 +53,36 @@ def test_short_and_wordless_items():
 def test_slabs_do_not_change_the_result(spark, documents):
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     one = dec.find_contamination(documents, items).collect()
-    many = dec.find_contamination(documents, items, slab_words=300).collect()
-    assert sorted(one) == sorted(many)
+    slabbed = dec.find_contamination(documents, items, slab_words=300)
+    assert sorted(one) == sorted(slabbed.collect())
     assert any(r.spans for r in one)
+    kept = dec.drop_contaminated(documents, items, slab_words=300).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(r.doc_id for r in one if not r.spans)
+    # However many slabs there are, the plan has one Python stage.
+    assert len(list(dec.pattern_slabs(items, "item_id", "text", 300))) > 3
+    assert slabbed._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
+def test_slabs_pass_over_held_batches(monkeypatch):
+    """Batches are held up to a size, in order; one slab is compiled at a time."""
+    items = [[("a", "one two three")], [("b", "two three four"), (None, "five")], []]
+    compiled_slabs = []
+    compile_patterns = dec.compile_patterns
+    monkeypatch.setattr(dec, "compile_patterns", lambda rows: compiled_slabs.append(rows) or compile_patterns(rows))
+
+    class Shared:
+        def __init__(self, rows):
+            self.value = dec.zlib.compress(dec.pickle.dumps(rows))
+
+    texts = [["one two three four"], ["x five", None], [], ["two three four", "one two"]]
+    batches = [pa.RecordBatch.from_arrays([pa.array(t, pa.string())], names=["text"]) for t in texts]
+    wanted = [[(4, [(0, 4)], {"a", "b"})], [(2, [(1, 2)], {None}), (0, [], set())], [], [(3, [(0, 3)], {"b"}), (2, [], set())]]
+    for hold, rounds in ((1 << 30, 1), (1, 3)):
+        monkeypatch.setattr(dec, "HOLD_BYTES", hold)
+        compiled_slabs.clear()
+        found = list(dec.Slabs([Shared(rows) for rows in items]).scan_batches(iter(batches), 0))
+        assert [b.num_rows for b, _ in found] == [len(t) for t in texts] and [f for _, f in found] == wanted
+        assert compiled_slabs == items * rounds
 
 
 def test_equal_benchmark_rows_are_one(spark):
