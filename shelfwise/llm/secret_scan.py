@@ -2,8 +2,8 @@
 
 The patterns run over the whole text. Then every encoded part is unwrapped (percent encoding, Unicode escapes,
 base64, and gzip, zlib, bzip2, xz or Zstandard data inside any of them), the decoded layer is scanned again, and so
-on until nothing new appears; a layer seen before in the document is not entered again, so cycles end. Every
-character of a layer knows the range of the document it comes from, so a finding in any layer is reported as a
+on until nothing new appears; a layer seen before in the document is not entered again, so cycles end. Two arrays
+per layer say where each character begins and ends in the document, so a finding in any layer is reported as a
 span of the document: exact for character encodings, the whole encoded run for compressed data.
 
 Base64 is decoded at all four alignments, since a blob may follow other characters of its alphabet; lines are joined, also
@@ -28,12 +28,12 @@ import bz2
 import hashlib
 import lzma
 import re
-import sys
 import zlib
-from collections.abc import Iterator, Sequence
-from itertools import chain, repeat
+from collections.abc import Iterable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -64,36 +64,24 @@ BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]+)*={0,2}")
 GAP = re.compile(r"[\t ]*+(?:(?:\r?\n|\r|\\r\\n|\\n|\\r)[\t ]*+)+")
 WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{4,}}+(?:{GAP.pattern}[A-Za-z0-9+/_-]++)+={{0,2}}")
 BASE64_LEAST = 16
+URL_SAFE = bytes.maketrans(b"-_", b"+/")
 PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 
 
-class _Same(Sequence):
-    """`n` times the same number."""
-
-    def __init__(self, value: int, n: int):
-        self.value, self.n = value, n
-
-    def __len__(self) -> int:
-        return self.n
-
-    def __getitem__(self, at):
-        return _Same(self.value, len(range(self.n)[at])) if isinstance(at, slice) else self.value
-
-    def __iter__(self) -> Iterator[int]:
-        return repeat(self.value, self.n)
-
-
 class Layer(NamedTuple):
-    """Decoded text; character i comes from begins[i]:ends[i] of the document (None: from i itself)."""
+    """Decoded text; character i comes from begins[i]:ends[i] of the document (None: from i itself). Neither decreases."""
 
     text: str
-    begins: Sequence[int] | None
-    ends: Sequence[int] | None
+    begins: np.ndarray | None
+    ends: np.ndarray | None
 
     def source(self, start: int, end: int) -> tuple[int, int]:
         if self.begins is None:
             return start, end
-        return min(self.begins[start:end]), max(self.ends[start:end])
+        return int(self.begins[start]), int(self.ends[end - 1])
+
+    def sources(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return (starts, ends) if self.begins is None else (self.begins[starts], self.ends[ends - 1])
 
 
 def find(text: str) -> Iterator[tuple[str, int, int]]:
@@ -109,39 +97,29 @@ def find(text: str) -> Iterator[tuple[str, int, int]]:
         yield "hex", *match.span()
 
 
-def _characters(data: bytes, places: list[tuple[int, int]]) -> tuple[str, list[int], list[int]] | None:
-    """UTF-8 bytes with a source range each, as characters with a source range each; None if not UTF-8."""
+def _characters(data: bytes) -> tuple[str, np.ndarray, np.ndarray] | None:
+    """UTF-8 bytes as characters, with the first byte of each and the one after its last; None if not UTF-8."""
     try:
         text = data.decode()
     except UnicodeDecodeError:
         return None
-    begins, ends, at = [], [], 0
-    for char in text:
-        n = len(char.encode())
-        begins.append(min(p[0] for p in places[at : at + n]))
-        ends.append(max(p[1] for p in places[at : at + n]))
-        at += n
-    return text, begins, ends
+    starts = np.flatnonzero(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)
+    return text, starts, np.append(starts[1:], len(data))
 
 
-def _replaced(layer: Layer, runs: list[tuple[int, int, str, list[int], list[int]]]) -> Layer:
+def _replaced(layer: Layer, runs: list[tuple[int, int, str, Iterable[int], Iterable[int]]]) -> Layer:
     """The layer with runs (start, end, text, begins, ends in the layer) decoded in place."""
-    pieces, begins, ends, at = [], [], [], 0
-
-    def plain(low: int, high: int) -> None:
-        pieces.append(layer.text[low:high])
-        begins.extend(layer.begins[low:high] if layer.begins is not None else range(low, high))
-        ends.extend(layer.ends[low:high] if layer.ends is not None else range(low + 1, high + 1))
-
-    for start, end, text, run_begins, run_ends in runs:
-        plain(at, start)
-        pieces.append(text)
-        spans = [layer.source(b, e) for b, e in zip(run_begins, run_ends)]
-        begins += [b for b, _ in spans]
-        ends += [e for _, e in spans]
-        at = end
-    plain(at, len(layer.text))
-    return Layer("".join(pieces), begins, ends)
+    lows, highs = [0, *(run[1] for run in runs)], [*(run[0] for run in runs), len(layer.text)]
+    plain, decoded = np.subtract(highs, lows), np.array([*(len(run[2]) for run in runs), 0])
+    counts = np.stack([plain, decoded], axis=1).ravel()
+    in_run = np.repeat(np.arange(len(counts)) % 2 == 1, counts)
+    kept = np.repeat(np.array(lows) - np.cumsum(plain) + plain, plain) + np.arange(plain.sum())
+    begins, ends = np.empty(len(in_run), np.int64), np.empty(len(in_run), np.int64)
+    begins[~in_run], ends[~in_run] = kept, kept + 1
+    begins[in_run] = np.fromiter(chain.from_iterable(run[3] for run in runs), np.int64)
+    ends[in_run] = np.fromiter(chain.from_iterable(run[4] for run in runs), np.int64)
+    pieces = [piece for low, high, run in zip(lows, highs, runs) for piece in (layer.text[low:high], run[2])]
+    return Layer("".join([*pieces, layer.text[lows[-1] :]]), *layer.sources(begins, ends))
 
 
 def percent_layer(layer: Layer) -> Layer | None:
@@ -150,11 +128,13 @@ def percent_layer(layer: Layer) -> Layer | None:
     runs = []
     for match in PERCENT.finditer(layer.text):
         data = binascii.unhexlify(match[0].replace("%", ""))
-        places = [(match.start() + 3 * i, match.start() + 3 * i + 3) for i in range(len(data))]
-        decoded = _characters(data, places)
-        if decoded is None:  # bytes of another code page: one character each
-            decoded = data.decode("latin-1"), [b for b, _ in places], [e for _, e in places]
-        runs.append((*match.span(), *decoded))
+        decoded = None if data.isascii() else _characters(data)
+        if decoded is None:  # one byte each, also of another code page
+            text, begins, ends = data.decode("latin-1"), range(len(data)), range(1, len(data) + 1)
+        else:
+            text, begins, ends = decoded[0], decoded[1].tolist(), decoded[2].tolist()
+        first = match.start()
+        runs.append((*match.span(), text, [first + 3 * i for i in begins], [first + 3 * i for i in ends]))
     return _replaced(layer, runs) if runs else None
 
 
@@ -178,7 +158,7 @@ def escape_layer(layer: Layer) -> Layer | None:
     return _replaced(layer, runs) if runs else None
 
 
-def _members(data: bytes, step: int) -> Iterator[tuple[bytes, int]]:
+def _members(data: bytes | memoryview, step: int) -> Iterator[tuple[bytes, int]]:
     """Decompressed parts of about `step` bytes, of all members one after another, and the bytes of `data` used so far."""
     rest = data
     try:
@@ -210,7 +190,7 @@ def _members(data: bytes, step: int) -> Iterator[tuple[bytes, int]]:
         return
 
 
-def unpacked(data: bytes, limit: int) -> Iterator[tuple[bytes, bool, int]]:
+def unpacked(data: bytes | memoryview, limit: int) -> Iterator[tuple[bytes, bool, int]]:
     """Everything `data` hold at their start, in pieces of up to `limit` bytes that repeat half of the one before:
     piece, whether there are others, and the bytes of `data` that were used."""
     held, many, used = b"", False, 0
@@ -224,8 +204,8 @@ def unpacked(data: bytes, limit: int) -> Iterator[tuple[bytes, bool, int]]:
         yield held, many, used
 
 
-def packed_layers(data: bytes, sources: list[tuple[int, int]], limit: int, seen: set) -> Iterator[tuple[Layer, bool]]:
-    """Layers of compressed data anywhere in bytes, however deep; `sources` has the document's range of each byte."""
+def packed_layers(data: bytes, begins: np.ndarray, ends: np.ndarray, limit: int, seen: set) -> Iterator[tuple[Layer, bool]]:
+    """Layers of compressed data anywhere in bytes, however deep; byte i comes from begins[i]:ends[i] of the document."""
     work: list[tuple[bytes, tuple[int, int] | None]] = [(data, None)]
     while work:
         data, whole = work.pop()
@@ -233,18 +213,19 @@ def packed_layers(data: bytes, sources: list[tuple[int, int]], limit: int, seen:
         for match in PACKED.finditer(data):
             if match.start() < after:
                 continue
-            span = whole or (sources[match.start()][0], sources[-1][1])
-            for piece, many, used in unpacked(data[match.start() :], limit):
+            span = whole or (int(begins[match.start()]), int(ends[-1]))
+            for piece, many, used in unpacked(memoryview(data)[match.start() :], limit):
                 after = max(after, match.start() + used)
                 mark = hashlib.blake2b(piece, digest_size=16).digest(), span
                 if piece and mark not in seen:
                     seen.add(mark)
                     for text, _ in _texts(piece):
-                        yield Layer(text, _Same(span[0], len(text)), _Same(span[1], len(text))), many
+                        # One range for all characters, without an array of their number.
+                        yield Layer(text, *(np.broadcast_to(np.int64(place), len(text)) for place in span)), many
                     work.append((piece, span))
 
 
-def _texts(data: bytes) -> Iterator[tuple[str, list[tuple[int, int]] | None]]:
+def _texts(data: bytes) -> Iterator[tuple[str, tuple[np.ndarray, np.ndarray] | None]]:
     """Bytes as text, with the bytes of each character unless it is one byte or UTF-8: UTF-8, or else a character a byte;
     UTF-16 of either order and parity where there is a NUL."""
     try:
@@ -253,25 +234,16 @@ def _texts(data: bytes) -> Iterator[tuple[str, list[tuple[int, int]] | None]]:
         yield data.decode("latin-1"), None
     if b"\0" in data:
         for low in (0, 1):
-            for code in ("utf-16-le", "utf-16-be"):
-                units = data[low : len(data) - (len(data) - low) % 2]
-                text = "".join("\ufffd" if "\ud800" <= c < "\ue000" else c for c in _units(units, code))
-                if text:
-                    yield text, [(low + 2 * i, low + 2 * i + 2) for i in range(len(text))]
-
-
-def _units(data: bytes, code: str) -> Iterator[str]:
-    return map(chr, memoryview(data if code.endswith(sys.byteorder[0] + "e") else _swapped(data)).cast("H"))
-
-
-def _swapped(data: bytes) -> bytes:
-    out = bytearray(data)
-    out[0::2], out[1::2] = data[1::2], data[0::2]
-    return bytes(out)
+            for order in "<>":
+                units = np.frombuffer(data, f"{order}u2", (len(data) - low) // 2, low).astype("<u4") if len(data) > low + 1 else np.zeros(0, "<u4")
+                units[(units >= 0xD800) & (units < 0xE000)] = 0xFFFD
+                if len(units):
+                    first = low + 2 * np.arange(len(units))
+                    yield units.tobytes().decode("utf-32-le"), (first, first + 2)
 
 
 def _readable(text: str) -> bool:
-    return bool(text) and all(c.isprintable() or c in "\t\n\r" for c in text)
+    return bool(text) and text.replace("\t", "").replace("\n", "").replace("\r", "").isprintable()
 
 
 def _matters(text: str) -> bool:
@@ -279,43 +251,51 @@ def _matters(text: str) -> bool:
     return next(find(text), None) is not None or any(p.search(text) for p in (PERCENT, ESCAPED)) or next(base64_runs(text), None) is not None
 
 
-def base64_runs(text: str) -> Iterator[tuple[int, int, list[int]]]:
+def base64_runs(text: str) -> Iterator[tuple[int, int, np.ndarray]]:
     """(start, end, places of the base64 characters) of every run, on one line or wrapped over several."""
+
+    def places(start: int, end: int) -> np.ndarray:
+        codes = np.frombuffer(text[start:end].encode("ascii"), np.uint8)
+        return start + np.flatnonzero(~np.isin(codes, list(b"\r\n=")))
+
     whole = {match.span() for match in BASE64.finditer(text)}
     for match in WRAPPED.finditer(text):
         ends = [match.start(), *(x for gap in GAP.finditer(text, *match.span()) for x in gap.span()), match.end()]
-        at = [i for low, high in zip(ends[::2], ends[1::2]) for i in range(low, high) if text[i] != "="]
+        at = np.concatenate([places(low, high) for low, high in zip(ends[::2], ends[1::2])])
         if len(at) >= BASE64_LEAST:
             whole.discard(match.span())
             yield *match.span(), at
     for start, end in sorted(whole):
-        yield start, end, [i for i in range(start, end) if text[i] not in "\r\n="]
+        yield start, end, places(start, end)
 
 
 def base64_layers(layer: Layer, limit: int, seen: set) -> Iterator[tuple[Layer, bool]]:
     """Layers of the runs of base64, as text and unpacked, and whether each is one of several pieces."""
     for start, end, at in base64_runs(layer.text):
-        run = "".join(layer.text[i] for i in at).replace("-", "+").replace("_", "/")
+        codes = np.frombuffer(layer.text[start:end].encode("ascii"), np.uint8)
+        run = codes[at - start].tobytes().translate(URL_SAFE)
         for shift in range(4):
             part = run[shift:]
             part = part[: len(part) - (len(part) % 4 == 1)]
-            data = base64.b64decode(part + "=" * (-len(part) % 4))
+            data = base64.b64decode(part + b"=" * (-len(part) % 4))
 
-            def place(i: int, j: int, shift: int = shift) -> tuple[int, int]:
-                return layer.source(at[shift + i * 8 // 6], at[min(shift - (-j * 8 // 6), len(at)) - 1] + 1)
+            def place(low: np.ndarray, high: np.ndarray, shift: int = shift) -> tuple[np.ndarray, np.ndarray]:
+                """Ranges of the document of the bytes low:high; three bytes are four characters."""
+                last = np.minimum(shift - (-high * 8 // 6), len(at)) - 1
+                return layer.sources(at[shift + low * 8 // 6], at[last] + 1)
 
+            each = np.arange(len(data))
             if PACKED.search(data):
-                sources = [place(i, i + 1) for i in range(len(data))]
-                sources[-1] = sources[-1][0], layer.source(start, end)[1]
-                yield from packed_layers(data, sources, limit, seen)
+                begins, ends = place(each, each + 1)
+                ends[-1] = layer.source(start, end)[1]
+                yield from packed_layers(data, begins, ends, limit, seen)
             for text, ranges in _texts(data):
                 if not (_matters(text) or (shift == 0 and ranges is None and _readable(text))):
                     continue
                 if ranges is None:
-                    decoded = _characters(data, [(i, i + 1) for i in range(len(data))])
-                    ranges = list(zip(*decoded[1:])) if decoded else [(i, i + 1) for i in range(len(data))]
-                spans = [place(i, j) for i, j in ranges]
-                yield Layer(text, [b for b, _ in spans], [e for _, e in spans]), False
+                    decoded = _characters(data)
+                    ranges = decoded[1:] if decoded else (each, each + 1)
+                yield Layer(text, *place(*ranges)), False
 
 
 def byte_layers(layer: Layer, limit: int, seen: set) -> Iterator[tuple[Layer, bool]]:
@@ -324,12 +304,16 @@ def byte_layers(layer: Layer, limit: int, seen: set) -> Iterator[tuple[Layer, bo
         for match in pattern.finditer(layer.text):
             if pattern is PERCENT:
                 data = binascii.unhexlify(match[0].replace("%", ""))
-                places = [(match.start() + 3 * i, match.start() + 3 * i + 3) for i in range(len(data))]
             else:
-                units = [(int(m[1] or m[2] or m[3] or m[4], 16), m.span()) for m in ONE_ESCAPE.finditer(layer.text, *match.span())]
-                data, places = bytes(min(c, 255) for c, _ in units), [place for _, place in units]
+                units = [(int(m[1] or m[2] or m[3] or m[4], 16), *m.span()) for m in ONE_ESCAPE.finditer(layer.text, *match.span())]
+                data = bytes(min(unit[0], 255) for unit in units)
             if PACKED.search(data):
-                yield from packed_layers(data, [layer.source(*place) for place in places], limit, seen)
+                if pattern is PERCENT:
+                    begins = match.start() + 3 * np.arange(len(data))
+                    ends = begins + 3
+                else:
+                    begins, ends = np.array(units)[:, 1:].T
+                yield from packed_layers(data, *layer.sources(begins, ends), limit, seen)
 
 
 class Scan(NamedTuple):
@@ -358,8 +342,10 @@ def scan(text: str | None, layer_bytes: int = LAYER_BYTES) -> Scan:
         ):
             cut |= was_cut
             # The same text from another place is another layer, with other spans.
-            mark = inner and (_mark(inner.text), inner.begins[:1] and inner.begins[0])
-            if inner is None or mark in seen:
+            if inner is None:
+                continue
+            mark = _mark(inner.text), int(inner.begins[0]) if inner.text else None
+            if mark in seen:
                 continue
             seen.add(mark)
             layers += 1

@@ -185,3 +185,79 @@ def test_braced_escapes(text):
 def test_blank_lines_and_words_take_no_time():
     for text in ("abcd" + " \n" * 50_000 + "!", "word\n" * 50_000, "abcd \t \n" * 20_000):
         scan.scan(text)
+
+
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def plain_layers(text):
+    """Spans of all layers, one character with its range after another; no compression, UTF-16 or wrapped lines."""
+
+    def joined(part):
+        return min(b for _, b, _ in part), max(e for _, _, e in part)
+
+    def decoded(data, ranges):
+        try:
+            chars = data.decode()
+        except UnicodeDecodeError:
+            return [(chr(byte), *place) for byte, place in zip(data, ranges)]
+        out, at = [], 0
+        for char in chars:
+            n = len(char.encode())
+            out.append((char, *joined([(char, *place) for place in ranges[at : at + n]])))
+            at += n
+        return out
+
+    work, seen, spans = [[(c, i, i + 1) for i, c in enumerate(text)]], set(), set()
+    while work:
+        layer = work.pop()
+        chars = "".join(c for c, _, _ in layer)
+        if tuple(layer) in seen:
+            continue
+        seen.add(tuple(layer))
+        spans |= {(kind, *joined(layer[start:end])) for kind, start, end in plain(chars)}
+        for pattern, size in ((r"(?:%[0-9A-Fa-f]{2})+", 3), (r"(?:\\x[0-9A-Fa-f]{2})+", 4)):
+            out, at = [], 0
+            for m in re.finditer(pattern, chars):
+                places = range(m.start(), m.end(), size)
+                codes, ranges = [int(chars[i + size - 2 : i + size], 16) for i in places], [joined(layer[i : i + size]) for i in places]
+                as_bytes = decoded(bytes(codes), ranges) if size == 3 else [(chr(c), *r) for c, r in zip(codes, ranges)]
+                out, at = out + layer[at : m.start()] + as_bytes, m.end()
+            if at:
+                work.append(out + layer[at:])
+        for m in re.finditer(r"[A-Za-z0-9+/_-]{16,}", chars):
+            for shift in range(4):
+                run = layer[m.start() + shift : m.end()]
+                bits = "".join(format((ALPHABET + "+/").index({"-": "+", "_": "/"}.get(c, c)), "06b") for c, _, _ in run)
+                n = len(bits) // 8
+                data = bytes(int(bits[8 * i : 8 * i + 8], 2) for i in range(n))
+                if n:
+                    work.append(decoded(data, [joined(run[8 * i // 6 : -(-8 * (i + 1) // 6)]) for i in range(n)]))
+    return spans
+
+
+PIECES = ["token: abcdef99", "secret=é東x12345", "AKIA" + "A1" * 9, "deadbeef" * 3 + "é", "two words", "ü/path/", 'api_key = "zzzzzz"', "50% off"]
+LAYERED = st.recursive(
+    st.sampled_from(PIECES),
+    lambda inner: st.tuples(
+        st.sampled_from(["", "see ", "a/", "%41"]), st.sampled_from(["percent", "every byte", "hex escape", "base64", "url base64"]), inner
+    ).map(lambda x: x[0] + (ENCODERS[x[1]](x[2]) if x[1] != "hex escape" else "".join(f"\\x{b:02x}" for b in x[2].encode("latin-1", "replace")))),
+    max_leaves=3,
+)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(LAYERED, min_size=1, max_size=3))
+def test_spans_of_layers_equal_a_plain_decoder(parts):
+    text = " ".join(parts)
+    assert set(scan.scan(text).spans) == plain_layers(text)
+
+
+def test_large_blobs_stay_linear():
+    """A secret between a megabyte of plain text and one of random base64, under one encoded space."""
+    blob = base64.b64encode(bytes((i * i * 2654435761 >> 13) & 255 for i in range(600_000))).decode()
+    coded = base64.b64encode(gzip.compress(("x" * 2_000_000 + SECRET).encode())).decode()
+    text = "word " * 200_000 + "%20" + coded + " " + blob
+    found = scan.scan(text)
+    at = len("word " * 200_000) + 3
+    assert ("assign", at, at + len(coded)) in found.spans
