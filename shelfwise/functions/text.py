@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,17 +24,11 @@ PII_PATTERNS = (
 # Every match of a pattern above holds a digit, an at sign or a long run of hex letters.
 PII_HINT = r"[0-9@]|[A-Fa-f]{32}"
 
-# HTML entities decoded after tags are removed; the ampersand comes last.
-HTML_ENTITIES = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-)
+# A named, decimal or hexadecimal HTML entity.
+HTML_ENTITY = r"&(?:[A-Za-z][A-Za-z0-9]*|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
+
+# Characters of the named entities of HTML 4; a non-breaking space becomes a plain one.
+HTML_NAMED = {**{name: chr(code) for name, code in name2codepoint.items()}, "apos": "'", "nbsp": " "}
 
 
 def normalize_whitespace(col: Column) -> Column:
@@ -77,7 +71,25 @@ def html_to_text(html: Column) -> Column:
     text = F.regexp_replace(text, r"(?is)<style.*?</style>", " ")
     text = F.regexp_replace(text, r"(?s)<!--.*?-->", " ")
     text = F.regexp_replace(text, r"(?s)<[^>]*>", " ")
-    return reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), HTML_ENTITIES, text)
+    return decode_entities(text)
+
+
+def decode_entities(text: Column) -> Column:
+    """HTML entities as characters, each decoded once; unknown names stay, numbers that are no character become U+FFFD."""
+    pattern = F.lit(HTML_ENTITY)
+    between, found = F.split(text, HTML_ENTITY, -1), F.regexp_extract_all(text, pattern, F.lit(0))
+    decoded = F.array_join(F.zip_with(between, found, lambda part, entity: F.concat(part, F.coalesce(_entity(entity), entity, F.lit("")))), "")
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+
+def _entity(entity: Column) -> Column:
+    name = F.substring(entity, F.lit(2), F.length(entity) - 2)
+    names = F.create_map(*[F.lit(x) for pair in HTML_NAMED.items() for x in pair])
+    number = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10))
+    code = F.coalesce(number, F.substring(name, F.lit(2), F.length(name))).try_cast("bigint")
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(F.startswith(name, F.lit("#")), F.when(valid, char).otherwise("\ufffd")).otherwise(F.try_element_at(names, name))
 
 
 def preview(*candidates: Column, width: int = 80) -> Column:

@@ -45,6 +45,18 @@ def test_errors_and_nulls_are_dropped_but_quarantined(spark):
     assert {r.id: r.reject_reason for r in rejected.collect()} == {2: "no_content", 3: "image_only", 4: "extraction_failed"}
 
 
+def test_entities(spark):
+    """Named and numeric entities, each decoded once; what is none stays."""
+    cases = {
+        "caf&eacute; &#233;&#xE9;&#Xe9;": "café ééé", "&#128512;&rarr;&euro;": "😀→€", "&amp;lt; &#38;lt; &am&#112;;": "&lt; &lt; &amp;",
+        "a&nbsp;b&#39;&apos;": "a b''", "&nosuch; & AT&T; x&y": "&nosuch; & AT&T; x&y", "&#0;&#xD800;&#9999999;": "\ufffd\ufffd\ufffd",
+        "": "", "plain": "plain", "&lt;&gt;": "<>",
+    }
+    df = spark.createDataFrame([(t,) for t in [*cases, None]], "t string")
+    got = [r[0] for r in df.select(ft.decode_entities(F.col("t"))).collect()]
+    assert got == [*cases.values(), None]
+
+
 def test_html(spark):
     html = "<html><script>var t='<p>';</script><style>p{}</style><!-- no --><p>a&amp;lt;b</p><p>c&nbsp;d</p></html>"
     df = spark.createDataFrame([(bytearray(html.encode()),), (None,)], "content binary")
