@@ -5,8 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-# Scores held at once: 128 MB of doubles.
-SCORES_AT_ONCE = 16 * 1024 * 1024
+# Scores held at once: 16 MB of doubles, and a few copies of them.
+SCORES_AT_ONCE = 2 * 1024 * 1024
 
 
 def id_array(column: pa.Array | pa.ChunkedArray) -> np.ndarray:

@@ -27,6 +27,8 @@ QUESTION_BLOCK = 4096
 CORPUS_BLOCK = 65536
 # Cells of an index: their centres go to every task.
 MAX_CELLS = 65536
+# Pairs of a question and a cell looked at in one step; each becomes a row with the question's vector.
+CELLS_AT_ONCE = 65_536
 # Rows the centres are fitted on.
 TRAIN_ROWS = 65_536
 
@@ -192,18 +194,21 @@ def assign_cells(corpus: DataFrame, cells: int, seed: int = 42, max_iter: int =
 
 def nearest_cells(questions: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
     """One row per question and probed cell."""
-    centre_rows = [(i, c.tolist()) for i, c in enumerate(centres)]
+    far = np.square(centres).sum(axis=1)[None, :]
 
-    @F.pandas_udf("array<int>")
-    def closest(batch):
-        stacked = np.stack(batch.to_numpy()).astype(np.float64)
-        matrix_ = np.array([c for _, c in centre_rows])
-        distance = np.square(matrix_).sum(axis=1)[None, :] - 2 * stacked @ matrix_.T
-        import pandas as pd
-
-        return pd.Series(list(np.argsort(distance, axis=1, kind="stable")[:, :probes].astype(np.int32)))
-
-    return questions.withColumn("scope", F.explode(closest("vector")))
+    def closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # A slice repeats a row once per probed cell, with its vector.
+            step = max(1, CELLS_AT_ONCE // len(centres))
+            for begin in range(0, batch.num_rows, step):
+                part = batch.slice(begin, step)
+                vectors = part["vector"].flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(part.num_rows, -1)
+                near = np.argsort(far - 2 * vectors @ centres.T, axis=1, kind="stable")[:, :probes].astype(np.int32)
+                rows = part.take(pa.array(np.repeat(np.arange(part.num_rows), near.shape[1])))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(near.ravel())], names=[*part.schema.names, "scope"])
+
+    columns = ", ".join(f"`{name}` {kind}" for name, kind in questions.dtypes)
+    return questions.mapInArrow(closest, f"{columns}, scope int")
 
 
 def build_ivf(corpus: DataFrame, path: str, cells: int = 16) -> np.ndarray:
