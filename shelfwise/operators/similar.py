@@ -40,6 +40,8 @@ TRAIN_ROWS = 4096
 PREFIXES = (8, 16, 32)
 # Pairs that are bounded or scored one by one at a time.
 PAIRS_AT_ONCE = 65_536
+# A tile of which more than one pair in so many passes all bounds is scored by one product.
+DENSE_SHARE = 2
 # Scores have six decimals; bounds leave room for their rounding.
 DECIMALS = 6
 SLACK = 10.0**-DECIMALS
@@ -138,6 +140,17 @@ def bounded_scores(
         bound += rests[first][0][begin:end, None] * rests[first][1][None, :]
         left, right = np.nonzero(bound >= low)
         bounded, scored = (end - begin) * len(held), 0
+        # The bounds of a slice of the pairs tell whether they leave out enough; if not, one product is cheaper.
+        a, h = left[:PAIRS_AT_ONCE] + begin, right[:PAIRS_AT_ONCE]
+        last = prefixes[-1]
+        reaching = np.einsum("ij,ij->i", turned_asked[a, :last], turned_held[h, :last]) + rests[last][0][a] * rests[last][1][h] >= low
+        if np.count_nonzero(reaching) * len(left) * DENSE_SHARE > bounded * len(a) > 0:
+            scores = asked[begin:end] @ held.T
+            left, right = np.nonzero(scores >= low)
+            score = np.round(scores[left, right], DECIMALS)
+            kept = score >= threshold
+            yield left[kept] + begin, right[kept], score[kept], bounded, bounded
+            continue
         found = []
         for at in range(0, len(left), PAIRS_AT_ONCE):
             a, h = left[at : at + PAIRS_AT_ONCE] + begin, right[at : at + PAIRS_AT_ONCE]

@@ -81,3 +81,23 @@ def test_cache_outcomes(spark):
     out = similar.semantic_cache(hashed(frame(spark, asked)), hashed(frame(spark, held)), 0.9, cell_rows=1)
     got = {r.id: (r.outcome, r.cached_id) for r in out.collect()}
     assert got == {0: ("exact", 0), 1: ("near", 2), 2: ("near", 2), 3: ("miss", None)}
+
+
+def test_a_tile_the_bounds_do_not_thin_out_is_scored_by_one_product(monkeypatch):
+    random = np.random.default_rng(8)
+    rows = random.standard_normal((300, 64))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    asked, held, axes = rows[:100], rows[100:], np.eye(64)
+
+    def pairs(threshold):
+        parts = list(similar.bounded_scores(asked, held, axes, threshold))
+        return {(int(a), int(h)): s for part in parts for a, h, s in zip(*part[:3])}, sum(part[4] for part in parts)
+
+    for threshold in (0.1, 0.35, 0.9):
+        got, scored = pairs(threshold)
+        assert (scored == 100 * 200) is (threshold < 0.9)
+        monkeypatch.setattr(similar, "DENSE_SHARE", 0)
+        assert pairs(threshold)[0] == got
+        monkeypatch.undo()
+        exact = np.round(asked @ held.T, 6)
+        assert set(got) == set(zip(*(x.tolist() for x in np.nonzero(exact >= threshold))))
