@@ -29,6 +29,8 @@ CORPUS_BLOCK = 65536
 MAX_CELLS = 65536
 # Pairs of a question and a cell looked at in one step; each becomes a row with the question's vector.
 CELLS_AT_ONCE = 65_536
+# Question terms that go to the tasks of one keyword scan.
+SCAN_TERMS = BROADCAST_ROWS
 # Rows the centres are fitted on.
 TRAIN_ROWS = 65_536
 
@@ -265,25 +267,26 @@ def bm25(
 
     Question terms go to every task, which scores its documents and emits k rows per question; the
     corpus is scanned twice (statistics, scores) and never shuffled, so a frequent term is no hot
-    group. Questions with more than `question_terms` terms together are searched in blocks of
-    about so many, by the same scans, so the result does not depend on their number.
+    group. Questions with more than `question_terms` terms together are scored in blocks of at most
+    so many. The blocks of one scan share what it reads and counts; they have SCAN_TERMS terms
+    together, and more questions take further scans. The result does not depend on their number.
 
     Every row is a document, also one with NULL text, which is empty. Rows of one id are several
     documents; with `best_per_id` such an id is one candidate, with the score of its best row.
     """
     asked = questions.select(F.col("id").alias("question_id"), F.explode(F.array_distinct(ft.tokens(F.col("text")))).alias("term"))
-    blocks = 1 if fits(asked, question_terms) else math.ceil(asked.count() / max(question_terms, 1))
+    scans = 1 if fits(asked, SCAN_TERMS) else math.ceil(asked.count() / SCAN_TERMS)
     found = None
-    for block in range(blocks):
-        part = asked if blocks == 1 else asked.filter(F.pmod(F.xxhash64("question_id"), F.lit(blocks)) == block)
-        scored = _bm25_scan(part, corpus, k, k1, b, best_per_id)
+    for scan in range(scans):
+        part = asked if scans == 1 else asked.filter(F.pmod(F.xxhash64("question_id"), F.lit(scans)) == scan)
+        scored = _bm25_scan(part, corpus, k, k1, b, question_terms, best_per_id)
         found = scored if found is None else found.unionByName(scored)
     if best_per_id:
         found = found.groupBy("question_id", "id").agg(F.max("score").alias("score"))
     return rank_top(found, k)
 
 
-def _bm25_scan(asked: DataFrame, corpus: DataFrame, k: int, k1: float, b: float, best_per_id: bool) -> DataFrame:
+def _bm25_scan(asked: DataFrame, corpus: DataFrame, k: int, k1: float, b: float, block_terms: int, best_per_id: bool) -> DataFrame:
     listed = corpus.select("id", F.coalesce(ft.tokens(F.col("text")), F.array().cast("array<string>")).alias("tokens"))
     known = asked.toArrow()
     vocabulary = pa.array(sorted(set(known["term"].to_pylist())), pa.string())
@@ -291,9 +294,9 @@ def _bm25_scan(asked: DataFrame, corpus: DataFrame, k: int, k1: float, b: float,
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency, documents, words = np.zeros(len(vocabulary), np.int64), 0, 0
         for batch in batches:
-            _, code, _, sizes = term_counts(batch["tokens"], vocabulary)
-            frequency += np.bincount(code, minlength=len(vocabulary))
-            documents, words = documents + len(sizes), words + int(sizes.sum())
+            for _, _, _, code, _, sizes in term_counts(batch["tokens"], vocabulary, max(1, batch.num_rows)):
+                frequency += np.bincount(code, minlength=len(vocabulary))
+                documents, words = documents + len(sizes), words + int(sizes.sum())
         code = np.append(np.flatnonzero(frequency), [-1, -2])
         yield pa.RecordBatch.from_arrays(
             [pa.array(code, pa.int32()), pa.array(np.append(frequency[code[:-2]], [documents, words]), pa.int64())],
@@ -306,7 +309,7 @@ def _bm25_scan(asked: DataFrame, corpus: DataFrame, k: int, k1: float, b: float,
     )
     frequency = np.array([totals.get(i, 0) for i in range(len(vocabulary))], dtype=np.float64)
     documents = totals.get(-1, 0)
-    terms = QuestionTerms.build(known, vocabulary, frequency, documents, totals.get(-2, 0) / max(documents, 1), k1, b)
+    terms = QuestionTerms.build(known, vocabulary, frequency, documents, totals.get(-2, 0) / max(documents, 1), k1, b, block_terms)
     shared = asked.sparkSession.sparkContext.broadcast(terms)
     id_type, question_type = _arrow_type(corpus, "id"), _arrow_type(asked, "question_id")
 

@@ -219,3 +219,44 @@ def test_retry_reports_and_requeues(spark):
     assert rows[3] == ("ERROR", 3, "busy")
     assert sorted(r.id for r in infer.requeue(out, "id").collect()) == [3, 4]
 
+
+
+def test_question_blocks_share_two_reads_of_the_documents(spark, tmp_path, monkeypatch):
+    docs = [(i, f"common word{i % 7} word{i % 11} " * (1 + i % 4)) for i in range(200)]
+    marks = tmp_path / "reads"
+    marks.mkdir()
+
+    def marked(batches):
+        import uuid
+
+        (marks / uuid.uuid4().hex).touch()
+        yield from batches
+
+    read = spark.createDataFrame(docs, "id long, text string").coalesce(1).mapInArrow(marked, "id long, text string")
+    asked = [(q, f"common word{q} word{q + 3}") for q in range(8)]
+    questions = spark.createDataFrame(asked, "id long, text string")
+    got = listed(search.bm25(questions, read, 5, question_terms=3))
+    assert got == brute_bm25(docs, asked, 5) and len(list(marks.iterdir())) == 2
+    monkeypatch.setattr(search, "SCAN_TERMS", 7)
+    assert listed(search.bm25(questions, read, 5, question_terms=3)) == got
+
+
+def test_keyword_kernel_holds_slices(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from shelfwise.functions import keywords
+
+    rng = np.random.default_rng(3)
+    names = [f"w{i}" for i in range(40)]
+    asked = pa.table({"question_id": np.repeat(np.arange(200), 40).tolist(), "term": names * 200})
+    terms = keywords.QuestionTerms.build(asked, pa.array(names), np.full(40, 5000.0), 10_000, 60.0, 1.2, 0.75)
+    words = [[names[i] for i in rng.integers(0, 40, 60)] for _ in range(5_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5_000)), pa.array(words)], names=["id", "tokens"])
+    best = keywords.KeywordK(terms, 5)
+    tracemalloc.start()
+    best.add(batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6 and best.batch(pa.int64(), pa.int64()).num_rows == 1000
