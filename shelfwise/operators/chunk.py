@@ -5,7 +5,8 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,24 +72,36 @@ def split_spans(
 def chunk_array(text: Column, size: int = config.CHUNK_SIZE, overlap: int = config.CHUNK_OVERLAP) -> Column:
     """Array of (ordinal, start, text); NULL or blank text gives an empty array, failing text NULL."""
 
-    def chunks(text: str | None) -> list[dict] | None:
+    def pieces(text: str | None) -> list[tuple[int, str]] | None:
         try:
             spans = split_spans(text, size, overlap) if text else []
         except Exception:  # noqa: BLE001 - one bad document never fails the job; see failed_documents
             return None
-        out = []
+        found = []
         for begin, end in spans:
             piece = text[begin:end]
             body = piece.strip()
             if body:
-                lead = len(piece) - len(piece.lstrip())
-                out.append({"ordinal": len(out), "start": begin + lead, "text": body})
-        return out
-
-    @F.pandas_udf(CHUNK_TYPE)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+                found.append((begin + len(piece) - len(piece.lstrip()), body))
+        return found
+
+    def listed(texts: pa.Array) -> pa.Array:
+        starts, bodies, ends, failed = [], [], [0], []
+        for text in texts:
+            found = pieces(text.as_py())
+            failed.append(found is None)
+            starts += [start for start, _ in found or ()]
+            bodies += [body for _, body in found or ()]
+            ends.append(len(bodies))
+        ordinals = np.arange(len(bodies)) - np.repeat(ends[:-1], np.diff(ends))
+        columns = [pa.array(ordinals, pa.int32()), pa.array(starts, pa.int32()), pa.array(bodies, pa.string())]
+        rows = pa.StructArray.from_arrays(columns, names=["ordinal", "start", "text"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows, mask=pa.array(failed, pa.bool_()))
+
+    @F.arrow_udf(CHUNK_TYPE)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield batch.map(chunks, na_action=None)
+            yield listed(batch)
 
     return run(text)
 

@@ -116,3 +116,21 @@ def test_stats(spark):
     got = {r.d: (r.n_chunks, r.max_chars, r.over_limit) for r in chunk.chunk_stats(df, "d").collect()}
     assert got == {1: (2, 4, 0), 2: (1, 600, 1)}
     assert chunk.chunk_paragraphs(df.withColumn("chunk_content", F.lit("a\n\n b ")), "chunk_content", "d").count() == 6
+
+
+def test_chunks_of_one_batch_keep_to_their_rows(spark, monkeypatch):
+    """Rows come back as Arrow columns: empty, missing and failing texts between others, and no dict per chunk."""
+    split = chunk.split_spans
+
+    def failing(text, *rest):
+        if text.startswith("bad"):
+            raise ValueError(text)
+        return split(text, *rest)
+
+    monkeypatch.setattr(chunk, "split_spans", failing)
+    texts = ["one two three", None, "", "  \n", "bad text", "four " * 300, "x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string").coalesce(1)
+    out = {r.id: r.c for r in df.select("id", chunk.chunk_array(F.col("t"), 20, 5).alias("c")).collect()}
+    assert out[1] == out[2] == out[3] == [] and out[4] is None
+    assert [tuple(c) for c in out[0]] == [(0, 0, "one two three")] and [tuple(c) for c in out[6]] == [(0, 0, "x")]
+    assert [c.ordinal for c in out[5]] == list(range(len(out[5]))) and all(texts[5][c.start :].startswith(c.text) for c in out[5])

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise import config
+from shelfwise.functions import vectors as kernel
 from shelfwise.operators import infer, rag, search
 
 WORDS = "store return policy receipt blender warranty part espresso machine refund the of and".split()
@@ -260,3 +261,15 @@ def test_keyword_kernel_holds_slices(monkeypatch):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 100e6 and best.batch(pa.int64(), pa.int64()).num_rows == 1000
+
+
+def test_embedding_kernel_is_bounded(spark, monkeypatch):
+    """Slices of a batch embed as the batch does, and only so many tokens are remembered."""
+    assert kernel._slot.cache_info().maxsize <= 100_000
+    rows = [(i, f"word{i % 13} word{i % 7} " * (i % 5)) for i in range(60)] + [(60, None), (61, "...")]
+    df = spark.createDataFrame(rows, "id long, t string").coalesce(1)
+    assert df.rdd.getNumPartitions() == 1
+    wanted = {r.id: r.v for r in df.select("id", kernel.hashed_embedding(F.col("t")).alias("v")).collect()}
+    monkeypatch.setattr(kernel, "TEXT_AT_ONCE", 100)
+    got = {r.id: r.v for r in df.select("id", kernel.hashed_embedding(F.col("t")).alias("v")).collect()}
+    assert got == wanted and got[60] is None and got[61] is None
