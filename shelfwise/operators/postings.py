@@ -1,9 +1,10 @@
 """A stored keyword index with block-max pruning.
 
-Documents are numbered in blocks of `BLOCK_DOCS` as they are read. The index has one row per term and block: how many
-documents of the block hold the term, the highest weight it has in one of them, and the weights. A term's rows are as
-many as the blocks it occurs in, so a frequent term is spread; rows lie in folders by a hash of the term, so a search
-reads the folders of its terms and, for the bounds, only the narrow columns. Nothing reads the documents again.
+Documents are numbered in blocks of `BLOCK_DOCS` as they are read. The index has an entry per term and block: how many
+documents of the block hold the term, the highest weight it has in one of them, and the weights. The entries a term has
+in the blocks of one Arrow batch are stored as one row, so that little more than the weights is shuffled and written. A
+frequent term has a row per batch, so it is spread; rows lie in folders by a hash of the term, so a search reads the
+folders of its terms and, for the bounds, only the narrow columns. Nothing reads the documents again.
 
 A search adds up, per question and block, the highest weights of the question's terms: no document of the block
 scores higher. The blocks with the highest bounds are scored first; the k-th score they give a question is the
@@ -20,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -35,6 +37,8 @@ BLOCK_DOCS = 64
 TERM_FOLDERS = 64
 # Blocks of each question that set its threshold.
 SEED_BLOCKS = 2
+# Questions that may be listed beside each block.
+QUESTIONS_LISTED = 4096
 # More than the rounding of sums and scores.
 SLACK = 2e-6
 
@@ -57,9 +61,25 @@ class Index:
     def _figures(self):
         return self.spark.read.parquet(f"{self.folder}/figures").first()
 
-    def terms(self) -> DataFrame:
-        """One row per term and block; the schema is given, as an index of no words has no file."""
-        return self.spark.read.schema(f"{_row(self._figures().kind)}, folder int").parquet(f"{self.folder}/terms")
+    def stored(self, terms: DataFrame | None = None) -> DataFrame:
+        """The rows of all or the given terms; the schema is given, as an index of no words has no file."""
+        rows = self.spark.read.schema(f"{_row(self._figures().kind)}, folder int").parquet(f"{self.folder}/terms")
+        return rows if terms is None else rows.join(F.broadcast(terms) if fits(terms) else terms, "term", "left_semi")
+
+    def tops(self, stored: DataFrame) -> DataFrame:
+        """Term, block, n and top of stored rows; the weights are not read."""
+        return stored.select("term", F.inline(F.arrays_zip(F.col("blocks").alias("block"), F.col("ns").alias("n"), F.col("tops").alias("top"))))
+
+    def terms(self, stored: DataFrame | None = None) -> DataFrame:
+        """One row per term and block, of all or of the given stored rows."""
+
+        def entry(b: Column) -> Column:
+            held = {c: F.slice(c, b["firsts"] + 1, b["ns"]) for c in ("slots", "ids", "weights")}
+            named = [b["blocks"].alias("block"), b["ns"].alias("n"), b["tops"].alias("top"), held["slots"].cast("array<int>").alias("slots")]
+            return F.struct(*named, held["ids"].alias("ids"), held["weights"].alias("weights"))
+
+        rows = self.stored() if stored is None else stored
+        return rows.select("term", "folder", F.inline(F.transform(F.arrays_zip("blocks", "ns", "tops", "firsts"), entry)))
 
     def documents(self) -> int:
         return self._figures().documents
@@ -73,7 +93,8 @@ def content_version(corpus: DataFrame) -> str:
 
 
 def _row(kind: str) -> str:
-    return f"term string, block bigint, n int, top double, slots array<int>, ids array<{kind}>, weights array<double>"
+    narrow = "term string, blocks array<bigint>, ns array<int>, tops array<double>"
+    return f"{narrow}, firsts array<int>, slots array<tinyint>, ids array<{kind}>, weights array<double>"
 
 
 def _folder(term: Column) -> Column:
@@ -81,44 +102,55 @@ def _folder(term: Column) -> Column:
 
 
 def _indexer(id_type: pa.DataType, mean_size: float, k1: float, b: float):
-    """Rows (block, slot, id, tokens) in order to rows of the index, block by block."""
+    """Rows (block, slot, id, tokens) in order to rows of the index: a term's entries in the whole blocks at hand are one."""
 
-    def rows_of(block: int, part: pa.Table) -> pa.RecordBatch:
+    def rows_of(part: pa.Table) -> pa.RecordBatch:
         lists = part["tokens"].combine_chunks()
-        sizes = np.diff(lists.offsets.to_numpy())
+        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
         coded = lists.flatten().dictionary_encode()
         names, codes = coded.dictionary, coded.indices.to_numpy()
         doc = np.repeat(np.arange(len(sizes)), sizes)
         pairs, count = np.unique(codes.astype(np.int64) * len(sizes) + doc, return_counts=True)
         term, doc = pairs // len(sizes), pairs % len(sizes)
         weight = count * (k1 + 1) / (count + k1 * (1 - b + b * sizes[doc] / mean_size))
-        first = np.flatnonzero(np.append(True, term[1:] != term[:-1])) if len(term) else np.zeros(0, np.int64)
-        ends = np.append(first, len(term)).astype(np.int32)
-        top = np.maximum.reduceat(weight, first) if len(first) else weight
-        slots = part["slot"].to_numpy()[doc].astype(np.int32)
+        block, slot = part["block"].to_numpy()[doc], part["slot"].to_numpy()[doc].astype(np.int8)
+        entry = _firsts(term, block)  # the postings a block's entry begins with
+        row = _firsts(term[entry])  # the entries a row begins with
+        ends, postings = np.append(row, len(entry)).astype(np.int32), np.append(entry, len(term)).astype(np.int32)
+        per_row = postings[ends]
+        top = np.maximum.reduceat(weight, entry) if len(entry) else weight
+        first = postings[:-1] - np.repeat(per_row[:-1], np.diff(ends))
         ids = part["id"].combine_chunks().take(pa.array(doc))
         columns = [
-            names.take(pa.array(term[first])), pa.array(np.full(len(first), block)), pa.array(np.diff(ends), pa.int32()), pa.array(top),
-            *(pa.ListArray.from_arrays(pa.array(ends), values) for values in (pa.array(slots), ids, pa.array(weight))),
+            names.take(pa.array(term[entry[row]])),
+            *(pa.ListArray.from_arrays(pa.array(ends), pa.array(values)) for values in (block[entry], np.diff(postings), top, first)),
+            *(pa.ListArray.from_arrays(pa.array(per_row), values) for values in (pa.array(slot), ids, pa.array(weight))),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["term", "block", "n", "top", "slots", "ids", "weights"])
+        return pa.RecordBatch.from_arrays(columns, names=["term", "blocks", "ns", "tops", "firsts", "slots", "ids", "weights"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             held = pa.concat_tables([held, rows]) if held is not None else rows
-            blocks = held["block"].to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist()]
-            for low, high in zip(cuts[:-1], cuts[1:]):
-                yield rows_of(int(blocks[low]), held.slice(low, high - low))
-            held = held.slice(cuts[-1])
+            cuts = np.flatnonzero(np.diff(held["block"].to_numpy())) + 1
+            if len(cuts):
+                yield rows_of(held.slice(0, int(cuts[-1])))
+                held = held.slice(int(cuts[-1]))
         if held is not None and held.num_rows:
-            yield rows_of(int(held["block"][0].as_py()), held)
+            yield rows_of(held)
 
     return run
 
 
+def _firsts(*columns: np.ndarray) -> np.ndarray:
+    """Positions at which any of the columns, of one length, changes."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    changes = np.any([column[1:] != column[:-1] for column in columns], axis=0)
+    return np.flatnonzero(np.append(True, changes))
+
+
 def write_index(corpus: DataFrame, path: str, version: str | None = None, k1: float = config.BM25_K1, b: float = config.BM25_B) -> Index:
     """Index a table of `id` and `text`; an index of this version that is there already is not written again.
 
@@ -145,10 +177,21 @@ def write_index(corpus: DataFrame, path: str, version: str | None = None, k1: fl
 
 
 def _scored(pairs: DataFrame, wanted: DataFrame, rows: DataFrame) -> DataFrame:
-    """(question_id, block, slot, id, score) of all documents of the given blocks that hold a term of the question."""
-    needed = pairs.join(F.broadcast(wanted) if fits(wanted) else wanted, "question_id")
+    """(question_id, block, slot, id, score) of all documents of the given blocks that hold a term of the question.
+
+    Unless the wanted entries are few, rows are dealt by block once, and the scores of a block are added up where its rows are.
+    """
+    few = fits(wanted)
+    needed = pairs.join(F.broadcast(wanted) if few else wanted, "question_id")
     needed = needed.select("question_id", "block", "term", "idf")
-    held = rows.join(F.broadcast(needed) if fits(needed) else needed, ["term", "block"])
+    if fits(needed):
+        held = rows.join(F.broadcast(needed), ["term", "block"])
+    elif few and wanted.select("question_id").distinct().count() <= QUESTIONS_LISTED:
+        asking = pairs.groupBy("block").agg(F.collect_set("question_id").alias("asking"))
+        dealt = rows.join(asking.hint("shuffle_hash"), "block")
+        held = dealt.join(F.broadcast(wanted), "term").filter(F.array_contains("asking", F.col("question_id")))
+    else:
+        held = rows.join(needed, ["term", "block"])
     each = held.select("question_id", "block", "idf", F.inline(F.arrays_zip("slots", "ids", "weights")))
     summed = each.groupBy("question_id", "block", "slots", F.col("ids").alias("id")).agg(F.sum(F.col("idf") * F.col("weights")).alias("s"))
     return summed.select("question_id", "block", "slots", "id", F.round("s", 6).alias("score"))
@@ -164,10 +207,9 @@ def search_index(questions: DataFrame, index: Index, k: int = config.TOP_K, best
     asked = materialize(asked, "asked")
     terms = asked.select("term", _folder(F.col("term")).alias("folder")).distinct()
     folders = [row.folder for row in terms.select("folder").distinct().collect()]  # at most TERM_FOLDERS
-    rows = index.terms().filter(F.col("folder").isin(folders))
-    terms = terms.select("term")
-    narrow = rows.select("term", "block", "n", "top")
-    tops = materialize(narrow.join(F.broadcast(terms) if fits(terms) else terms, "term"), "tops")
+    stored = index.stored(terms.select("term")).filter(F.col("folder").isin(folders))
+    rows = index.terms(stored)
+    tops = materialize(index.tops(stored), "tops")
     df = tops.groupBy("term").agg(F.sum("n").alias("df"))
     idf = F.log1p((F.lit(float(index.documents())) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     wanted = materialize(asked.join(df, "term").select("question_id", "term", idf.alias("idf")), "wanted")

@@ -457,7 +457,7 @@ ORACLE["bm25_postings"] = ORACLE["bm25_search"]
 def postings_terms(spark: SparkSession, sf: str) -> DataFrame:
     """What the index holds: documents, words and highest weight of every term."""
     index = postings.write_index(corpus(spark, sf), scratch_dir(spark, "postings"))
-    return index.terms().groupBy("term").agg(F.sum("n").alias("documents"), F.round(F.max("top"), 6).alias("top"))
+    return index.tops(index.stored()).groupBy("term").agg(F.sum("n").alias("documents"), F.round(F.max("top"), 6).alias("top"))
 
 
 ORACLE["postings_terms"] = f"""

@@ -90,3 +90,43 @@ def test_empty_tables(spark):
     assert postings.search_index(questions(spark), index)[0].collect() == []
     index = postings.write_index(corpus(spark), scratch_dir(spark, "index"))
     assert postings.search_index(none, index)[0].collect() == []
+
+
+def moved(spark, df) -> int:
+    """Rows that exchanges of the executed plan passed on."""
+    df.collect()
+    todo, rows = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind == "ShuffleQueryStageExec":
+            todo.append(node.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                rows += node.metrics().apply("shuffleRecordsWritten").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return rows
+
+
+def test_scores_are_added_up_where_the_rows_of_a_block_are(spark, monkeypatch):
+    """Neither (question, document) scores nor (question, block, term) needs are shuffled."""
+    docs = spark.createDataFrame([(i, "common often " * (1 + i % 3) + f"word{i % 5}") for i in range(640)], "id long, text string").coalesce(1)
+    asked = spark.createDataFrame([(q, f"common often word{q % 5}") for q in range(50)], "id long, text string")
+    index = postings.write_index(docs, scratch_dir(spark, "index"))
+    wanted = search.bm25(asked, docs, 3)
+    limit = postings.fits
+    monkeypatch.setattr(postings, "fits", lambda df: "block" not in df.columns and limit(df))
+    got, _ = postings.search_index(asked, index, 3)
+    assert listed(got) == listed(wanted) and moved(spark, got) < 5_000  # 50 x 640 scores
+
+
+def test_entries_of_a_batch_are_one_row(spark, monkeypatch):
+    monkeypatch.setattr(postings, "BLOCK_DOCS", 8)
+    docs = spark.createDataFrame([(i, f"common word{i % 9}") for i in range(1_000)], "id long, text string")
+    index = postings.write_index(docs, scratch_dir(spark, "index"))
+    rows, entries = index.stored(), index.terms()
+    batches = rows.filter("term = 'common'").count()  # whole blocks of an Arrow batch, and the last block of a task
+    assert rows.count() <= 10 * batches and entries.filter("term = 'common'").count() >= 125 > 4 * batches
+    assert entries.filter("array_max(weights) <> top OR size(ids) <> n OR size(slots) <> n").isEmpty()
