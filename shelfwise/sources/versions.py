@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators import changes
-from shelfwise.session import fits, materialize
+from shelfwise.session import discard, fits, materialize
 
 NULL_PARTITION = "null"
 _PART = "_part"
@@ -176,7 +176,9 @@ class VersionedTable:
         touched = gone.select(self.partition).unionByName(rows.select(self.partition)).distinct()
         keys = gone.select(key).distinct()
         few = F.broadcast(keys) if fits(keys) else keys
-        return self.rewrite(touched, lambda held: held.join(few, key, "left_anti").unionByName(rows), "upsert", batch)
+        version = self.rewrite(touched, lambda held: held.join(few, key, "left_anti").unionByName(rows), "upsert", batch)
+        discard(gone, rows)
+        return version
 
     def applied(self, batch: str) -> bool:
         """Whether a kept version came from this batch; the newest ones are looked at first."""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfwise import config
 from shelfwise.operators import chunk, infer
-from shelfwise.session import fits, materialize
+from shelfwise.session import discard, fits, materialize
 from shelfwise.sources.versions import VersionedTable
 
 BUCKETS = 64
@@ -65,9 +65,12 @@ class LiveIndex:
         todo = materialize(self.changed(self.latest(batch)), "todo")
         fresh = todo.filter("NOT deleted")
         chunks = chunk.with_chunk_ids(chunk.chunk_documents(fresh, "doc_id", "doc_hash", "bucket", *self.keep))
-        embedded = infer.embed(materialize(chunks, "chunks"), "chunk_content", "chunk_key", self.dim).drop("content_hash")
+        chunks = materialize(chunks, "chunks")
+        embedded = infer.embed(chunks, "chunk_content", "chunk_key", self.dim).drop("content_hash")
         self.table.upsert(todo.select("doc_id", "bucket"), embedded, "doc_id", name)
-        return fresh.count()
+        done = fresh.count()
+        discard(todo, chunks)
+        return done
 
     def follow(self, documents: DataFrame, checkpoint: str) -> None:
         """Apply everything a stream of documents holds, then return."""

@@ -114,3 +114,24 @@ def test_a_replayed_batch_is_applied_once(spark):
     assert index.apply(batch, 0) == 0 and index.table.numbers() == [0]
     assert index.apply(batch, 1) == 0  # delivered again under another number: nothing differs
     assert index.table.read().count() == 2
+
+
+def test_an_upsert_leaves_no_scratch_behind(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("shelfwise.session.scratch_root", lambda _: f"{tmp_path}/scratch")
+    held = VersionedTable(spark, f"{tmp_path}/table", "p")
+    rows = spark.createDataFrame([(i, i % 3) for i in range(30)], "k long, p long")
+    held.overwrite(rows)
+    held.upsert(rows.filter("k < 5"), rows.filter("k < 3"), "k", "one")
+    assert sorted(r.k for r in held.read().collect()) == [0, 1, 2, *range(5, 30)]
+    assert list((tmp_path / "scratch").rglob("*.parquet")) == []
+
+
+def test_a_live_index_leaves_no_scratch_behind(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("shelfwise.session.scratch_root", lambda _: f"{tmp_path}/scratch")
+    index = LiveIndex(spark, f"{tmp_path}/index", buckets=2)
+    schema = "doc_id long, extracted_text string, deleted boolean, arrived long"
+    assert index.apply(spark.createDataFrame([(1, "red mat", False, 0), (2, "blue mat", False, 0)], schema), "a") == 2
+    assert index.apply(spark.createDataFrame([(1, "red rug", False, 1), (2, None, True, 1)], schema), "b") == 1
+    assert [r.chunk_content for r in index.table.read().collect()] == ["red rug"]
+    left = {path.parent.name.split("-")[0] for path in (tmp_path / "scratch").rglob("*.parquet")}
+    assert left <= {"hot"}  # the few keys of a join are kept
