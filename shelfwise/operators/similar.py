@@ -42,6 +42,8 @@ PREFIXES = (8, 16, 32)
 PAIRS_AT_ONCE = 65_536
 # A tile of which more than one pair in so many passes all bounds is scored by one product.
 DENSE_SHARE = 2
+# A tile of which more than one pair in so many passes the first bound has the next ones taken by products too.
+OPEN_SHARE = 16
 # Scores have six decimals; bounds leave room for their rounding.
 DECIMALS = 6
 SLACK = 10.0**-DECIMALS
@@ -120,6 +122,12 @@ def _schema(rows: DataFrame) -> str:
     return ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
 
 
+def _pair_of(pairs: np.ndarray, begin: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(asked row, held row) of places in a tile whose first row is `begin`."""
+    row, column = np.divmod(pairs, width)
+    return row + begin, column
+
+
 def bounded_scores(
     asked: np.ndarray, held: np.ndarray, axes: np.ndarray, threshold: float
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int, int]]:
@@ -136,27 +144,34 @@ def bounded_scores(
     step = max(1, SCORES_AT_ONCE // max(1, len(held)))
     for begin in range(0, len(asked), step):
         end = min(begin + step, len(asked))
-        bound = turned_asked[begin:end, :first] @ turned_held[:, :first].T
-        bound += rests[first][0][begin:end, None] * rests[first][1][None, :]
-        left, right = np.nonzero(bound >= low)
+        partial = turned_asked[begin:end, :first] @ turned_held[:, :first].T
+        open_ = partial + rests[first][0][begin:end, None] * rests[first][1][None, :] >= low
+        pairs = np.flatnonzero(open_)
         bounded, scored = (end - begin) * len(held), 0
         # The bounds of a slice of the pairs tell whether they leave out enough; if not, one product is cheaper.
-        a, h = left[:PAIRS_AT_ONCE] + begin, right[:PAIRS_AT_ONCE]
+        a, h = _pair_of(pairs[:PAIRS_AT_ONCE], begin, len(held))
         last = prefixes[-1]
         reaching = np.einsum("ij,ij->i", turned_asked[a, :last], turned_held[h, :last]) + rests[last][0][a] * rests[last][1][h] >= low
-        if np.count_nonzero(reaching) * len(left) * DENSE_SHARE > bounded * len(a) > 0:
+        if np.count_nonzero(reaching) * len(pairs) * DENSE_SHARE > bounded * len(a) > 0:
             scores = asked[begin:end] @ held.T
-            left, right = np.nonzero(scores >= low)
-            score = np.round(scores[left, right], DECIMALS)
+            pairs = np.flatnonzero(scores >= low)
+            score = np.round(scores.ravel()[pairs], DECIMALS)
             kept = score >= threshold
-            yield left[kept] + begin, right[kept], score[kept], bounded, bounded
+            yield *_pair_of(pairs[kept], begin, len(held)), score[kept], bounded, bounded
             continue
+        left_to_bound = prefixes[1:]
+        if len(pairs) * OPEN_SHARE > bounded:
+            # Many pairs are left: the next coordinates of all are added by products, not pair by pair.
+            for p, q in zip(prefixes, left_to_bound):
+                partial += turned_asked[begin:end, p:q] @ turned_held[:, p:q].T
+                open_ &= partial + rests[q][0][begin:end, None] * rests[q][1][None, :] >= low
+            pairs, left_to_bound = np.flatnonzero(open_), []
         found = []
-        for at in range(0, len(left), PAIRS_AT_ONCE):
-            a, h = left[at : at + PAIRS_AT_ONCE] + begin, right[at : at + PAIRS_AT_ONCE]
-            for p in prefixes[1:]:
-                partial = np.einsum("ij,ij->i", turned_asked[a, :p], turned_held[h, :p]) + rests[p][0][a] * rests[p][1][h]
-                a, h = a[partial >= low], h[partial >= low]
+        for at in range(0, len(pairs), PAIRS_AT_ONCE):
+            a, h = _pair_of(pairs[at : at + PAIRS_AT_ONCE], begin, len(held))
+            for p in left_to_bound:
+                bound = np.einsum("ij,ij->i", turned_asked[a, :p], turned_held[h, :p]) + rests[p][0][a] * rests[p][1][h]
+                a, h = a[bound >= low], h[bound >= low]
             score = np.round(np.einsum("ij,ij->i", asked[a], held[h]), DECIMALS)
             scored += len(a)
             kept = score >= threshold

@@ -101,3 +101,28 @@ def test_a_tile_the_bounds_do_not_thin_out_is_scored_by_one_product(monkeypatch)
         monkeypatch.undo()
         exact = np.round(asked @ held.T, 6)
         assert set(got) == set(zip(*(x.tolist() for x in np.nonzero(exact >= threshold))))
+
+
+def test_pairs_left_by_the_first_bound_are_not_bounded_one_by_one(monkeypatch):
+    """Without clusters most pairs pass the first bound; the next ones leave the same pairs, by products of tiles."""
+    random = np.random.default_rng(9)
+    rows = random.standard_normal((500, 64))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    asked, held = rows[:200], np.concatenate([rows[150:], rows[:40] + 0.01])
+    held /= np.linalg.norm(held, axis=1, keepdims=True)
+    one_by_one, einsum = [], np.einsum
+
+    def work():
+        one_by_one.clear()
+        monkeypatch.setattr(similar.np, "einsum", lambda form, a, b: one_by_one.append(len(a)) or einsum(form, a, b))
+        parts = list(similar.bounded_scores(asked, held, np.eye(64), 0.75))
+        monkeypatch.setattr(similar.np, "einsum", einsum)
+        return {(int(a), int(h)): s for part in parts for a, h, s in zip(*part[:3])}, sum(part[3] for part in parts), sum(part[4] for part in parts)
+
+    monkeypatch.setattr(similar, "PAIRS_AT_ONCE", 1000)
+    got = work()
+    assert sum(one_by_one) <= 1000 + got[2]
+    monkeypatch.setattr(similar, "OPEN_SHARE", 0)
+    assert work() == got and sum(one_by_one) > 20_000
+    exact = np.round(asked @ held.T, 6)
+    assert set(got[0]) == set(zip(*(x.tolist() for x in np.nonzero(exact >= 0.75))))
